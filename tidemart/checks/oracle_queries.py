@@ -123,7 +123,7 @@ TEXTS = {
     "fact_payment_line": f"SELECT {_PAY_COLUMNS} FROM f_pay",
     "fact_payment_line_daily": f"""
         SELECT {_PAY_COLUMNS} FROM f_pay
-        WHERE ds = '{ORDER_DAY}' AND order_day IN ('1998-06-29', '{ORDER_DAY}')""",
+        WHERE ds = '1998-07-03' AND order_day IN ('1998-07-02', '1998-07-03')""",
     "fact_order_flow": """
         SELECT order_id, user_id, province_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date_id,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_time,

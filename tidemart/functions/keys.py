@@ -71,12 +71,14 @@ def token_amount(text: Column, in_units: bool = False) -> Column:
 
 
 def log_words(data: Column) -> Column:
-    """Array of the complete 32-byte words of `0x…` data, each with its own `0x`."""
-    count = F.floor((F.length(data) - 2) / WORD_DIGITS).cast("int")
-    words = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.concat(F.lit("0x"), F.substr(data, i * WORD_DIGITS + 3, F.lit(WORD_DIGITS))))
-    return F.when(count > 0, words).otherwise(F.array().cast("array<string>"))
+    """Array of the complete 32-byte words of `0x…` data, each with its own `0x`.
+
+    One pass over the text, however long it is; an incomplete last word is left out.
+    """
+    words = F.regexp_extract_all(F.substring(data, 3, 2**31 - 1), F.lit(f".{{{WORD_DIGITS}}}"),
+                                 F.lit(0))
+    return F.transform(F.coalesce(words, F.array().cast("array<string>")),
+                       lambda word: F.concat(F.lit("0x"), word))
 
 
 def history_append(history: Column, element: Column) -> Column:

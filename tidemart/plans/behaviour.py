@@ -37,10 +37,8 @@ def login_region_heat(logins: DataFrame, provinces: DataFrame) -> DataFrame:
 
 
 def _page_sequence(log: DataFrame) -> DataFrame:
-    parsed = log.select("id", parse_log(F.col("log")).alias("l"))
-    return (parsed.where(F.col("l.ts").isNotNull())
-            .select("id", F.col("l.ts").alias("ts"), F.col("l.common.sid").alias("session_id"),
-                    F.col("l.page.page_id").alias("page_id")))
+    return (parse_log(log).where(F.col("ts").isNotNull())
+            .select("id", "ts", F.col("common.sid").alias("session_id"), "page.page_id"))
 
 
 def page_path_edges(log: DataFrame) -> DataFrame:

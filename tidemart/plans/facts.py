@@ -175,31 +175,31 @@ def favorite_add(favorites: DataFrame) -> DataFrame:
 
 def page_view(log: DataFrame) -> DataFrame:
     """Page views from log lines; lines without a readable event time are left to the rejects."""
-    parsed = log.select(parse_log(F.col("log")).alias("l")).where(F.col("l.ts").isNotNull())
-    at = shop_time(F.col("l.ts"))
+    parsed = parse_log(log).where(F.col("ts").isNotNull())
+    at = shop_time(F.col("ts"))
     return parsed.select(
-        F.col("l.common.ar").alias("province_id"), F.col("l.common.ba").alias("brand"),
-        F.col("l.common.ch").alias("channel"), F.col("l.common.is_new").alias("is_new"),
-        F.col("l.common.md").alias("model"), F.col("l.common.mid").alias("mid_id"),
-        F.col("l.common.os").alias("operate_system"), F.col("l.common.uid").alias("user_id"),
-        F.col("l.common.vc").alias("version_code"), F.col("l.page.item").alias("page_item"),
-        F.col("l.page.item_type").alias("page_item_type"),
-        F.col("l.page.last_page_id").alias("last_page_id"),
-        F.col("l.page.page_id").alias("page_id"), F.col("l.page.from_pos_id").alias("from_pos_id"),
-        F.col("l.page.from_pos_seq").alias("from_pos_seq"),
-        F.col("l.page.refer_id").alias("refer_id"), iso_day(at).alias("date_id"),
-        iso_time(at).alias("view_time"), F.col("l.common.sid").alias("session_id"),
-        F.col("l.page.during_time").alias("during_time"), iso_day(at).alias("ds"))
+        F.col("common.ar").alias("province_id"), F.col("common.ba").alias("brand"),
+        F.col("common.ch").alias("channel"), F.col("common.is_new").alias("is_new"),
+        F.col("common.md").alias("model"), F.col("common.mid").alias("mid_id"),
+        F.col("common.os").alias("operate_system"), F.col("common.uid").alias("user_id"),
+        F.col("common.vc").alias("version_code"), F.col("page.item").alias("page_item"),
+        F.col("page.item_type").alias("page_item_type"),
+        F.col("page.last_page_id").alias("last_page_id"),
+        F.col("page.page_id").alias("page_id"), F.col("page.from_pos_id").alias("from_pos_id"),
+        F.col("page.from_pos_seq").alias("from_pos_seq"),
+        F.col("page.refer_id").alias("refer_id"), iso_day(at).alias("date_id"),
+        iso_time(at).alias("view_time"), F.col("common.sid").alias("session_id"),
+        F.col("page.during_time").alias("during_time"), iso_day(at).alias("ds"))
 
 
 def login(log: DataFrame) -> DataFrame:
     """The first line of each session with a known user."""
-    rows = log.select(F.col("id"), parse_log(F.col("log")).alias("l")).select(
-        F.col("l.common.sid").alias("session_id"), F.col("l.ts").alias("ts"), "id",
-        F.col("l.common.uid").alias("user_id"), F.col("l.common.ch").alias("channel"),
-        F.col("l.common.ar").alias("province_id"), F.col("l.common.vc").alias("version_code"),
-        F.col("l.common.mid").alias("mid_id"), F.col("l.common.ba").alias("brand"),
-        F.col("l.common.md").alias("model"), F.col("l.common.os").alias("operate_system"))
+    rows = parse_log(log).select(
+        F.col("common.sid").alias("session_id"), "ts", "id",
+        F.col("common.uid").alias("user_id"), F.col("common.ch").alias("channel"),
+        F.col("common.ar").alias("province_id"), F.col("common.vc").alias("version_code"),
+        F.col("common.mid").alias("mid_id"), F.col("common.ba").alias("brand"),
+        F.col("common.md").alias("model"), F.col("common.os").alias("operate_system"))
     first = first_rows(rows.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()),
                        ["session_id"], ["ts", "id"])
     at = shop_time(F.col("ts"))

@@ -40,10 +40,14 @@ def grade_by_pattern(comments: DataFrame, words, text: str = "review_text") -> D
 
 
 def tokens(comments: DataFrame, text: str = "review_text") -> DataFrame:
-    """The distinct words of each comment, one per row, in lower case, whole text."""
+    """The distinct words of each comment, one per row, in lower case, whole text.
+
+    The outer form of `explode` keeps Spark from evaluating the split a second time as a filter
+    on empty lists; the rows it adds go with the empty words.
+    """
     words = F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))
     keep = [c for c in comments.columns if c != text]
-    return (comments.select(*keep, F.explode(words).alias("word"))
+    return (comments.select(*keep, F.explode_outer(words).alias("word"))
             .where(F.length("word") > 0))
 
 

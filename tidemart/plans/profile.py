@@ -18,13 +18,12 @@ def user_activity(log: DataFrame) -> DataFrame:
     A visit to the payment page is a purchase, displays belong to a search, everything else is
     browsing.
     """
-    rows = log.select(parse_log(F.col("log")).alias("l")).where(
-        F.col("l.ts").isNotNull() & F.col("l.common.uid").isNotNull())
-    at = shop_time(F.col("l.ts"))
+    rows = parse_log(log).where(F.col("ts").isNotNull() & F.col("common.uid").isNotNull())
+    at = shop_time(F.col("ts"))
     return rows.select(
-        F.col("l.common.uid").cast("bigint").alias("user_id"), iso_day(at).alias("ds"),
-        day_part(at).alias("part"), (F.col("l.page.page_id") == "payment").alias("bought"),
-        F.col("l.displays").isNotNull().alias("searched"))
+        F.col("common.uid").cast("bigint").alias("user_id"), iso_day(at).alias("ds"),
+        day_part(at).alias("part"), (F.col("page.page_id") == "payment").alias("bought"),
+        F.col("displays").isNotNull().alias("searched"))
 
 
 def user_profile(activity: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from tidemart.streaming import changes, event_time, logs, sinks
 ORDER_DAY = "1998-06-30"
 LOG_DAY = "2024-01-30"
 FIRST_MONTH = "1995-01-31"
+PAYMENT_DAY = "1998-07-03"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -179,9 +180,9 @@ def fact_payment_line(shop):
 def fact_payment_line_daily(shop):
     """The lines are dated like their orders, so that payments come soon after."""
     return facts.payment_line_daily(
-        shop.order_detail_by_order_day(shift(ORDER_DAY, -1), ORDER_DAY), shop.payment_info(),
+        shop.order_detail_by_order_day(shift(PAYMENT_DAY, -1), PAYMENT_DAY), shop.payment_info(),
         shop.order_info(), shop.order_detail_activity(), shop.order_detail_coupon(),
-        shop.base_dic(), ORDER_DAY)
+        shop.base_dic(), PAYMENT_DAY)
 
 
 def _flow(shop: Shop) -> DataFrame:
@@ -239,9 +240,8 @@ def fact_login(shop):
 @query
 def first_event_per_session(shop):
     """First log line of every session, known user or not."""
-    rows = shop.z_log().select("id", readers.parse_log(F.col("log")).alias("l")).select(
-        F.col("l.common.sid").alias("session_id"), F.col("l.ts").alias("ts"), "id",
-        F.col("l.page.page_id").alias("page_id")).where(F.col("ts").isNotNull())
+    rows = readers.parse_log(shop.z_log()).where(F.col("ts").isNotNull()).select(
+        F.col("common.sid").alias("session_id"), "ts", "id", "page.page_id")
     return ranking.first_rows(rows, ["session_id"], ["ts", "id"])
 
 
@@ -944,7 +944,8 @@ def log_words(shop):
     """The bytes of every text as log data, cut into 32-byte words."""
     data = F.concat(F.lit("0x"), F.hex("text"))
     rows = shop.table("documents").select("doc_id", keys.log_words(data).alias("words"))
-    return rows.select("doc_id", F.posexplode("words").alias("word_no", "word"))
+    return (rows.select("doc_id", F.posexplode_outer("words").alias("word_no", "word"))
+            .where(F.col("word").isNotNull()))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.days import shift
@@ -115,6 +115,10 @@ LOG_SCHEMA = (
 )
 
 
-def parse_log(text: Column) -> Column:
-    """Parse an event log line once. Text that is not JSON gives a struct of nulls."""
-    return F.from_json(text, LOG_SCHEMA)
+def parse_log(lines: DataFrame, text: str = "log") -> DataFrame:
+    """Add the parsed columns `common`, `page`, ..., `ts` to rows with a log line.
+
+    Lines that are not JSON get nulls. The parser runs inside a generator: a later filter on a
+    parsed column then cannot be moved below it, where Spark would parse every line a second time.
+    """
+    return lines.select("*", F.inline(F.array(F.from_json(F.col(text), LOG_SCHEMA))))

@@ -13,23 +13,19 @@ ROUTES = ("err", "start", "display", "action", "page", "dirty")
 def split_log(stream: DataFrame, text: str = "value") -> DataFrame:
     """One row per line and section it holds, `route` naming the section; unparsable lines are
     routed to `dirty`. `value` is the JSON of the section, or the whole text for `dirty`."""
-    parsed = stream.withColumn("__l", parse_log(F.col(text)))
-    line = F.col("__l")
-
     def section(route, column):
-        return F.when(column.isNotNull(), F.struct(
-            F.lit(route).alias("route"),
-            F.to_json(F.struct(line["common"].alias("common"), column.alias(route),
-                               line["ts"].alias("ts"))).alias("value")))
-
-    dirty = F.when(line["ts"].isNull(), F.struct(F.lit("dirty").alias("route"),
-                                                 F.col(text).alias("value")))
-    clean = [F.when(line["ts"].isNotNull(), section(route, line[name])) for route, name in (
+        content = F.to_json(F.struct("common", F.col(column).alias(route), "ts"))
+        return F.when(F.col("ts").isNotNull() & F.col(column).isNotNull(),
+                      F.struct(F.lit(route).alias("route"), content.alias("value")))
+
+    dirty = F.when(F.col("ts").isNull(), F.struct(F.lit("dirty").alias("route"),
+                                                  F.col(text).alias("value")))
+    clean = [section(route, name) for route, name in (
         ("err", "err"), ("start", "start"), ("display", "displays"), ("action", "actions"),
         ("page", "page"))]
     keep = [c for c in stream.columns if c != text]
-    return (parsed.select(*keep, F.explode(F.array_compact(F.array(dirty, *clean))).alias("__s"))
-            .select(*keep, "__s.route", "__s.value"))
+    return (parse_log(stream, text)
+            .select(*keep, F.inline(F.array_compact(F.array(dirty, *clean)))))
 
 
 def with_topic(routed: DataFrame, topics: dict[str, str]) -> DataFrame:
