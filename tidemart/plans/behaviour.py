@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.ranking import next_in_sequence
+from tidemart.operators.ranking import next_values
 from tidemart.sources.readers import parse_log
 
 
@@ -37,14 +37,15 @@ def login_region_heat(logins: DataFrame, provinces: DataFrame) -> DataFrame:
 
 
 def _page_sequence(log: DataFrame) -> DataFrame:
-    return (parse_log(log).where(F.col("ts").isNotNull())
+    """Pages with session and time; a view without a session belongs to no path."""
+    return (parse_log(log).where(F.col("ts").isNotNull() & F.col("common.sid").isNotNull())
             .select("id", "ts", F.col("common.sid").alias("session_id"), "page.page_id"))
 
 
 def page_path_edges(log: DataFrame) -> DataFrame:
     """How often one page follows another within a session; the last page leads nowhere (null)."""
-    steps = next_in_sequence(_page_sequence(log), ["session_id"], "ts", "id", "page_id",
-                             "next_page_id")
+    steps = next_values(_page_sequence(log), ["session_id"], "ts", "id", "page_id",
+                        ["next_page_id"])
     return steps.groupBy("page_id", "next_page_id").agg(
         F.count("*").cast("bigint").alias("step_count"))
 
@@ -55,10 +56,10 @@ def page_paths(log: DataFrame) -> DataFrame:
     Paths of a fixed length can be counted for sessions of any length; a whole session as one
     text would have to be gathered in one row.
     """
-    one = next_in_sequence(_page_sequence(log), ["session_id"], "ts", "id", "page_id", "second")
-    two = next_in_sequence(one, ["session_id"], "ts", "id", "second", "third")
+    steps = next_values(_page_sequence(log), ["session_id"], "ts", "id", "page_id",
+                        ["second", "third"])
     path = F.concat("page_id", F.lit(">"), "second", F.lit(">"), "third")
-    return (two.where(F.col("third").isNotNull())
+    return (steps.where(F.col("third").isNotNull())
             .groupBy(path.alias("path")).agg(F.count("*").cast("bigint").alias("path_count")))
 
 

@@ -39,25 +39,29 @@ def attribute_lists(rows: DataFrame, key: str, name: str) -> DataFrame:
         F.sort_array(F.collect_set(F.struct(*fields))).alias(name))
 
 
-def product(sku: DataFrame, spu: DataFrame, category3: DataFrame, category2: DataFrame,
-            category1: DataFrame, trademark: DataFrame, attributes: DataFrame,
-            sale_attributes: DataFrame) -> DataFrame:
-    """Products with their group, three category levels, brand and attribute lists."""
+def product_named(sku: DataFrame, category3: DataFrame, category2: DataFrame,
+                  category1: DataFrame, trademark: DataFrame) -> DataFrame:
+    """Products with three category levels and brand; no product is lost to a missing level."""
     c3 = category3.select(F.col("id").alias("category3_id"), F.col("name").alias("category3_name"),
                           F.col("category2_id"))
     c2 = category2.select(F.col("id").alias("category2_id"), F.col("name").alias("category2_name"),
                           F.col("category1_id"))
     c1 = category1.select(F.col("id").alias("category1_id"), F.col("name").alias("category1_name"))
-    group = spu.select(F.col("id").alias("spu_id"), "spu_name")
     brand = trademark.select(F.col("id").alias("tm_id"), "tm_name")
+    return (sku.join(c3, "category3_id", "left").join(c2, "category2_id", "left")
+            .join(c1, "category1_id", "left").join(brand, "tm_id", "left"))
+
+
+def product(sku: DataFrame, spu: DataFrame, category3: DataFrame, category2: DataFrame,
+            category1: DataFrame, trademark: DataFrame, attributes: DataFrame,
+            sale_attributes: DataFrame) -> DataFrame:
+    """The product dimension: names, group, categories, brand and attribute lists."""
+    group = spu.select(F.col("id").alias("spu_id"), "spu_name")
+    named = (product_named(sku, category3, category2, category1, trademark)
+             .join(group, "spu_id", "left").withColumnRenamed("id", "sku_id"))
     attrs = attribute_lists(attributes, "sku_id", "sku_attr_values")
     sale = attribute_lists(sale_attributes, "sku_id", "sku_sale_attr_values")
-    joined = sku
-    for side, on in ((group, "spu_id"), (c3, "category3_id"), (c2, "category2_id"),
-                     (c1, "category1_id"), (brand, "tm_id")):
-        joined = joined.join(side, on, "left")
-    joined = joined.withColumnRenamed("id", "sku_id")
-    joined = joined.join(attrs, "sku_id", "left").join(sale, "sku_id", "left")
+    joined = named.join(attrs, "sku_id", "left").join(sale, "sku_id", "left")
     return joined.select(
         F.col("sku_id").alias("id"), money(F.col("price")).alias("price"), "sku_name", "sku_desc",
         money(F.col("weight")).alias("weight"), (F.col("is_sale") == 1).alias("is_sale"),

@@ -58,13 +58,14 @@ def order_line(lines: DataFrame, orders: DataFrame, activity_links: DataFrame,
         "split_total_amount", day.alias("ds"))
 
 
-def order_line_measures(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """The part of `order_line` that the daily aggregates read: no links, so two joins less."""
-    heads = orders.select(F.col("id").alias("order_id"), "user_id", "province_id")
+def order_line_measures(lines: DataFrame, orders: DataFrame, owner: str) -> DataFrame:
+    """What a daily aggregate reads of `order_line`: no links, and only the owning column
+    (`user_id` or `province_id`) of the order."""
+    heads = orders.select(F.col("id").alias("order_id"), owner)
     return (line_amounts(lines).join(heads, "order_id", "left")
-            .select("order_id", "user_id", "sku_id", "province_id", "sku_num",
-                    "split_original_amount", "split_activity_amount", "split_coupon_amount",
-                    "split_total_amount", iso_day(F.col("create_time")).alias("ds")))
+            .select("order_id", owner, "sku_id", "sku_num", "split_original_amount",
+                    "split_activity_amount", "split_coupon_amount", "split_total_amount",
+                    iso_day(F.col("create_time")).alias("ds")))
 
 
 def payment_line(lines: DataFrame, payments: DataFrame, orders: DataFrame,

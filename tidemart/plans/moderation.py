@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +14,9 @@ from tidemart.functions.text import any_word
 GRADES = ("P0", "P1", "P2")
 # Days on the blacklist per grade; P2 is only flagged.
 BLACKLIST_DAYS = {"P0": 365, "P1": 60}
-# Above this many words a pattern is slower than looking the words up.
-PATTERN_WORDS = 2_000
+# Up to this many words per grade are searched one by one, which is several times faster than a
+# pattern of alternatives; longer lists become a pattern.
+SINGLE_WORDS = 64
 
 # Sample words, strongest grade first. A shop brings its own.
 SAMPLE_WORDS = (
@@ -22,21 +26,25 @@ SAMPLE_WORDS = (
 )
 
 
-def grade_by_pattern(comments: DataFrame, words, text: str = "review_text") -> DataFrame:
+def grade_by_text(comments: DataFrame, words, text: str = "review_text") -> DataFrame:
     """Add `grade`, the strongest grade with a word anywhere in the whole text, else null.
 
-    One pattern per grade, evaluated row by row without a join or shuffle; works on streams too.
-    `words` is a list of (word, grade) of limited size; longer lists go through `grade_by_lookup`.
+    `words` is a list of (word, grade); case does not matter. Evaluated row by row without a join
+    or shuffle, on tables and on streams. Dictionaries kept as tables go through
+    `grade_by_lookup`.
     """
-    if len(words) > PATTERN_WORDS:
-        raise ValueError("too many words for patterns, use grade_by_lookup")
-    text_lower = F.lower(F.col(text))
+    lower = comments.withColumn("__lower", F.lower(F.col(text)))
     grade = F.when(F.lit(False), F.lit(None).cast("string"))
     for level in GRADES:
-        chosen = [w.lower() for w, g in words if g == level]
-        if chosen:
-            grade = grade.when(text_lower.rlike(any_word(chosen)), level)
-    return comments.withColumn("grade", grade)
+        chosen = sorted({w.lower() for w, g in words if g == level})
+        if not chosen:
+            continue
+        if len(chosen) <= SINGLE_WORDS:
+            found = reduce(or_, [F.col("__lower").contains(w) for w in chosen])
+        else:
+            found = F.col("__lower").rlike(any_word(chosen))
+        grade = grade.when(found, level)
+    return lower.withColumn("grade", grade).drop("__lower")
 
 
 def tokens(comments: DataFrame, text: str = "review_text") -> DataFrame:

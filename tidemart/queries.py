@@ -44,6 +44,12 @@ def _products(shop: Shop) -> DataFrame:
                         shop.sku_attr_value(), shop.sku_sale_attr_value())
 
 
+def _labels(shop: Shop) -> DataFrame:
+    """Names and categories only, for the aggregates and reports."""
+    return dims.product_named(shop.sku_info(), shop.base_category3(), shop.base_category2(),
+                              shop.base_category1(), shop.base_trademark())
+
+
 def _coupons(shop: Shop) -> DataFrame:
     return dims.coupon(shop.coupon_info(), shop.base_dic())
 
@@ -247,12 +253,14 @@ def first_event_per_session(shop):
 
 # ---- one-day aggregates ---------------------------------------------------------------------
 
-def _lines(shop: Shop, first: str | None = None, last: str | None = None) -> DataFrame:
-    return facts.order_line_measures(shop.order_detail(first, last), shop.order_info())
+def _lines(shop: Shop, first: str | None = None, last: str | None = None,
+           owner: str = "user_id") -> DataFrame:
+    heads = shop.order_buyer() if owner == "user_id" else shop.order_info()
+    return facts.order_line_measures(shop.order_detail(first, last), heads, owner)
 
 
 def _user_product_1d(shop, first=None, last=None):
-    return daily.user_product_order(_lines(shop, first, last), _products(shop))
+    return daily.user_product_order(_lines(shop, first, last), _labels(shop))
 
 
 @query
@@ -277,7 +285,7 @@ def user_payment_1d(shop):
 
 @query
 def province_order_1d(shop):
-    return daily.province_order(_lines(shop), _provinces(shop))
+    return daily.province_order(_lines(shop, owner="province_id"), _provinces(shop))
 
 
 @query
@@ -287,7 +295,7 @@ def user_coupon_used_1d(shop):
 
 @query
 def product_favorite_1d(shop):
-    return daily.product_favorite(facts.favorite_add(shop.favor_info()), _products(shop))
+    return daily.product_favorite(facts.favorite_add(shop.favor_info()), _labels(shop))
 
 
 def _sessions(shop: Shop) -> DataFrame:
@@ -317,8 +325,8 @@ def user_product_order_nd(shop):
 
 
 def _province_1d(shop, length):
-    return daily.province_order(_lines(shop, horizon_start(ORDER_DAY, length), ORDER_DAY),
-                                _provinces(shop))
+    lines = _lines(shop, horizon_start(ORDER_DAY, length), ORDER_DAY, owner="province_id")
+    return daily.province_order(lines, _provinces(shop))
 
 
 @query
@@ -449,12 +457,12 @@ def category_order_stats(shop):
 
 @query
 def cart_top3_by_category(shop):
-    return reports.cart_top3_by_category(_cart_snapshot(shop), _products(shop), LOG_DAY)
+    return reports.cart_top3_by_category(_cart_snapshot(shop), _labels(shop), LOG_DAY)
 
 
 @query
 def favorite_top3_by_brand(shop):
-    rows = daily.product_favorite(facts.favorite_add(shop.favor_info()), _products(shop))
+    rows = daily.product_favorite(facts.favorite_add(shop.favor_info()), _labels(shop))
     return reports.favorite_top3_by_brand(rows, LOG_DAY)
 
 
@@ -563,7 +571,7 @@ def _words(shop: Shop) -> DataFrame:
 
 @query
 def comment_grade(shop):
-    graded = moderation.grade_by_pattern(shop.documents(), moderation.SAMPLE_WORDS)
+    graded = moderation.grade_by_text(shop.documents(), moderation.SAMPLE_WORDS)
     return graded.select("comment_id", "user_id", "grade")
 
 
@@ -580,13 +588,13 @@ def comment_blacklist(shop):
         F.col("source").alias("user_id"), F.col("text").alias("review_text"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 30).cast("int"))
         .cast("string").alias("ds"))
-    graded = moderation.grade_by_pattern(comments, moderation.SAMPLE_WORDS)
+    graded = moderation.grade_by_text(comments, moderation.SAMPLE_WORDS)
     return moderation.blacklist(graded, "2024-03-20")
 
 
 @query
 def comment_totals(shop):
-    graded = moderation.grade_by_pattern(shop.documents(), moderation.SAMPLE_WORDS)
+    graded = moderation.grade_by_text(shop.documents(), moderation.SAMPLE_WORDS)
     return moderation.totals(graded)
 
 
@@ -870,7 +878,7 @@ def stream_log_split(shop):
 def _graded_stream(shop: Shop) -> DataFrame:
     comments = _stream(shop, "documents").select(
         F.col("doc_id").alias("comment_id"), F.col("text").alias("review_text"))
-    return moderation.grade_by_pattern(comments, moderation.SAMPLE_WORDS).select(
+    return moderation.grade_by_text(comments, moderation.SAMPLE_WORDS).select(
         "comment_id", "grade")
 
 

@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A hot join key is split at run time instead of being handled by one task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ... also where the split costs one more shuffle for the aggregate behind the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A hot day is split when a partitioned table is written (see sources.writers).
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # `ds` is text everywhere; without this, folders named ds=2025-01-01 come back as dates.

@@ -197,6 +197,11 @@ class Shop:
             off.alias("activity_reduce_amount"), coupon.alias("coupon_reduce_amount"),
             total.alias("total_amount")))
 
+    def order_buyer(self) -> DataFrame:
+        """Order and buyer, without the customer's province."""
+        return self.table("orders").select(F.col("o_orderkey").alias("id"),
+                                           F.col("o_custkey").alias("user_id"))
+
     def order_detail(self, first: str | None = None, last: str | None = None) -> DataFrame:
         """Order lines; the line's creation day is its ship date.
 
