@@ -26,7 +26,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "orc") -> DataFrame:
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Tab-separated text with a declared schema; `\\N` is null, as in text tables."""
-    return spark.read.csv(path, schema=schema, sep="\t", nullValue="\\N", emptyValue="")
+    return spark.read.csv(path, schema=schema, sep="\t", nullValue="\\N")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -89,7 +89,7 @@ def append_distinct(new: DataFrame, path: str, fmt: str = FORMAT) -> None:
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, sep="\t", nullValue="\\N", emptyValue="",
+    df.write.mode("overwrite").csv(path, sep="\t", nullValue="\\N",
                                    timestampFormat="yyyy-MM-dd HH:mm:ss")
 
 
