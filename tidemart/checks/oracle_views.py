@@ -174,11 +174,9 @@ VIEWS = {
     # one-day aggregates
     "a_user_product": """
         SELECT user_id, sku_id, sku_name, category1_id, category1_name, category2_id,
-               category2_name, category3_id, category3_name, tm_id, tm_name, order_count_1d,
-               distinct_order_count_1d, order_num_1d, order_original_amount_1d,
+               category2_name, category3_id, category3_name, tm_id, tm_name, order_count_1d, order_num_1d, order_original_amount_1d,
                activity_reduce_amount_1d, coupon_reduce_amount_1d, order_total_amount_1d, ds
         FROM (SELECT user_id, sku_id, ds, count(*) AS order_count_1d,
-                     count(DISTINCT order_id) AS distinct_order_count_1d,
                      CAST(sum(sku_num) AS BIGINT) AS order_num_1d,
                      CAST(sum(original) AS DECIMAL(26,2)) AS order_original_amount_1d,
                      CAST(sum(off) AS DECIMAL(26,2)) AS activity_reduce_amount_1d,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 PAID = "1602"
 FINISHED = "1004"
 
@@ -13,7 +11,7 @@ ACTIVITY_TYPE = "31"
 COUPON_TYPE = "32"
 COUPON_RANGE = "33"
 
-# (code, name, parent)
+DICTIONARY_COLUMNS = "dic_code string, dic_name string, parent_code string"
 DICTIONARY = [
     ("1001", "unpaid", "10"), ("1002", "paid", "10"), ("1003", "cancelled", "10"),
     ("1004", "finished", "10"), ("1005", "refund requested", "10"), ("1006", "refunded", "10"),
@@ -24,8 +22,3 @@ DICTIONARY = [
     ("3203", "cash coupon", "32"),
     ("3301", "category", "33"), ("3302", "brand", "33"), ("3303", "single product", "33"),
 ]
-
-
-def dictionary(spark: SparkSession) -> DataFrame:
-    """The dictionary as literal rows: (dic_code, dic_name, parent_code)."""
-    return spark.createDataFrame(DICTIONARY, "dic_code string, dic_name string, parent_code string")

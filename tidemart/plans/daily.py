@@ -22,14 +22,12 @@ AMOUNTS = ["order_original_amount", "activity_reduce_amount", "coupon_reduce_amo
 
 
 def user_product_order(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """User x product x day. `order_count_1d` counts lines; distinct orders are counted beside it."""
+    """User x product x day; `order_count_1d` counts order lines."""
     facts = lines.groupBy("ds", "user_id", "sku_id").agg(
         F.count("*").cast("bigint").alias("order_count_1d"),
-        F.count_distinct("order_id").cast("bigint").alias("distinct_order_count_1d"),
         F.sum("sku_num").cast("bigint").alias("order_num_1d"), *_amounts())
     return (facts.join(product_labels(products), "sku_id", "left")
-            .select("user_id", "sku_id", *PRODUCT_KEYS, "order_count_1d",
-                    "distinct_order_count_1d", "order_num_1d",
+            .select("user_id", "sku_id", *PRODUCT_KEYS, "order_count_1d", "order_num_1d",
                     *[f"{a}_1d" for a in AMOUNTS], "ds"))
 
 

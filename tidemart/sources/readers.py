@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.functions.days import shift
 
@@ -35,7 +37,14 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """A few rows written down in code.
+
+    They travel as an Arrow table: Spark then knows how small they are and broadcasts them in a
+    join, whereas a frame made from Python tuples counts as infinitely large.
+    """
+    fields = StructType.fromDDL(schema)
+    arrays = [pa.array(values) for values in zip(*rows)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=fields.names), fields)
 
 
 def jdbc_options(url: str, query: str, *, user: str | None = None, password: str | None = None,

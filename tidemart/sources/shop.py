@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.codes import dictionary
+from tidemart.functions import codes
 from tidemart.functions.money import money
+from tidemart.sources.readers import literal_rows
 
 PAGES = ("home", "good_detail", "cart", "order", "payment")
 
@@ -127,7 +128,7 @@ class Shop:
             region.cast("bigint").alias("benefit_level"))
 
     def base_dic(self) -> DataFrame:
-        return dictionary(self.spark)
+        return literal_rows(self.spark, codes.DICTIONARY, codes.DICTIONARY_COLUMNS)
 
     def base_province(self) -> DataFrame:
         """Nations as provinces; region ids 0-4, so every province finds its region."""

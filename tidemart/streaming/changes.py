@@ -1,6 +1,7 @@
 """Applying a change stream (before/after images) to a keyed table.
 
-The table is stored in hash buckets of the key. A batch rewrites only the buckets it touches.
+The table is stored in hash buckets of the key. A batch rewrites only the buckets it touches, so
+the number of buckets should grow with the table: one bucket is what a batch rewrites at least.
 Deleted keys stay as marked rows, so that an older change arriving later cannot revive them and a
 batch that is applied twice changes nothing.
 """
@@ -43,7 +44,7 @@ def apply_batch(path: str, key: str, buckets: int = 128) -> Callable[[DataFrame,
         spark = batch.sparkSession
         # One row per key is left, however often a hot key changed.
         changes = merge_changes(None, batch, key).withColumn(
-            "bucket", hash_bucket(F.col(key), buckets))
+            "bucket", hash_bucket(F.col(key), buckets)).persist()
         stored = None
         if exists(spark, path):
             # At most `buckets` values, which name the folders to read.
@@ -53,6 +54,7 @@ def apply_batch(path: str, key: str, buckets: int = 128) -> Callable[[DataFrame,
         merged = merge_changes(stored, changes, key)
         (merged.hint("rebalance", F.col("bucket")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+        changes.unpersist()
     return apply
 
 
