@@ -93,9 +93,10 @@ def test_order_flow_closes_step_by_step(spark):
     assert {(r.order_id, r.payment_amount, r.ds) for r in flow.collect()} == {
         (1, None, FAR_DAY), (2, None, FAR_DAY)}
     day2 = flow_inputs(spark, [(3, "2024-01-02T10:00:00")], [(1, "2024-01-02T12:00:00")], [])
-    flow = facts.order_flow_daily(flow, *day2)
+    flow = facts.order_flow_daily(flow, *day2, "2024-01-02")
     day3 = flow_inputs(spark, [], [(2, "2024-01-03T09:00:00")], [(1, "2024-01-03T12:00:00")])
-    flow = facts.order_flow_daily(flow, *day3)
+    for _ in range(2):  # a repeated run changes nothing
+        flow = facts.order_flow_daily(flow, *day3, "2024-01-03")
     got = {r.order_id: (r.payment_date_id, r.payment_amount, r.finish_date_id, r.ds)
            for r in flow.collect()}
     assert got == {1: ("2024-01-02", D(10), "2024-01-03", "2024-01-03"),
@@ -233,6 +234,8 @@ def test_page_view_skips_unreadable_lines_only(spark):
                      (2, "garbled"), (3, '{"page":{"page_id":"home"}}'), (4, None)])
     got = [(r.page_id, r.during_time, r.ds, r.view_time) for r in facts.page_view(df).collect()]
     assert got == [("home", 5, "2024-01-02", "2024-01-02 00:00:00")]
+    loaded = facts.page_view(df, "2024-01-01").collect()
+    assert [(r.date_id, r.ds) for r in loaded] == [("2024-01-02", "2024-01-01")]
 
 
 def comments(spark, texts):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import codes
@@ -146,19 +146,22 @@ def order_flow(orders: DataFrame, payments: DataFrame, status_log: DataFrame) ->
 
 
 def order_flow_daily(flow: DataFrame, new_orders: DataFrame, payments: DataFrame,
-                     status_log: DataFrame) -> DataFrame:
+                     status_log: DataFrame, day: str) -> DataFrame:
     """One day's step: open rows and new orders take over the day's payments and finishes.
 
-    `flow` is the stored table; only its open partition is read, and the result holds the new open
-    partition and the rows that were closed.
+    `flow` is the stored table. The result holds the whole open partition and the whole partition
+    `day`, which takes the rows closed by this step, so both can be overwritten. What an earlier
+    run of the same day has stored is read back or computed anew, never doubled.
     """
-    rows = (flow.where(F.col("ds") == FAR_DAY).select(*FLOW_COLUMNS)
+    stored = flow.where(F.col("ds").isin(FAR_DAY, day) & (F.col("order_date_id") < day))
+    rows = (stored.select(*FLOW_COLUMNS)
             .unionByName(_flow_orders(new_orders), allowMissingColumns=True))
     rows = fill_columns(rows, _flow_payments(payments), "order_id",
                         ["payment_date_id", "payment_time", "payment_amount"])
     rows = fill_columns(rows, _flow_finishes(status_log), "order_id",
                         ["finish_date_id", "finish_time"])
-    return _flow_partition(rows)
+    closed = F.col("finish_date_id").isNotNull()
+    return rows.select(*FLOW_COLUMNS, F.when(closed, day).otherwise(FAR_DAY).alias("ds"))
 
 
 def coupon_used(uses: DataFrame) -> DataFrame:
@@ -174,7 +177,16 @@ def favorite_add(favorites: DataFrame) -> DataFrame:
                             iso_time(F.col("create_time")).alias("create_time"), day.alias("ds"))
 
 
-def page_view(log: DataFrame) -> DataFrame:
+def _log_partition(day: Column, loaded: str | None) -> Column:
+    """The partition of a log row: its day at the shop, but no later than the day of its load.
+
+    The shop's day begins before the UTC day, so a day's lines reach into the next one, whose own
+    load would overwrite them.
+    """
+    return day if loaded is None else F.least(day, F.lit(loaded))
+
+
+def page_view(log: DataFrame, loaded: str | None = None) -> DataFrame:
     """Page views from log lines; lines without a readable event time are left to the rejects."""
     parsed = parse_log(log).where(F.col("ts").isNotNull())
     at = shop_time(F.col("ts"))
@@ -190,10 +202,11 @@ def page_view(log: DataFrame) -> DataFrame:
         F.col("page.from_pos_seq").alias("from_pos_seq"),
         F.col("page.refer_id").alias("refer_id"), iso_day(at).alias("date_id"),
         iso_time(at).alias("view_time"), F.col("common.sid").alias("session_id"),
-        F.col("page.during_time").alias("during_time"), iso_day(at).alias("ds"))
+        F.col("page.during_time").alias("during_time"),
+        _log_partition(iso_day(at), loaded).alias("ds"))
 
 
-def login(log: DataFrame) -> DataFrame:
+def login(log: DataFrame, loaded: str | None = None) -> DataFrame:
     """The first line of each session with a known user."""
     rows = parse_log(log).select(
         F.col("common.sid").alias("session_id"), "ts", "id",
@@ -207,4 +220,4 @@ def login(log: DataFrame) -> DataFrame:
     return first.select(
         F.col("user_id").cast("bigint").alias("user_id"), iso_day(at).alias("date_id"),
         iso_time(at).alias("login_time"), "channel", "province_id", "version_code", "mid_id",
-        "brand", "model", "operate_system", iso_day(at).alias("ds"))
+        "brand", "model", "operate_system", _log_partition(iso_day(at), loaded).alias("ds"))

@@ -216,7 +216,8 @@ def fact_order_flow_daily(shop):
     flow = facts.order_flow(before(orders, "create_time"), before(payments, "callback_time"),
                             before(log, "create_time"))
     return facts.order_flow_daily(flow, during(orders, "create_time"),
-                                  during(payments, "callback_time"), during(log, "create_time"))
+                                  during(payments, "callback_time"), during(log, "create_time"),
+                                  ORDER_DAY)
 
 
 @query
