@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.session import WarehouseSession, scratch_path, scratch_root
-from tidemart.sources import readers, writers
+from tidemart.sources import readers, tables, writers
 
 
 def rows(df, *columns):
@@ -129,3 +129,28 @@ def test_remote_session_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         scratch_root(Remote())
+
+
+def test_declared_table_replaces_only_its_days(spark):
+    path = scratch_path(spark, "declared")
+    df = spark.createDataFrame([(1, "x", "2025-01-01"), (2, "y", "2025-01-02")],
+                               "k int, v string, ds string")
+    tables.declare_table(df, "declared_orders", path)
+    tables.insert_day(df, "declared_orders")
+    tables.insert_day(df.where("k = 2").withColumn("k", F.lit(3)), "declared_orders")
+    stored = spark.table("declared_orders")
+    assert rows(stored, "k", "ds") == [(1, "2025-01-01"), (3, "2025-01-02")]
+    assert stored.schema["ds"].dataType.simpleString() == "string"
+    writers.write_partition(df.where("k = 1"), path, "2025-01-03")
+    tables.refresh_days(spark, "declared_orders")
+    assert spark.table("declared_orders").where("ds = '2025-01-03'").count() == 1
+    spark.sql("DROP TABLE declared_orders")
+    assert readers.read_table(spark, path).count() == 3
+
+
+def test_declared_text_table(spark):
+    path = scratch_path(spark, "declared-tsv")
+    df = spark.createDataFrame([(1, None), (2, "b")], "k int, v string")
+    writers.write_tsv(df, path)
+    tables.declare_tsv(df, "declared_report", path)
+    assert rows(spark.table("declared_report").na.fill("-"), "k", "v") == [(1, "-"), (2, "b")]

@@ -45,6 +45,15 @@ TOTALS = {
 }
 
 
+def _first_day(column: str) -> Column:
+    """Earliest ISO day. As dates the values fit a hash aggregate; texts would have to be sorted."""
+    return F.min(F.to_date(column)).cast("string")
+
+
+def _last_day(column: str) -> Column:
+    return F.max(F.to_date(column)).cast("string")
+
+
 def _total(name: str, col: Column) -> Column:
     kind = "decimal(26,2)" if "amount" in name else "bigint"
     return col.cast(kind).alias(name)
@@ -53,7 +62,7 @@ def _total(name: str, col: Column) -> Column:
 def user_order_total(daily: DataFrame, day: str) -> DataFrame:
     """Full build from all days up to `day`."""
     return (daily.where(F.col("ds") <= day).groupBy("user_id").agg(
-        F.min("ds").alias("order_date_first"), F.max("ds").alias("order_date_last"),
+        _first_day("ds").alias("order_date_first"), _last_day("ds").alias("order_date_last"),
         *[_total(t, F.sum(d)) for t, d in TOTALS.items()])
         .withColumn("ds", F.lit(day)))
 
@@ -85,8 +94,8 @@ def user_order_total_by_union(previous: DataFrame, daily: DataFrame, day: str) -
         *[F.col(d).alias(t) for t, d in TOTALS.items()])
     rows = previous.select(*today.columns).unionByName(today)
     return (rows.groupBy("user_id").agg(
-        F.min("order_date_first").alias("order_date_first"),
-        F.max("order_date_last").alias("order_date_last"),
+        _first_day("order_date_first").alias("order_date_first"),
+        _last_day("order_date_last").alias("order_date_last"),
         *[_total(t, F.sum(t)) for t in TOTALS])
         .withColumn("ds", F.lit(day)))
 
@@ -97,7 +106,7 @@ def user_login_total(users: DataFrame, logins: DataFrame, day: str) -> DataFrame
     Someone who never logged in counts as having done so once, on the registration day.
     """
     seen = (logins.where(F.col("ds") <= day).groupBy("user_id")
-            .agg(F.max("ds").alias("last"), F.count("*").alias("n")))
+            .agg(_last_day("ds").alias("last"), F.count("*").alias("n")))
     registered = users.select(
         F.col("id").alias("user_id"),
         F.substring(F.col("create_time").cast("string"), 1, 10).alias("first"))

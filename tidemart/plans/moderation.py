@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.money import ratio, sum_if
@@ -59,6 +59,11 @@ def tokens(comments: DataFrame, text: str = "review_text") -> DataFrame:
             .where(F.length("word") > 0))
 
 
+def _strongest() -> Column:
+    """The strongest grade of a group, compared by number: texts would have to be sorted."""
+    return F.concat(F.lit("P"), F.min(F.substring("grade", 2, 1).cast("int")).cast("string"))
+
+
 def grade_by_lookup(comments: DataFrame, dictionary: DataFrame, key: str = "comment_id",
                     text: str = "review_text") -> DataFrame:
     """Strongest grade per comment for dictionaries of any size, matching whole words.
@@ -67,7 +72,7 @@ def grade_by_lookup(comments: DataFrame, dictionary: DataFrame, key: str = "comm
     """
     known = dictionary.select(F.lower("word").alias("word"), "grade")
     return (tokens(comments, text).select(key, "word").join(known, "word")
-            .groupBy(key).agg(F.min("grade").alias("grade")))
+            .groupBy(key).agg(_strongest().alias("grade")))
 
 
 def blacklist(graded: DataFrame, day: str) -> DataFrame:
@@ -78,9 +83,9 @@ def blacklist(graded: DataFrame, day: str) -> DataFrame:
     """
     length = F.when(F.col("grade") == "P0", BLACKLIST_DAYS["P0"]).when(
         F.col("grade") == "P1", BLACKLIST_DAYS["P1"])
-    until = F.date_add(F.to_date("ds"), length).cast("string")
+    until = F.date_add(F.to_date("ds"), length)
     return (graded.where(length.isNotNull()).groupBy("user_id").agg(
-        F.max(until).alias("expires"), F.min("grade").alias("worst_grade"),
+        F.max(until).cast("string").alias("expires"), _strongest().alias("worst_grade"),
         F.count("*").cast("bigint").alias("offences"))
         .withColumn("is_active", F.col("expires") > day))
 

@@ -20,6 +20,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A hot day is split when a partitioned table is written (see sources.writers).
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Overwriting a partitioned table replaces the days that occur in the rows, never all days.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # `ds` is text everywhere; without this, folders named ds=2025-01-01 come back as dates.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
