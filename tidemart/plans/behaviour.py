@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.operators.ranking import next_values
-from tidemart.sources.readers import parse_log
+from tidemart.sources.readers import TIME, parse_log
 
 
 def page_visits(views: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def login_region_heat(logins: DataFrame, provinces: DataFrame) -> DataFrame:
 
 def _page_sequence(log: DataFrame) -> DataFrame:
     """Pages with session and time; a view without a session belongs to no path."""
-    return (parse_log(log).where(F.col("ts").isNotNull() & F.col("common.sid").isNotNull())
+    schema = f"common struct<sid: string>, page struct<page_id: string>, {TIME}"
+    return (parse_log(log, schema=schema).where(F.col("ts").isNotNull() & F.col("common.sid").isNotNull())
             .select("id", "ts", F.col("common.sid").alias("session_id"), "page.page_id"))
 
 

@@ -11,7 +11,7 @@ from tidemart.functions.money import money, or_zero
 from tidemart.operators.lookup import decode
 from tidemart.operators.merging import fill_columns
 from tidemart.operators.ranking import first_rows
-from tidemart.sources.readers import parse_log, scan_days
+from tidemart.sources.readers import COMMON, PAGE, TIME, parse_log, scan_days
 
 
 def cart_add(cart: DataFrame) -> DataFrame:
@@ -188,7 +188,7 @@ def _log_partition(day: Column, loaded: str | None) -> Column:
 
 def page_view(log: DataFrame, loaded: str | None = None) -> DataFrame:
     """Page views from log lines; lines without a readable event time are left to the rejects."""
-    parsed = parse_log(log).where(F.col("ts").isNotNull())
+    parsed = parse_log(log, schema=f"{COMMON}, {PAGE}, {TIME}").where(F.col("ts").isNotNull())
     at = shop_time(F.col("ts"))
     return parsed.select(
         F.col("common.ar").alias("province_id"), F.col("common.ba").alias("brand"),
@@ -208,7 +208,7 @@ def page_view(log: DataFrame, loaded: str | None = None) -> DataFrame:
 
 def login(log: DataFrame, loaded: str | None = None) -> DataFrame:
     """The first line of each session with a known user."""
-    rows = parse_log(log).select(
+    rows = parse_log(log, schema=f"{COMMON}, {TIME}").select(
         F.col("common.sid").alias("session_id"), "ts", "id",
         F.col("common.uid").alias("user_id"), F.col("common.ch").alias("channel"),
         F.col("common.ar").alias("province_id"), F.col("common.vc").alias("version_code"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.days import day_part, iso_day, shop_time
 from tidemart.functions.text import product_name_parts
-from tidemart.sources.readers import parse_log
+from tidemart.sources.readers import TIME, parse_log
 
 DAY_PARTS = ("night", "morning", "afternoon", "evening")
 
@@ -18,7 +18,9 @@ def user_activity(log: DataFrame) -> DataFrame:
     A visit to the payment page is a purchase, displays belong to a search, everything else is
     browsing.
     """
-    rows = parse_log(log).where(F.col("ts").isNotNull() & F.col("common.uid").isNotNull())
+    schema = ("common struct<uid: string>, page struct<page_id: string>,"
+              f" displays array<struct<item: string>>, {TIME}")
+    rows = parse_log(log, schema=schema).where(F.col("ts").isNotNull() & F.col("common.uid").isNotNull())
     at = shop_time(F.col("ts"))
     return rows.select(
         F.col("common.uid").cast("bigint").alias("user_id"), iso_day(at).alias("ds"),

@@ -247,7 +247,8 @@ def fact_login(shop):
 @query
 def first_event_per_session(shop):
     """First log line of every session, known user or not."""
-    rows = readers.parse_log(shop.z_log()).where(F.col("ts").isNotNull()).select(
+    schema = f"common struct<sid: string>, page struct<page_id: string>, {readers.TIME}"
+    rows = readers.parse_log(shop.z_log(), schema=schema).where(F.col("ts").isNotNull()).select(
         F.col("common.sid").alias("session_id"), "ts", "id", "page.page_id")
     return ranking.first_rows(rows, ["session_id"], ["ts", "id"])
 

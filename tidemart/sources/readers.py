@@ -113,21 +113,21 @@ def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-LOG_SCHEMA = (
-    "common struct<ar:string, ba:string, ch:string, is_new:string, md:string, mid:string,"
-    " os:string, sid:string, uid:string, vc:string>,"
-    " page struct<item:string, item_type:string, last_page_id:string, page_id:string,"
-    " from_pos_id:string, from_pos_seq:string, refer_id:string, during_time:bigint>,"
-    " start struct<entry:string>, err struct<error_code:bigint>,"
-    " displays array<struct<item:string>>, actions array<struct<action_id:string>>,"
-    " ts bigint"
-)
-
-
-def parse_log(lines: DataFrame, text: str = "log") -> DataFrame:
+COMMON = ("common struct<ar:string, ba:string, ch:string, is_new:string, md:string, mid:string,"
+          " os:string, sid:string, uid:string, vc:string>")
+PAGE = ("page struct<item:string, item_type:string, last_page_id:string, page_id:string,"
+        " from_pos_id:string, from_pos_seq:string, refer_id:string, during_time:bigint>")
+SECTIONS = ("start struct<entry:string>, err struct<error_code:bigint>,"
+            " displays array<struct<item:string>>, actions array<struct<action_id:string>>")
+TIME = "ts bigint"
+LOG_SCHEMA = f"{COMMON}, {PAGE}, {SECTIONS}, {TIME}"
+
+
+def parse_log(lines: DataFrame, text: str = "log", schema: str = LOG_SCHEMA) -> DataFrame:
     """Add the parsed columns `common`, `page`, ..., `ts` to rows with a log line.
 
-    Lines that are not JSON get nulls. The parser runs inside a generator: a later filter on a
-    parsed column then cannot be moved below it, where Spark would parse every line a second time.
+    Lines that are not JSON get nulls. `schema` names the parts a job needs; the parser skips the
+    others. It runs inside a generator: a later filter on a parsed column then cannot be moved
+    below it, where Spark would parse every line a second time.
     """
-    return lines.select("*", F.inline(F.array(F.from_json(F.col(text), LOG_SCHEMA))))
+    return lines.select("*", F.inline(F.array(F.from_json(F.col(text), schema))))
