@@ -257,8 +257,15 @@ def first_event_per_session(shop):
 
 def _lines(shop: Shop, first: str | None = None, last: str | None = None,
            owner: str = "user_id") -> DataFrame:
-    heads = shop.order_buyer() if owner == "user_id" else shop.order_info()
-    return facts.order_line_measures(shop.order_detail(first, last), heads, owner)
+    """Lines with the buyer or the buyer's province. A few days of lines meet the customers after
+    the orders, so that not all orders have to; the whole history meets orders with provinces."""
+    lines = shop.order_detail(first, last)
+    if owner == "user_id":
+        return facts.order_line_measures(lines, shop.order_buyer(), owner)
+    if first is None:
+        return facts.order_line_measures(lines, shop.order_info(), owner)
+    return facts.order_line_measures(lines, shop.order_buyer(), "user_id").join(
+        shop.buyer_province(), "user_id", "left").drop("user_id")
 
 
 def _user_product_1d(shop, first=None, last=None):

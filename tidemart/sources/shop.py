@@ -203,6 +203,11 @@ class Shop:
         return self.table("orders").select(F.col("o_orderkey").alias("id"),
                                            F.col("o_custkey").alias("user_id"))
 
+    def buyer_province(self) -> DataFrame:
+        return self.table("customer").select(
+            F.col("c_custkey").alias("user_id"),
+            F.col("c_nationkey").cast("bigint").alias("province_id"))
+
     def order_detail(self, first: str | None = None, last: str | None = None) -> DataFrame:
         """Order lines; the line's creation day is its ship date.
 
