@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.session import WarehouseSession, scratch_path, scratch_root
+from tidemart.session import (
+    MAX_PARTITIONS, MB, WarehouseSession, _bytes, prepare, scratch_path, scratch_root, sizing)
 from tidemart.sources import readers, tables, writers
 
 
@@ -154,3 +155,16 @@ def test_declared_text_table(spark):
     writers.write_tsv(df, path)
     tables.declare_tsv(df, "declared_report", path)
     assert rows(spark.table("declared_report").na.fill("-"), "k", "v") == [(1, "-"), (2, "b")]
+
+
+def test_sizes_grow_with_the_input(spark):
+    small, large = sizing(10 * MB), sizing(100 * 10**12)
+    assert small == {"spark.sql.shuffle.partitions": 1,
+                     "spark.sql.files.maxPartitionBytes": 128 * MB}
+    assert large["spark.sql.shuffle.partitions"] == MAX_PARTITIONS
+    assert 900 * MB < large["spark.sql.files.maxPartitionBytes"] <= 1024 * MB
+    assert [_bytes(x) for x in ("134217728b", "128m", "128MB", "200", "1g")] == [
+        128 * MB, 128 * MB, 128 * MB, 200, 1024 * MB]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    prepare(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -322,5 +322,17 @@ def test_login_totals_default_to_registration(spark):
     logins = spark.createDataFrame([(1, "2024-01-05"), (1, "2024-01-04"), (1, "2024-01-09")],
                                    "user_id int, ds string")
     got = {r.user_id: (r.login_date_last, r.login_date_first, r.login_count_td)
-           for r in horizon.user_login_total(users, logins, "2024-01-05").collect()}
+           for r in horizon.user_login_total(users, horizon.login_seen(logins, "2024-01-05"),
+                                             "2024-01-05").collect()}
     assert got == {1: ("2024-01-05", "2024-01-01", 2), 2: ("2024-01-02", "2024-01-02", 1)}
+
+
+def test_logins_seen_day_by_day(spark):
+    days = ["2024-01-04", "2024-01-05", "2024-01-06"]
+    logins = spark.createDataFrame([(1, days[0]), (1, days[0]), (2, days[1]), (1, days[2])],
+                                   "user_id int, ds string")
+    seen = horizon.login_seen(logins, days[0])
+    for day in days[1:]:
+        seen = horizon.login_seen_next(seen, logins, day)
+    full = horizon.login_seen(logins, days[-1])
+    assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, full.collect()))

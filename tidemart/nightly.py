@@ -19,8 +19,8 @@ class Warehouse:
     """Stored tables below one folder: `source/<table>` as delivered, `<table>` as computed."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = prepare(spark)
         self.root = root.rstrip("/")
+        self.spark = prepare(spark, self.root)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -150,8 +150,14 @@ def longer_aggregates(w: Warehouse, day: str, first: bool) -> None:
         totals = horizon.user_order_total_by_union(w.day("user_order_td", shift(day, -1)),
                                                    by_user, day)
     w.save_day("user_order_td", totals, day)
-    w.save_day("user_login_td", horizon.user_login_total(w.day("dim_user", FAR_DAY),
-                                                         w.table("fact_login"), day), day)
+    if first:
+        seen = horizon.login_seen(w.table("fact_login"), day)
+    else:
+        seen = horizon.login_seen_next(w.day("login_seen_td", shift(day, -1)),
+                                       w.table("fact_login"), day)
+    w.save_day("login_seen_td", seen, day)
+    w.save_day("user_login_td", horizon.user_login_total(
+        w.day("dim_user", FAR_DAY), w.day("login_seen_td", day), day), day)
 
 
 def write_reports(w: Warehouse, day: str, first: bool) -> None:

@@ -56,7 +56,7 @@ def lead_within(df: DataFrame, group: list[str], order: list[str], value: str, o
 
 
 def next_values(df: DataFrame, group: list[str], time: str, tie: str, value: str,
-                names: list[str], slice_ms: int = 60_000) -> DataFrame:
+                names: list[str], slice_ms: int = 600_000) -> DataFrame:
     """`lead(value, 1)`, `lead(value, 2)`, ... along `time`, `tie`, one column per name, for
     sequences of any length.
 

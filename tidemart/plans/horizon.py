@@ -100,17 +100,33 @@ def user_order_total_by_union(previous: DataFrame, daily: DataFrame, day: str) -
         .withColumn("ds", F.lit(day)))
 
 
-def user_login_total(users: DataFrame, logins: DataFrame, day: str) -> DataFrame:
+def login_seen(logins: DataFrame, day: str) -> DataFrame:
+    """Last login day and number of logins per user, from all logins up to `day`."""
+    return (logins.where(F.col("ds") <= day).groupBy("user_id")
+            .agg(_last_day("ds").alias("last_day"), F.count("*").cast("bigint").alias("logins"))
+            .withColumn("ds", F.lit(day)))
+
+
+def login_seen_next(previous: DataFrame, logins: DataFrame, day: str) -> DataFrame:
+    """The same from the result of the day before and the day's logins only."""
+    today = login_seen(logins.where(F.col("ds") == day), day)
+    rows = previous.select("user_id", "last_day", "logins").unionByName(today.drop("ds"))
+    return (rows.groupBy("user_id").agg(_last_day("last_day").alias("last_day"),
+                                        F.sum("logins").cast("bigint").alias("logins"))
+            .withColumn("ds", F.lit(day)))
+
+
+def user_login_total(users: DataFrame, seen: DataFrame, day: str) -> DataFrame:
     """Every registered user with last login, registration day and number of logins.
 
     Someone who never logged in counts as having done so once, on the registration day.
     """
-    seen = (logins.where(F.col("ds") <= day).groupBy("user_id")
-            .agg(_last_day("ds").alias("last"), F.count("*").alias("n")))
     registered = users.select(
         F.col("id").alias("user_id"),
         F.substring(F.col("create_time").cast("string"), 1, 10).alias("first"))
-    return (registered.where(F.col("first") <= day).join(seen, "user_id", "left").select(
-        "user_id", F.coalesce("last", "first").alias("login_date_last"),
-        F.col("first").alias("login_date_first"),
-        F.coalesce("n", F.lit(1)).cast("bigint").alias("login_count_td"), F.lit(day).alias("ds")))
+    return (registered.where(F.col("first") <= day)
+            .join(seen.select("user_id", "last_day", "logins"), "user_id", "left").select(
+                "user_id", F.coalesce("last_day", "first").alias("login_date_last"),
+                F.col("first").alias("login_date_first"),
+                F.coalesce("logins", F.lit(1)).cast("bigint").alias("login_count_td"),
+                F.lit(day).alias("ds")))

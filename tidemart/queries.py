@@ -30,7 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(function):
     """Register under the function's name; the function gets the shop."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(Shop(prepare(spark), folder))
+        return function(Shop(prepare(spark, folder), folder))
     run.__doc__ = function.__doc__
     QUERIES[function.__name__] = run
     return function
@@ -369,7 +369,8 @@ def user_order_td_merge_union(shop):
 
 
 def _login_totals(shop: Shop, day: str) -> DataFrame:
-    return horizon.user_login_total(dims.user_masked(shop.user_info()), _logins(shop), day)
+    seen = horizon.login_seen(_logins(shop), day)
+    return horizon.user_login_total(dims.user_masked(shop.user_info()), seen, day)
 
 
 @query
