@@ -784,11 +784,12 @@ def row_key(shop):
 # ---- streams --------------------------------------------------------------------------------
 
 def _stream(shop: Shop, name: str) -> DataFrame:
-    """A given table read as a stream of files."""
+    """A given table read as a stream of files, a gigabyte per core and micro-batch."""
     schema = shop.table(name).schema
+    size = shop.spark.sparkContext.defaultParallelism << 30
     # As a pattern the path may be a single file as well as a folder of files.
     pattern = f"{shop.folder}/{name}.parque[t]"
-    return shop.spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(pattern)
+    return shop.spark.readStream.schema(schema).option("maxBytesPerTrigger", size).parquet(pattern)
 
 
 def _log_stream(shop: Shop) -> DataFrame:
