@@ -224,6 +224,7 @@ def test_login_takes_first_known_line_by_number(spark):
 
     df = log(spark, [(1, line("a", None, 900, "x")), (2, line("a", 7, 10000, "y")),
                      (3, line("a", 7, 9000, "z")), (4, line("b", None, 1, "q")), (5, "garbled"),
+                     (7, line("d", "guest", 1, "q")),
                      (6, '{"common":{"sid":"c","uid":"8"}}')])
     got = [(r.user_id, r.channel, r.login_time, r.ds) for r in facts.login(df).collect()]
     assert got == [(7, "z", "1970-01-01 08:00:09", "1970-01-01")]

@@ -7,7 +7,6 @@ a step that is run again replaces its own partitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemart.functions.days import FAR_DAY, shift
 from tidemart.plans import daily, dims, facts, horizon, reports

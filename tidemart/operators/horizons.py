@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +18,3 @@ def by_horizon(df: DataFrame, keys: list[str], columns: dict[int, dict[str, Colu
         F.struct(F.lit(h).cast("bigint").alias(name), *[c.alias(n) for n, c in cols.items()])
         for h, cols in columns.items()])
     return df.select(*keys, F.explode(rows).alias("__h")).select(*keys, "__h.*")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -27,7 +27,7 @@ def search_top(searches: DataFrame, k: int = 10) -> DataFrame:
 
 def login_region_heat(logins: DataFrame, provinces: DataFrame) -> DataFrame:
     """Logins and users per region, province and day."""
-    facts = logins.groupBy("ds", F.col("province_id").cast("bigint").alias("province_id")).agg(
+    facts = logins.groupBy("ds", F.col("province_id").try_cast("bigint").alias("province_id")).agg(
         F.count("*").cast("bigint").alias("login_count"),
         F.count_distinct("user_id").cast("bigint").alias("user_count"))
     labels = provinces.select(F.col("id").alias("province_id"), "province_name", "region_name")
@@ -39,8 +39,9 @@ def login_region_heat(logins: DataFrame, provinces: DataFrame) -> DataFrame:
 def _page_sequence(log: DataFrame) -> DataFrame:
     """Pages with session and time; a view without a session belongs to no path."""
     schema = f"common struct<sid: string>, page struct<page_id: string>, {TIME}"
-    return (parse_log(log, schema=schema).where(F.col("ts").isNotNull() & F.col("common.sid").isNotNull())
-            .select("id", "ts", F.col("common.sid").alias("session_id"), "page.page_id"))
+    session = F.col("common.sid")
+    return (parse_log(log, schema=schema).where(F.col("ts").isNotNull() & session.isNotNull())
+            .select("id", "ts", session.alias("session_id"), "page.page_id"))
 
 
 def page_path_edges(log: DataFrame) -> DataFrame:

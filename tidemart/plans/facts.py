@@ -87,6 +87,15 @@ def payment_line(lines: DataFrame, payments: DataFrame, orders: DataFrame,
         F.col("split_total_amount").alias("split_payment_amount"), day.alias("ds"))
 
 
+def payment_line_measures(lines: DataFrame, payments: DataFrame) -> DataFrame:
+    """What a daily aggregate reads of `payment_line`: one join instead of five."""
+    paid = (payments.where(F.col("payment_status") == codes.PAID)
+            .select("order_id", "user_id", iso_day(F.col("callback_time")).alias("ds")))
+    return (line_amounts(lines).join(paid, "order_id")
+            .select("order_id", "user_id", "sku_id", "sku_num",
+                    F.col("split_total_amount").alias("split_payment_amount"), "ds"))
+
+
 def payment_line_daily(lines: DataFrame, payments: DataFrame, orders: DataFrame,
                        activity_links: DataFrame, coupon_links: DataFrame,
                        dictionary: DataFrame, day: str) -> DataFrame:
@@ -207,10 +216,10 @@ def page_view(log: DataFrame, loaded: str | None = None) -> DataFrame:
 
 
 def login(log: DataFrame, loaded: str | None = None) -> DataFrame:
-    """The first line of each session with a known user."""
+    """The first line of each session that names a user; ids that are no numbers name nobody."""
     rows = parse_log(log, schema=f"{COMMON}, {TIME}").select(
         F.col("common.sid").alias("session_id"), "ts", "id",
-        F.col("common.uid").alias("user_id"), F.col("common.ch").alias("channel"),
+        F.col("common.uid").try_cast("bigint").alias("user_id"), F.col("common.ch").alias("channel"),
         F.col("common.ar").alias("province_id"), F.col("common.vc").alias("version_code"),
         F.col("common.mid").alias("mid_id"), F.col("common.ba").alias("brand"),
         F.col("common.md").alias("model"), F.col("common.os").alias("operate_system"))
@@ -218,6 +227,6 @@ def login(log: DataFrame, loaded: str | None = None) -> DataFrame:
                        ["session_id"], ["ts", "id"])
     at = shop_time(F.col("ts"))
     return first.select(
-        F.col("user_id").cast("bigint").alias("user_id"), iso_day(at).alias("date_id"),
+        "user_id", iso_day(at).alias("date_id"),
         iso_time(at).alias("login_time"), "channel", "province_id", "version_code", "mid_id",
         "brand", "model", "operate_system", _log_partition(iso_day(at), loaded).alias("ds"))

@@ -20,10 +20,11 @@ def user_activity(log: DataFrame) -> DataFrame:
     """
     schema = ("common struct<uid: string>, page struct<page_id: string>,"
               f" displays array<struct<item: string>>, {TIME}")
-    rows = parse_log(log, schema=schema).where(F.col("ts").isNotNull() & F.col("common.uid").isNotNull())
+    user = F.col("common.uid").try_cast("bigint")
+    rows = parse_log(log, schema=schema).where(F.col("ts").isNotNull() & user.isNotNull())
     at = shop_time(F.col("ts"))
     return rows.select(
-        F.col("common.uid").cast("bigint").alias("user_id"), iso_day(at).alias("ds"),
+        user.alias("user_id"), iso_day(at).alias("ds"),
         day_part(at).alias("part"), (F.col("page.page_id") == "payment").alias("bought"),
         F.col("displays").isNotNull().alias("searched"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import codes, keys, text
 from tidemart.functions.days import (
     FAR_DAY, day_bucket, day_numbers, horizon_start, iso_day, shift)
-from tidemart.functions.money import MONEY, TOTAL, money
+from tidemart.functions.money import money
 from tidemart.operators import cells, horizons, lookup, merging, ranking
 from tidemart.plans import (
     behaviour, daily, dims, facts, horizon, moderation, profile, reports)
@@ -171,17 +171,13 @@ def scan_lookback(shop):
     return readers.scan_days(lines, ORDER_DAY).select("id", "order_id", "sku_id", "sku_num", "ds")
 
 
-def _payment_lines(shop: Shop) -> DataFrame:
+@query
+def fact_payment_line(shop):
     return facts.payment_line(shop.order_detail(), shop.payment_info(), shop.order_info(),
                               shop.order_detail_activity(), shop.order_detail_coupon(),
                               shop.base_dic())
 
 
-@query
-def fact_payment_line(shop):
-    return _payment_lines(shop)
-
-
 @query
 def fact_payment_line_daily(shop):
     """The lines are dated like their orders, so that payments come soon after."""
@@ -289,7 +285,8 @@ def user_cart_add_1d(shop):
 
 @query
 def user_payment_1d(shop):
-    return daily.user_payment(_payment_lines(shop))
+    return daily.user_payment(facts.payment_line_measures(shop.order_detail(),
+                                                          shop.payment_info()))
 
 
 @query

@@ -293,7 +293,7 @@ class Shop:
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey",
             F.when(F.col("o_orderstatus").isin("F", "P"), self._paid_at()).alias("used_time"))
-        order_id = F.floor(F.col("order_detail_id") / 10).cast("bigint")
+        order_id = F.expr("order_detail_id div 10")
         return (links.withColumn("order_id", order_id)
                 .join(orders, F.col("order_id") == F.col("o_orderkey"), "inner")
                 .select(F.col("order_detail_id").alias("id"), "coupon_id",
@@ -331,19 +331,10 @@ class Shop:
                                               F.col("source").alias("user_id"),
                                               F.col("text").alias("review_text"))
 
-    def chat_comments(self) -> DataFrame:
-        """What users write in conversations; one conversation stands for one user, a turn for
-        a day."""
-        return (self.table("conversations").where(F.col("role") == "user").select(
-            F.col("conv_id").alias("user_id"), F.col("turn").alias("comment_id"),
-            F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int"))
-            .cast("string").alias("ds"),
-            F.col("text").alias("review_text")))
-
 
 def with_event_key(events: DataFrame) -> DataFrame:
     return (events.withColumn("ts", F.col("ts").cast("timestamp"))
-            .withColumn("k", F.get_json_object("props", "$.k").cast("bigint")))
+            .withColumn("k", F.get_json_object("props", "$.k").try_cast("bigint")))
 
 
 def log_lines(events: DataFrame) -> DataFrame:
