@@ -52,3 +52,41 @@ def test_library_forces_no_broadcast_and_collects_only_buckets():
         assert "broadcast(" not in source and "crossJoin" not in source
         assert "localCheckpoint" not in source and ".rdd" not in source
         assert source.count(".collect()") <= (1 if path.endswith("changes.py") else 0)
+
+
+def test_hot_join_key_is_split(spark):
+    """A third of all lines belong to one order: its partition is split in the join, also when an
+    aggregate on the join key follows."""
+    from pyspark.sql import functions as F
+
+    from tidemart.plans import daily, facts
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        n = F.col("id")
+        hot = F.when(n % 3 == 0, 1).otherwise(n)
+        amount = F.lit(1).cast("decimal(16,2)")
+        lines = spark.range(0, 200_000, 1, 8).select(
+            n, hot.alias("order_id"), (n % 7).alias("sku_id"),
+            F.timestamp_seconds(n).alias("create_time"), F.lit(1).cast("bigint").alias("sku_num"),
+            (n % 100).cast("decimal(16,2)").alias("order_price"),
+            amount.alias("split_total_amount"), amount.alias("split_activity_amount"),
+            amount.alias("split_coupon_amount"))
+        orders = spark.range(0, 200_000, 1, 8).select(n, (n % 50).alias("user_id"))
+        df = daily.user_order(facts.order_line_measures(lines, orders, "user_id"))
+        rows = df.collect()
+        assert sum(r.order_num_1d for r in rows) == 200_000
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
