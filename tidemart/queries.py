@@ -330,7 +330,7 @@ def user_product_order_nd(shop):
     return _user_product_nd(shop)
 
 
-def _province_1d(shop, length):
+def _province_1d(shop: Shop, length: int) -> DataFrame:
     lines = _lines(shop, horizon_start(ORDER_DAY, length), ORDER_DAY, owner="province_id")
     return daily.province_order(lines, _provinces(shop))
 
@@ -350,6 +350,7 @@ def user_order_td(shop):
 
 
 def _totals_before(shop: Shop) -> tuple[DataFrame, DataFrame]:
+    """Totals as of the day before, and the rows of the day; each scan has its own bounds."""
     yesterday = shift(ORDER_DAY, -1)
     previous = horizon.user_order_total(daily.user_order(_lines(shop, None, yesterday)), yesterday)
     return previous, daily.user_order(_lines(shop, ORDER_DAY, ORDER_DAY))
@@ -365,9 +366,12 @@ def user_order_td_merge_union(shop):
     return horizon.user_order_total_by_union(*_totals_before(shop), ORDER_DAY)
 
 
-def _login_totals(shop: Shop, day: str) -> DataFrame:
-    seen = horizon.login_seen(_logins(shop), day)
-    return horizon.user_login_total(dims.user_masked(shop.user_info()), seen, day)
+def _login_totals(shop: Shop, *days: str):
+    """Login totals as of each day."""
+    users, logins = dims.user_masked(shop.user_info()), _logins(shop)
+    totals = [horizon.user_login_total(users, horizon.login_seen(logins, day), day)
+              for day in days]
+    return totals[0] if len(days) == 1 else totals
 
 
 @query
@@ -404,8 +408,8 @@ def channel_traffic(shop):
 
 @query
 def user_churn_return(shop):
-    return reports.user_churn_return(_login_totals(shop, LOG_DAY),
-                                     _login_totals(shop, shift(LOG_DAY, -1)), LOG_DAY)
+    today, before = _login_totals(shop, LOG_DAY, shift(LOG_DAY, -1))
+    return reports.user_churn_return(today, before, LOG_DAY)
 
 
 @query
@@ -480,6 +484,7 @@ def order_to_pay_seconds(shop):
 
 @query
 def province_order_stats(shop):
+    """Each table is read for the days it needs: the report day and the last 30 days."""
     return reports.province_order_stats(
         _province_1d(shop, 1), horizon.province_order(_province_1d(shop, 30), ORDER_DAY),
         ORDER_DAY)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.functions import codes
 from tidemart.functions.money import money
@@ -21,9 +22,16 @@ class Shop:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its footer is read once, however often a query uses the table."""
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            first = self.spark.read.parquet(path)
+            self._schemas[name] = first.schema
+            return first
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     # ---- dimensions -------------------------------------------------------------------------
 
