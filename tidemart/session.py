@@ -40,15 +40,18 @@ _folder_bytes: dict[str, int] = {}
 
 def build_session(app_name: str, settings: dict[str, str] | None = None, *,
                   master: str | None = None, hive: bool = False,
-                  log_level: str = "WARN") -> SparkSession:
+                  encoding: str = "UTF-8", log_level: str = "WARN") -> SparkSession:
     """Create (or reuse) a session with the warehouse settings.
 
-    `settings` win over the defaults; `hive` switches catalog support on.
+    `settings` win over the defaults; `hive` switches catalog support on; `encoding` is the
+    driver's text encoding, which only a new driver process takes over.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, "spark.ui.enabled": "false", **(settings or {})}.items():
+    defaults = {**SQL_SETTINGS, "spark.ui.enabled": "false",
+                "spark.driver.extraJavaOptions": f"-Dfile.encoding={encoding}"}
+    for key, value in {**defaults, **(settings or {})}.items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()
