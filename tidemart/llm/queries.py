@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.llm.html_text import op4_html_text
+from tidemart.llm.language import op9_language_id
 from tidemart.llm.mixing import op6_mixing
 from tidemart.llm.packing import op2_packing
 from tidemart.llm.sharding import op10_sharding
@@ -13,8 +15,10 @@ from tidemart.llm.token_counts import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op4_html_text": op4_html_text,
     "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
+    "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
