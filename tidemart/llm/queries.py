@@ -10,12 +10,14 @@ from tidemart.llm.html_text import op4_html_text
 from tidemart.llm.language import op9_language_id
 from tidemart.llm.mixing import op6_mixing
 from tidemart.llm.packing import op2_packing
+from tidemart.llm.pii import op5_pii
 from tidemart.llm.sharding import op10_sharding
 from tidemart.llm.token_counts import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_html_text": op4_html_text,
+    "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
