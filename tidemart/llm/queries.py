@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.llm.ann import op7_nearest
 from tidemart.llm.html_text import op4_html_text
 from tidemart.llm.language import op9_language_id
 from tidemart.llm.mixing import op6_mixing
@@ -13,14 +14,17 @@ from tidemart.llm.packing import op2_packing
 from tidemart.llm.pii import op5_pii
 from tidemart.llm.sharding import op10_sharding
 from tidemart.llm.token_counts import op8_token_counts
+from tidemart.llm.topk import OP1_SQL, op1_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_packing": op2_packing,
     "op4_html_text": op4_html_text,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
+    "op7_nearest": op7_nearest,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_top_k": OP1_SQL}
