@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemart.llm.ann import op7_nearest
 from tidemart.llm.html_text import op4_html_text
 from tidemart.llm.language import op9_language_id
-from tidemart.llm.mixing import op6_mixing
+from tidemart.llm.mixing import OP6_SQL, op6_mixing
+from tidemart.llm.ngram_join import OP3_SQL, op3_ngram_join
 from tidemart.llm.packing import op2_packing
 from tidemart.llm.pii import op5_pii
 from tidemart.llm.sharding import op10_sharding
@@ -19,6 +20,7 @@ from tidemart.llm.topk import OP1_SQL, op1_top_k
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_packing": op2_packing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_html_text": op4_html_text,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
@@ -27,4 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {"op1_top_k": OP1_SQL}
+# The others need token ids, hashes or fitted models; they are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_top_k": OP1_SQL,
+    "op3_ngram_join": OP3_SQL,
+    "op6_mixing": OP6_SQL,
+}
