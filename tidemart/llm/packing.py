@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import documents, stored
-from tidemart.llm.tokens import WordEncoder, vocabulary_path
+from tidemart.llm.tokens import Encoder, vocabulary_path
 
 CAPACITY, END_ID = 1024, 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -29,7 +29,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(path)
+        encoder = Encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):

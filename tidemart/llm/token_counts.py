@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemart.llm.common import documents
-from tidemart.llm.tokens import WordEncoder, vocabulary_path
+from tidemart.llm.tokens import Encoder, vocabulary_path
 
 
 def encoded_length(vocabulary: str):
     """Scalar function text -> tokens (0 for null or empty), one encoder per Python worker."""
 
     def lengths(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = WordEncoder(vocabulary)
+        encoder = Encoder(vocabulary)
         for batch in texts:
             yield pd.Series([len(encoder.encode(t)) // 4 for t in batch], dtype="int64")
 
