@@ -147,8 +147,8 @@ def main_text(html: str | None) -> str:
     Every line has the ratio of its text outside links to its tags. Ratios are smoothed over the page and split in
     two clusters; lines of the upper one, unless they stand in an element known to be around articles, are
     content. The content region is the innermost element that holds `SHARE` of their text, and all its
-    lines belong to the article, short ones as well. When only the whole page holds that much, the region is
-    the content lines and the short runs between them. Broken markup is read as browsers do: unclosed
+    lines belong to the article, short ones as well. When only the whole page holds that much, those of its
+    containers belong to it that have a content line, and lines outside of any, but no lines of mainly links. Broken markup is read as browsers do: unclosed
     elements end with their parent.
     """
     if not html:
@@ -175,16 +175,15 @@ def main_text(html: str | None) -> str:
     path = next(lines[i][3] for i in content if region in lines[i][3])
     holders = [e for e in path[:path.index(region) + 1] if names[e] in SCOPE] or [0]
     region = holders[-1]
-    if names[region] in ("", "html", "body") and not all(region == lines[i][3][-1] for i in own):
-        chosen, last = set(content), None
-        for i in own:
-            if i in chosen:
-                if last is not None and i - last <= 3:
-                    chosen.update(j for j in range(last + 1, i) if not lines[j][4] and not lines[j][2])
-                last = i
-        picked = sorted(chosen)
-    else:
-        picked = [i for i in own if region in lines[i][3]]
+    if names[region] not in ("", "html", "body"):
+        return "\n\n".join(lines[i][0] for i in own if region in lines[i][3])
+
+    def part(i: int) -> int | None:
+        """The container next below the region that a line stands in."""
+        return next((e for e in lines[i][3] if e > region and names[e] in SCOPE), None)
+
+    parts = {part(i) for i in content} | {None}
+    picked = [i for i in own if part(i) in parts and 2 * lines[i][2] <= len(lines[i][0])]
     return "\n\n".join(lines[i][0] for i in picked)
 
 

@@ -92,25 +92,18 @@ def mix(docs: DataFrame, seed: int = 29) -> DataFrame:
     Rows that agree in all of these share their copies: each gets the whole part, the first of
     them one more. Null texts have size 0 and are taken like others; an empty table stays empty.
     """
-    key, size, copies = (fresh(docs, f"__{x}") for x in ("key", "size", "copies"))
-    keyed = (docs.withColumn(key, F.xxhash64("doc_id", "source", "text"))
-             .withColumn(size, word_count()))
-    small = stored(keyed.select(F.col(key).alias("key"), "source", F.col(size).alias("size")), "mix")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", "text").alias("key"))
+    small = stored(docs.select(F.xxhash64("doc_id", "source", "text").alias("key"), "source",
+                               word_count().alias("size")), "mix")
     taken = (systematic_copies(small, ["key"], seed).groupBy("key")
-             .agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows"))
-             .withColumnRenamed("key", "__taken"))
-    joined = docs.withColumn(key, F.xxhash64("doc_id", "source", "text")).join(
-        taken.filter("__all > 0"), F.col(key) == F.col("__taken"))
-    spare = F.col("__all") % F.col("__rows")
-    single = joined.filter(spare == 0).withColumn(copies, F.floor(F.col("__all") / F.col("__rows")))
-    shared = joined.filter(spare > 0).withColumn(
-        copies, F.floor(F.col("__all") / F.col("__rows")) + F.when(
-            F.row_number().over(Window.partitionBy(key).orderBy(key)) <= spare, 1).otherwise(0))
-    columns = [F.col(c) for c in docs.columns]
-    return (single.select(*columns, copies).unionByName(shared.select(*columns, copies))
-            .filter(F.col(copies) > 0)
-            .select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copies))
-            .drop(copies))
+             .agg(F.sum("copies").alias("taken"), F.count(F.lit(1)).alias("alike")).filter("taken > 0"))
+    joined = rows.join(taken, "key")
+    spare, whole = F.col("taken") % F.col("alike"), F.floor(F.col("taken") / F.col("alike"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy("key")) <= spare
+    single = joined.filter(spare == 0).select("row", whole.alias("copies"))
+    shared = joined.filter(spare > 0).select("row", (whole + first.cast("int")).alias("copies"))
+    return (single.unionByName(shared).filter("copies > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))
 
 
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
-from tidemart.llm.common import components, documents, fresh, stored
+from tidemart.llm.common import components, documents, stored
 
 WORDS, SIMILARITY = 5, 0.8
 RUNS, DEPTH = 12, 3
@@ -345,11 +345,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         nodes.select("k1", "k2", "component"), ["k1", "k2"])
         .groupBy("component").agg(F.min(F.struct(
             F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "row_key")).alias("best")))
-    key, place = fresh(docs, "__row_key"), fresh(docs, "__place")
-    kept = docs.withColumn(key, row_key(docs)).join(
-        chosen.select(F.col("best.row_key").alias(key)).distinct(), key, "left_semi")
-    once = Window.partitionBy(key).orderBy(key)
-    return kept.withColumn(place, F.row_number().over(once)).filter(F.col(place) == 1).select(*docs.columns)
+    kept = docs.select(F.struct("*").alias("row"), row_key(docs).alias("key")).join(
+        chosen.select(F.col("best.row_key").alias("key")).distinct(), "key", "left_semi")
+    once = Window.partitionBy("key").orderBy("key")
+    return kept.withColumn("place", F.row_number().over(once)).filter("place = 1").select("row.*")
 
 
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:

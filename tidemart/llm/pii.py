@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import documents, fresh, stored
+from tidemart.llm.common import documents, stored
 
 KINDS = ("email", "ip", "card", "phone")
 # The formats with possessive repeats and a start bound: a match can only begin where a run of its
@@ -193,16 +193,16 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Columns stay as they are but for `text` and, if there, `n_chars`. A null text stays null.
     """
-    key, spans = fresh(docs, "__key"), fresh(docs, "__spans")
     added = _added(_facts(docs))
     text = F.coalesce("text", F.lit(""))
     base = F.concat(*[_with_kind(base_spans(text, k), k, "start", "end", "kind") for k in KINDS])
     more = F.transform(F.coalesce("added", F.array().cast("array<struct<kind:string,start:int,end:int>>")),
                        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                           s["kind"].alias("kind")))
-    joined = (docs.withColumn(key, F.xxhash64("doc_id", "text"))
-              .join(added, F.col(key) == F.col("added_key"), "left")
-              .withColumn(spans, F.array_sort(F.concat(base, more))))
+    rows = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"), base.alias("base"),
+                       F.xxhash64("doc_id", "text").alias("key"))
+    joined = rows.join(added, F.col("key") == F.col("added_key"), "left").select(
+        "row", "text", F.array_sort(F.concat("base", more)).alias("spans"))
 
     def cut(state: Column, s: Column) -> Column:
         piece = F.concat(F.substr(F.col("text"), state["at"] + 1, s["start"] - state["at"]),
@@ -212,14 +212,20 @@ def redact(docs: DataFrame) -> DataFrame:
             F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts")))
 
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    clean = F.aggregate(F.col(spans), begin, cut, lambda s: F.concat(
+    clean = F.aggregate(F.col("spans"), begin, cut, lambda s: F.concat(
         F.array_join(s["parts"], ""), F.substr(F.col("text"), s["at"] + 1, F.char_length("text"))))
-    clean = F.when(F.size(spans) == 0, F.col("text")).otherwise(clean)
-    out = joined.withColumn(spans, clean)
-    return out.select(*[
-        F.col(spans).alias(c) if c == "text"
-        else F.coalesce(F.char_length(spans).cast(docs.schema[c].dataType), F.col(c)).alias(c)
-        if c == "n_chars" else F.col(c) for c in docs.columns])
+    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(clean)
+    out = joined.select("row", clean.alias("clean"))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("clean").alias(name)
+        own = F.col("row")[name]
+        if name == "n_chars":
+            own = F.coalesce(F.char_length("clean").cast(docs.schema[name].dataType), own)
+        return own.alias(name)
+
+    return out.select(*[column(c) for c in docs.columns])
 
 
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:

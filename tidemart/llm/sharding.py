@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import documents, fresh, ranked, stored
+from tidemart.llm.common import documents, ranked, stored
 
 
 def shard_rows(rows: DataFrame, source: str = "source", keys: tuple[str, ...] = ("doc_id",),
@@ -19,26 +19,25 @@ def shard_rows(rows: DataFrame, source: str = "source", keys: tuple[str, ...] =
     range sorts, so a hot source is spread over tasks. No row: no shard. Columns named like the
     results are replaced, all others are kept.
     """
-    rows = rows.drop("shard", "slot")
-    mix, place, size, fraction, at = (fresh(rows, f"__{x}")
-                                      for x in ("mix", "place", "size", "fraction", "at"))
-    base = rows.withColumn(mix, F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]))
-    base = ranked(stored(base, "shard"), [source], [F.col(mix)], place)
-    sizes = base.groupBy(F.col(source).alias("__source")).agg(F.count(F.lit(1)).alias(size))
-    spread = (base.join(sizes, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
-              .withColumn(fraction, (F.col(place) + 0.5) / F.col(size)).drop(place, size))
-    spread = stored(spread, "shard")
-    order = [F.col(fraction), F.col(source).asc_nulls_last(), F.col(mix)]
+    base = stored(rows.drop("shard", "slot").select(
+        F.struct("*").alias("row"), F.col(source).alias("source"),
+        F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]).alias("mix")), "shard")
+    sizes = base.groupBy(F.col("source").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    placed = ranked(base, ["source"], [F.col("mix")], "place").join(
+        sizes, F.col("source").eqNullSafe(F.col("of")))
+    spread = stored(placed.select("row", "source", "mix", (
+        (F.col("place") + 0.5) / F.col("n")).alias("fraction")), "shard")
+    order = [F.col("fraction"), F.col("source").asc_nulls_last(), F.col("mix")]
     total = spread.count()
     small, more = divmod(total, shards)  # `more` shards have one row more than the others
     edge = more * (small + 1)
-    p = F.col(at)
+    p = F.col("at")
     shard = F.when(p < edge, F.floor(p / (small + 1))).otherwise(
         more + F.floor((p - edge) / max(small, 1))).cast("int")
     start = F.when(F.col("shard") < more, F.col("shard") * F.lit(small + 1).cast("long")).otherwise(
         F.lit(edge).cast("long") + (F.col("shard") - more) * F.lit(small).cast("long"))
-    return (ranked(spread, [], order, at).withColumn("shard", shard)
-            .withColumn("slot", p - start).drop(mix, fraction, at))
+    return (ranked(spread, [], order, "at").select("row", "at", shard.alias("shard"))
+            .select("row.*", "shard", (p - start).alias("slot")))
 
 
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
