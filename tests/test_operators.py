@@ -8,7 +8,7 @@ from tidemart.functions import keys, text
 from tidemart.functions.days import (
     SECONDS_LIMIT, day_bucket, day_numbers, day_part, horizon_start, shift, shop_time)
 from tidemart.functions.money import mean_floor, money, ratio
-from tidemart.operators import cells, horizons, lookup, merging, ranking
+from tidemart.operators import cells, exact, horizons, lookup, merging, ranking
 
 
 def one(df):
@@ -52,13 +52,23 @@ def test_next_values_across_slices(spark):
     plain = df.select("id", F.lead("v", 1).over(order).alias("n1"),
                       F.lead("v", 2).over(order).alias("n2"), F.lead("v", 3).over(order).alias("n3"))
     expected = sorted(map(tuple, plain.collect()), key=lambda r: r[0])
-    for slice_ms in (1_000, 60_000, 10_000_000):
-        ours = ranking.next_values(df, ["s"], "ts", "id", "v", ["n1", "n2", "n3"], slice_ms)
+    for slice_rows in (1, 2, 50, 10_000):
+        ours = ranking.next_values(df, ["s"], "ts", "id", "v", ["n1", "n2", "n3"], slice_rows)
         got = sorted(map(tuple, ours.select("id", "n1", "n2", "n3").collect()),
                      key=lambda r: r[0])
         assert got == expected
 
 
+def test_a_dense_sequence_is_spread(spark):
+    """One session within one second: no task gets more than its slice."""
+    df = spark.range(20_000).select(F.lit("s").alias("s"), F.lit(5).cast("bigint").alias("ts"),
+                                    "id", (F.col("id") * 2).alias("v"))
+    ours = ranking.next_values(df, ["s"], "ts", "id", "v", ["n1"], slice_rows=500)
+    assert ours.where("n1 = v + 2").count() == 19_999
+    assert "__slice" in ours._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.place for r in ours.where("id in (0, 777, 19999)").orderBy("id").collect()] == [0, 777, 19_999]
+
+
 def test_first_and_latest_rows(spark):
     df = spark.createDataFrame([("a", 10, 1, "x"), ("a", 9, 2, "y"), ("a", 10, 3, "z"),
                                 ("b", 1, 4, None)], "k string, ts bigint, id bigint, v string")
@@ -203,12 +213,12 @@ def test_product_name(spark):
 
 
 def test_blank_and_permitted(spark):
-    df = spark.createDataFrame([("",), (" \t\n",), (None,), ("好评a1#",), ("a b",), ("（x）",)],
-                               "s string")
+    df = spark.createDataFrame([("",), (" \t\n",), (None,), ("好评a1#",), ("a b",), ("（x）",),
+                                ("abc\n",)], "s string")
     got = [tuple(r) for r in df.select(text.is_blank(F.col("s")),
                                        text.is_permitted(F.col("s"))).collect()]
     assert got == [(True, False), (True, False), (True, False), (False, True), (False, False),
-                   (False, True)]
+                   (False, True), (False, False)]
 
 
 def test_camel_columns(spark):
@@ -229,16 +239,30 @@ def test_hash_buckets(spark):
 
 
 def test_token_amount(spark):
-    cases = {"0x0": "0", "0xff": "255", "0x" + "f" * 16: str(2**64 - 1),
-             "0x1" + "0" * 16: str(2**64), "0x" + "f" * 31: str(16**31 - 1), "12": "12",
-             "0x" + "f" * 40: None, None: "0"}
+    big = "1" + "7f" * 60
+    cases = {"0x0": "0", "0xff": "255", "0x" + "f" * 16: str(2**64 - 1), "0x" + "f" * 64: str(2**256 - 1),
+             "0x" + "0" * 48 + "0de0b6b3a7640000": str(10**18), "0XfF": "255", "0x" + big: str(int(big, 16)),
+             "12": "12", "0012": "12", "9" * 50: "9" * 50, "0xzz": None, "1.5": None, "-3": None, "": None,
+             "0x": None, "1\n": None, None: "0"}
     df = spark.createDataFrame([(k,) for k in cases], "t string")
-    got = {r.t: None if r.a is None else str(r.a)
-           for r in df.select("t", keys.token_amount(F.col("t")).alias("a")).collect()}
+    got = {r.t: r.a for r in df.select("t", keys.token_amount(F.col("t")).alias("a")).collect()}
     assert got == cases
-    unit = one(spark.createDataFrame([("1500000000000000000",)], "t string").select(
-        keys.token_amount(F.col("t"), in_units=True).alias("a"))).a
-    assert str(unit) == "1.500000000000000000"
+    units = {"1500000000000000000": "1.500000000000000000", "1": "0.000000000000000001",
+             "0x" + "f" * 64: f"{str(2**256 - 1)[:-18]}.{str(2**256 - 1)[-18:]}"}
+    df = spark.createDataFrame([(k,) for k in units], "t string")
+    assert {r.t: r.a for r in df.select("t", keys.token_amount(F.col("t"), in_units=True).alias("a"))
+            .collect()} == units
+
+
+def test_exact_sums(spark):
+    import random
+    rng = random.Random(3)
+    values = [str(rng.getrandbits(rng.choice([3, 30, 64, 256, 400]))) for _ in range(300)] + [None, "0"]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)] + [(None, "7"), (9, None)],
+                               "g int, a string")
+    got = {r.g: (r.a, r.n) for r in exact.sum_texts(df, ["g"], "a", F.count("*").alias("n")).collect()}
+    want = {g: (str(sum(int(v or 0) for v in values[g::3])), len(values[g::3])) for g in range(3)}
+    assert got == {**want, None: ("7", 1), 9: (None, 1)}
 
 
 def test_log_words(spark):
@@ -250,9 +274,10 @@ def test_log_words(spark):
 
 
 def test_history_append(spark):
-    df = spark.createDataFrame([('["a"]', "b"), (None, "c")], "h string, e string")
+    df = spark.createDataFrame([('["a"]', "b"), (None, "c"), ('["a","b"', "c"), ("no list", "c")],
+                               "h string, e string")
     got = [r.h for r in df.select(keys.history_append(F.col("h"), F.col("e")).alias("h")).collect()]
-    assert got == ['["a","b"]', '["c"]']
+    assert got == ['["a","b"]', '["c"]', None, None]
 
 
 def test_row_key(spark):
@@ -263,6 +288,20 @@ def test_row_key(spark):
                         keys.row_key(["a", "b"], "", digest=True).alias("d")))
     assert row.k == f"{digest}_x"
     assert row.d == hashlib.md5(b"1x").hexdigest()
+    pairs = spark.createDataFrame([(None, "x"), ("x", None)], "a string, b string")
+    assert len({r.k for r in pairs.select(keys.row_key(["a", "b"], "_").alias("k")).collect()}) == 2
+
+
+def test_mean_floor_is_exact(spark):
+    row = one(spark.range(1).select(mean_floor(F.lit(2**60 + 7), F.lit(1)).alias("m"),
+                                    mean_floor(F.lit(5), F.lit(0)).alias("z")))
+    assert (row.m, row.z) == (2**60 + 7, None)
+
+
+def test_many_buckets(spark):
+    got = {r.b for r in spark.range(20_000).select(
+        keys.hash_bucket(F.col("id"), 10_000).alias("b")).collect()}
+    assert len(got) > 8_000
 
 
 def test_money_is_exact(spark):

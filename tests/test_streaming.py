@@ -126,6 +126,49 @@ def test_changes_out_of_order_and_repeated(spark):
                   ) == expected
 
 
+def test_a_batch_cut_short_leaves_the_table(spark, monkeypatch):
+    schema = "struct<user_id: bigint, name: string>"
+
+    def rows(*lines):
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        return changes.parse_changes(df, schema, "user_id")
+
+    path = scratch_path(spark, "crash")
+    apply = changes.apply_batch(path, "user_id", 4)
+    apply(rows(change("c", 1, "a", 1, 1), change("c", 2, "b", 1, 2)), 0)
+    second = rows(change("u", 1, "z", 2, 3), change("d", 2, "b", 2, 4))
+    with monkeypatch.context() as m:
+        def stop(*_):
+            raise RuntimeError("stopped")
+        m.setattr(changes._Folder, "publish", stop)
+        try:
+            apply(second, 1)
+        except RuntimeError:
+            pass
+    state = sorted(map(tuple, changes.current_rows(spark, path).collect()))
+    assert state == [(1, "a"), (2, "b")]
+    for _ in range(2):  # the replay, and a replay of the replay
+        apply(second, 1)
+        assert sorted(map(tuple, changes.current_rows(spark, path).collect())) == [(1, "z")]
+    for number in range(2, 6):
+        apply(rows(change("u", 1, f"n{number}", number + 1, number + 9)), number)
+    assert [tuple(r) for r in changes.current_rows(spark, path).collect()] == [(1, "n5")]
+    assert changes._Folder(spark, path).numbers() == [4, 5]
+    try:
+        changes.apply_batch(path, "user_id", 8)(second, 9)
+        raise AssertionError("another number of buckets must be refused")
+    except ValueError:
+        pass
+
+
+def test_changes_without_use_are_rejected(spark):
+    lines = [change("c", 1, "a", 1, 1), "garbled", '{"op":"d","after":{"user_id":1}}', '{"op":"c"}', None]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    schema = "struct<user_id: bigint, name: string>"
+    good = changes.parse_changes(df, schema, "user_id").count()
+    assert (good, changes.rejected_changes(df, schema, "user_id").count()) == (1, 4)
+
+
 def test_running_totals_keep_the_last_state(spark):
     feed = Feed(spark, "totals").add("a", "b")
     feed.add("c")

@@ -124,6 +124,18 @@ TEXTS = {
     "fact_payment_line_daily": f"""
         SELECT {_PAY_COLUMNS} FROM f_pay
         WHERE ds = '1998-07-03' AND order_day IN ('1998-07-02', '1998-07-03')""",
+    "payment_unmatched_daily": """
+        SELECT o_orderkey AS order_id, o_custkey AS user_id,
+               CASE orders.o_orderpriority WHEN '1-URGENT' THEN '1101' WHEN '2-HIGH' THEN '1102'
+                    WHEN '3-MEDIUM' THEN '1103' ELSE '1199' END AS payment_type_code,
+               strftime(paid_at, '%Y-%m-%d %H:%M:%S') AS callback_time, '1998-07-03' AS ds
+        FROM orders JOIN x_paid ON o_orderkey = paid_order
+        WHERE CAST(paid_at AS DATE) = DATE '1998-07-03'
+          AND NOT (CAST(o_orderdate AS DATE) BETWEEN DATE '1998-07-02' AND DATE '1998-07-03'
+                   AND o_orderkey IN (SELECT l_orderkey FROM lineitem))""",
+    "log_rejects": """
+        SELECT event_id AS id, CASE WHEN value > 300 THEN 'unreadable' ELSE 'time out of range'
+               END AS reason FROM events WHERE value > 290""",
     "fact_order_flow": """
         SELECT order_id, user_id, province_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date_id,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_time,
@@ -321,10 +333,11 @@ TEXTS = {
         FROM (SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY ms, event_id)
                      AS next_page_id FROM x_log) GROUP BY ALL""",
     "page_paths": """
-        SELECT page_id || '>' || second || '>' || third AS path, count(*) AS path_count
-        FROM (SELECT page_id, lead(page_id) OVER w AS second, lead(page_id, 2) OVER w AS third
+        SELECT concat_ws('>', page_id, second, third) AS path, count(*) AS path_count
+        FROM (SELECT page_id, lead(page_id) OVER w AS second, lead(page_id, 2) OVER w AS third,
+                     row_number() OVER w AS step
               FROM x_log WINDOW w AS (PARTITION BY session_id ORDER BY ms, event_id))
-        WHERE third IS NOT NULL GROUP BY 1""",
+        WHERE third IS NOT NULL OR step = 1 GROUP BY 1""",
     "device_rollup": """
         SELECT operate_system, brand, version_code,
                grouping_id(operate_system, brand, version_code) AS level, count(*) AS view_count,
@@ -419,8 +432,9 @@ TEXTS = {
         SELECT comment_id, count(*) AS word_count FROM x_word
         WHERE word IN (SELECT listed FROM x_list) GROUP BY comment_id""",
     "charset_filter": """
-        SELECT p_partkey AS sku_id, CASE WHEN p_size > 25 THEN p_name ELSE p_brand END AS label,
-               p_size <= 25 AS is_permitted FROM part""",
+        SELECT p_partkey AS sku_id, CASE WHEN p_size > 25 THEN p_name
+                   WHEN p_size > 20 THEN p_brand || chr(10) ELSE p_brand END AS label,
+               p_size <= 20 AS is_permitted FROM part""",
     "blank_filter": "SELECT event_id, event_type AS label FROM events WHERE value >= 15",
     # input and output
     "tsv_roundtrip": """
@@ -457,6 +471,9 @@ TEXTS = {
     "null_safe_values": """
         SELECT event_id, props AS value FROM events WHERE event_type <> 'error'""",
     "rows_to_cells": "SELECT row_key, qualifier, value FROM x_cells WHERE value IS NOT NULL",
+    "cell_point_read": """
+        SELECT row_key, qualifier, value FROM x_cells
+        WHERE value IS NOT NULL AND row_key = 'BUILDING_82'""",
     "cells_to_rows": "SELECT row_key, row_json FROM x_row",
     "cells_scan_limit": "SELECT row_key, row_json FROM x_row ORDER BY row_key LIMIT 100",
     "cell_row_count": "SELECT count(*) AS row_count FROM customer",
@@ -469,8 +486,8 @@ TEXTS = {
                md5(CAST(o_custkey AS VARCHAR) || o_orderkey) AS whole_digest FROM orders""",
     # streams
     "stream_watermark": """
-        SELECT event_id AS id, CASE WHEN value <= 300 THEN 'ok' ELSE 'reject' END AS route,
-               CASE WHEN value <= 300 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_time
+        SELECT event_id AS id, CASE WHEN value <= 290 THEN 'ok' ELSE 'reject' END AS route,
+               CASE WHEN value <= 290 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_time
         FROM events""",
     "stream_watermark_fallback": """
         SELECT event_id AS id, CASE event_type WHEN 'error' THEN 'reject' ELSE 'ok' END AS route,
@@ -488,7 +505,7 @@ TEXTS = {
                ELSE 'day=' || strftime(ts, '%Y%m%d') END AS bucket FROM events""",
     "epoch_day": "SELECT event_id, strftime(ts, '%Y%m%d') AS day FROM events",
     "stream_day_bucket": """
-        SELECT event_id AS id, CASE WHEN value <= 300 THEN strftime(ts, '%Y%m%d')
+        SELECT event_id AS id, CASE WHEN value <= 290 THEN strftime(ts, '%Y%m%d')
                ELSE 'error_bucket' END AS day FROM events""",
     "stream_exactly_once": "SELECT event_id AS id FROM events",
     "stream_log_split": """
@@ -526,11 +543,15 @@ TEXTS = {
                count(*) AS event_count
         FROM events GROUP BY 1""",
     "token_amount_daily": """
-        SELECT utc_day AS ds, CAST(sum(CASE event_type
-                   WHEN 'view' THEN CAST(user_id + 1 AS DECIMAL(18,0))
-                                    * CAST(18446744073709551616 AS DECIMAL(20,0)) + event_id
-                   WHEN 'error' THEN 0 ELSE event_id END) AS VARCHAR) AS amount,
-               count(*) AS transfer_count
+        SELECT utc_day AS ds, CAST(sum(CASE
+                   WHEN event_type = 'error' THEN '0'
+                   WHEN event_type = 'click' AND user_id % 3 <> 0 THEN event_id || repeat('0', 40)
+                   WHEN event_type IN ('click', 'signup') AND user_id % 3 = 0 THEN NULL
+                   WHEN event_type = 'signup'
+                       THEN CAST(CAST(event_id AS HUGEINT) * 18446744073709551616 AS VARCHAR)
+                   ELSE CAST(event_id AS VARCHAR) END::BIGNUM) AS VARCHAR) AS amount,
+               count(*) AS transfer_count,
+               count(*) FILTER (event_type IN ('click', 'signup') AND user_id % 3 = 0) AS reject_count
         FROM x_event GROUP BY utc_day""",
     "log_words": """
         SELECT doc_id, CAST(i AS INTEGER) AS word_no, '0x' || substr(h, i * 64 + 1, 64) AS word
@@ -543,7 +564,8 @@ TEXTS = {
               FROM (SELECT CAST(ts AS DATE) AS first, count(*) AS n FROM events GROUP BY 1))
         GROUP BY 1""",
     "history_append": """
-        SELECT event_id, '[' || CASE WHEN event_type <> 'view' THEN '"' || user_id || '",'
-               ELSE '' END || '"' || md5(CAST(event_id AS VARCHAR)) || '"]' AS history
+        SELECT event_id, CASE WHEN event_type <> 'signup' THEN
+               '[' || CASE WHEN event_type <> 'view' THEN '"' || user_id || '",'
+               ELSE '' END || '"' || md5(CAST(event_id AS VARCHAR)) || '"]' END AS history
         FROM events""",
 }

@@ -156,7 +156,7 @@ VIEWS = {
                ['home', 'good_detail', 'cart', 'order', 'payment'][(k + 1) % 5 + 1] AS last_page_id,
                ['home', 'good_detail', 'cart', 'order', 'payment'][k % 5 + 1] AS page_id,
                CAST(floor(value * 1000) AS BIGINT) AS during_time
-        FROM x_event WHERE value <= 300""",
+        FROM x_event WHERE value <= 290""",
     "f_login": """
         SELECT uid AS user_id, ds AS date_id, shop_time AS login_time, channel, province_id,
                version_code, mid_id, brand, model, operate_system, ds

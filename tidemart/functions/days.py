@@ -16,6 +16,8 @@ HORIZONS = (1, 7, 30)
 SHOP_ZONE = "GMT+8"
 # Epoch values below this are seconds, the others milliseconds (fixed value).
 SECONDS_LIMIT = 10_000_000_000
+# First and last millisecond of the years 1 to 9999, a day less at either end for time zones.
+TIME_RANGE = (-62_135_510_400_000, 253_402_214_399_999)
 
 
 def shift(day: str, days: int) -> str:
@@ -39,19 +41,29 @@ def iso_time(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
+def in_range(epoch_ms: Column) -> Column:
+    """The epoch in milliseconds, null outside of the years 1 to 9999: such a number is no time, and
+    turning it into one would end the job."""
+    return F.when(epoch_ms.between(*TIME_RANGE), epoch_ms)
+
+
+def millis_time(epoch_ms: Column) -> Column:
+    return F.timestamp_millis(in_range(epoch_ms))
+
+
 def shop_time(epoch_ms: Column) -> Column:
     """Wall clock of the shop for an epoch in milliseconds."""
-    return F.from_utc_timestamp(F.timestamp_millis(epoch_ms), SHOP_ZONE)
+    return F.from_utc_timestamp(millis_time(epoch_ms), SHOP_ZONE)
 
 
 def to_millis(epoch: Column) -> Column:
     """Accept seconds or milliseconds."""
-    return F.when(epoch < SECONDS_LIMIT, epoch * 1000).otherwise(epoch)
+    return F.when(epoch.between(-SECONDS_LIMIT, SECONDS_LIMIT - 1), epoch * 1000).otherwise(epoch)
 
 
 def day_bucket(epoch: Column) -> Column:
-    """`day=yyyyMMdd` for an epoch in seconds or milliseconds, `error_bucket` without one."""
-    day = F.date_format(F.timestamp_millis(to_millis(epoch)), "yyyyMMdd")
+    """`day=yyyyMMdd` for an epoch in seconds or milliseconds, `error_bucket` without a usable one."""
+    day = F.date_format(millis_time(to_millis(epoch)), "yyyyMMdd")
     return F.coalesce(F.concat(F.lit("day="), day), F.lit("error_bucket"))
 
 

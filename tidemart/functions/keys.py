@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemart.operators.exact import hex_to_decimal, shift_point
+
 DEFAULT_BUCKETS = 128
 
 # Addresses with a bucket of their own.
@@ -19,12 +21,17 @@ RESERVED_BUCKETS = {
 }
 
 WORD_DIGITS = 64
+NULL_FIELD = "\\N"
 
 
 def hash_bucket(key: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
-    """Four-digit bucket from the last three hex digits of the MD5 of the key."""
-    tail = F.conv(F.right(F.md5(key.cast("string")), F.lit(3)), 16, 10).cast("int")
-    return F.lpad((tail % buckets).cast("string"), 4, "0")
+    """Four-digit bucket from the last three hex digits of the MD5 of the key.
+
+    More buckets than these digits can fill take more of them; the text grows with the number.
+    """
+    digits = max(3, -(-(max(buckets, 1) - 1).bit_length() // 4) if buckets > 4096 else 3)
+    tail = F.conv(F.right(F.md5(key.cast("string")), F.lit(digits)), 16, 10).cast("bigint")
+    return F.lpad((tail % buckets).cast("string"), max(4, len(str(buckets - 1))), "0")
 
 
 def spread_bucket(key: Column, reserved: dict[str, str] | None = None,
@@ -40,34 +47,32 @@ def spread_bucket(key: Column, reserved: dict[str, str] | None = None,
 
 def row_key(fields: list[str | tuple[str, bool]], separator: str = "",
             digest: bool = False) -> Column:
-    """Key text from several fields; `(name, True)` digests that field, `digest` the whole."""
+    """Key text from several fields; `(name, True)` digests that field, `digest` the whole.
+
+    A null field keeps its place as `NULL_FIELD`, so keys of rows with nulls in other fields differ.
+    """
     parts = []
     for field in fields:
         name, hashed = field if isinstance(field, tuple) else (field, False)
         text = F.col(name).cast("string")
-        parts.append(F.md5(text) if hashed else text)
+        parts.append(F.coalesce(F.md5(text) if hashed else text, F.lit(NULL_FIELD)))
     key = F.concat_ws(separator, *parts)
     return F.md5(key) if digest else key
 
 
 def token_amount(text: Column, in_units: bool = False) -> Column:
-    """Number behind hex (`0x…`) or decimal text; null text counts as 0.
+    """Whole number behind hex (`0x…`) or decimal text, exact at any size, as decimal text.
 
-    Hex digits are read in two halves because `conv` stops at 64 bits. A value that does not fit
-    DECIMAL(38,0), that is more than 31 hex digits, gives null. `in_units` divides by 10^18.
+    Null text counts as 0. Text that is no whole number, such as a fraction or damaged hex, gives
+    null, which callers count as rejected. `in_units` moves the decimal point by 18 places.
     """
-    digits = F.lpad(F.substring(text, 3, 1 << 20), 32, "0")
-    high = F.conv(F.substring(digits, 1, 16), 16, 10).cast("decimal(20,0)")
-    low = F.conv(F.substring(digits, 17, 16), 16, 10).cast("decimal(20,0)")
-    shift = F.lit("18446744073709551616").cast("decimal(20,0)")
-    # 31 digits stay below 10^38, so the product cannot overflow.
-    hex_value = F.when(F.length(text) <= 33, high * shift + low)
-    value = (F.when(text.isNull(), F.lit(0).cast("decimal(38,0)"))
-             .when(text.startswith("0x"), hex_value.cast("decimal(38,0)"))
-             .otherwise(text.try_cast("decimal(38,0)")))
-    if in_units:
-        return (value * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(38,18)")
-    return value
+    plain = F.lower(text)
+    hex_digits = F.regexp_extract(plain, r"\A0x0*([0-9a-f]+)\z", 1)
+    digits = F.regexp_extract(plain, r"\A0*([0-9]+)\z", 1)
+    value = (F.when(text.isNull(), F.lit("0"))
+             .when(hex_digits != "", hex_to_decimal(hex_digits))
+             .when(digits != "", digits))
+    return shift_point(value, 18) if in_units else value
 
 
 def log_words(data: Column) -> Column:
@@ -75,13 +80,18 @@ def log_words(data: Column) -> Column:
 
     One pass over the text, however long it is; an incomplete last word is left out.
     """
-    words = F.regexp_extract_all(F.substring(data, 3, 2**31 - 1), F.lit(f".{{{WORD_DIGITS}}}"),
+    words = F.regexp_extract_all(F.regexp_replace(data, "^0x", ""), F.lit(f".{{{WORD_DIGITS}}}"),
                                  F.lit(0))
     return F.transform(F.coalesce(words, F.array().cast("array<string>")),
                        lambda word: F.concat(F.lit("0x"), word))
 
 
 def history_append(history: Column, element: Column) -> Column:
-    """Add an element to a JSON list of texts; no list yet counts as an empty one."""
-    items = F.coalesce(F.from_json(history, "array<string>"), F.array().cast("array<string>"))
-    return F.to_json(F.array_append(items, element))
+    """Add an element to a JSON list of texts; no list yet counts as an empty one.
+
+    A text that is no such list gives null: the caller keeps the old text and rejects the row.
+    """
+    items = F.from_json(history, "array<string>")
+    whole = F.trim(history).rlike(r"(?s)\A\[.*\]\z") & items.isNotNull()
+    return F.when(history.isNull(), F.to_json(F.array(element))).when(
+        whole, F.to_json(F.array_append(items, element)))

@@ -42,4 +42,5 @@ def ratio(part: Column, whole: Column) -> Column:
 
 def mean_floor(total: Column, count: Column, unit: int = 1) -> Column:
     """Mean of whole numbers cut to a whole number; null without rows."""
-    return F.try_divide(F.try_divide(total, count), F.lit(unit)).cast("bigint")
+    whole = F.call_function("div", total, F.nullif(count * F.lit(unit), F.lit(0)))
+    return whole.cast("bigint")

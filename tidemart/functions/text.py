@@ -27,11 +27,12 @@ def camel_columns(df: DataFrame) -> DataFrame:
 
 def is_blank(col: Column) -> Column:
     """Null, empty, or nothing but control characters and spaces."""
-    return col.isNull() | col.rlike(r"^[\x00-\x20]*$")
+    return col.isNull() | col.rlike(r"\A[\x00-\x20]*\z")
 
 
 def is_permitted(col: Column) -> Column:
-    return F.coalesce(col.rlike(PERMITTED_TEXT), F.lit(False))
+    # `$` would also match before a final line end.
+    return F.coalesce(col.rlike(PERMITTED_TEXT.removesuffix("$") + r"\z"), F.lit(False))
 
 
 def mask_name(col: Column) -> Column:

@@ -7,6 +7,7 @@ a step that is run again replaces its own partitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemart.functions.days import FAR_DAY, shift
 from tidemart.plans import daily, dims, facts, horizon, reports
@@ -14,6 +15,11 @@ from tidemart.session import prepare
 from tidemart.sources import readers, writers
 
 
+# Days before the payment's delivery in which its order lines are looked for; payments of older
+# orders are kept in `payment_unmatched`.
+LOOK_BACK = 7
+
+
 class Warehouse:
     """Stored tables below one folder: `source/<table>` as delivered, `<table>` as computed."""
 
@@ -43,8 +49,9 @@ class Warehouse:
     def save_days(self, name: str, df: DataFrame) -> None:
         writers.write_by_day(df, self.path(name))
 
-    def report(self, name: str, df: DataFrame) -> None:
-        writers.append_distinct(df, self.path(name))
+    def report(self, name: str, df: DataFrame, day: str) -> None:
+        """A report's rows of one day; a corrected rerun replaces those of the run before."""
+        writers.write_partition(df, self.path(name), day)
 
 
 def load_dimensions(w: Warehouse, day: str) -> None:
@@ -62,6 +69,8 @@ def load_dimensions(w: Warehouse, day: str) -> None:
     w.save_day("dim_province", dims.province(source("base_province"), source("base_region")), day)
     w.save_day("dim_promotion_pos", dims.promotion_position(source("promotion_pos")), day)
     w.save_day("dim_promotion_refer", dims.promotion_channel(source("promotion_refer")), day)
+    days = w.source("order_info", day).select(F.col("create_time").cast("date").alias("day"))
+    w.save_day("dim_calendar", dims.calendar(days), day)
 
 
 def first_facts(w: Warehouse, day: str) -> None:
@@ -79,7 +88,7 @@ def first_facts(w: Warehouse, day: str) -> None:
 
 
 def daily_facts(w: Warehouse, day: str) -> None:
-    """Facts of one day; payments may belong to lines of the day before."""
+    """Facts of one day; payments may belong to lines of the `LOOK_BACK` days before."""
     def source(name, back=0):
         return w.source(name, day, back)
 
@@ -87,10 +96,11 @@ def daily_facts(w: Warehouse, day: str) -> None:
     links = source("order_detail_activity"), source("order_detail_coupon")
     w.save_day("fact_order_line", facts.order_line(source("order_detail").drop("ds"), orders,
                                                    *links), day)
+    lines, payments = source("order_detail", LOOK_BACK), source("payment_info").drop("ds")
     w.save_day("fact_payment_line", facts.payment_line_daily(
-        source("order_detail", 1), source("payment_info"), source("order_info", 1),
-        source("order_detail_activity", 1), source("order_detail_coupon", 1),
-        source("base_dic"), day), day)
+        lines, payments, source("order_info", LOOK_BACK), source("order_detail_activity", LOOK_BACK),
+        source("order_detail_coupon", LOOK_BACK), source("base_dic"), day), day)
+    w.save_day("payment_unmatched", facts.unmatched_payments(payments, lines, day), day)
     w.save_days("fact_order_flow", facts.order_flow_daily(
         w.table("fact_order_flow"), orders, source("payment_info"), source("order_status_log"),
         day))
@@ -112,6 +122,7 @@ def event_facts(w: Warehouse, day: str, first: bool) -> None:
     save("fact_favorite_add", facts.favorite_add(w.source("favor_info", day)))
     save("fact_page_view", facts.page_view(log, day))
     save("fact_login", facts.login(log, day))
+    w.save_day("log_rejects", facts.log_rejects(log, day), day)
 
 
 def one_day_aggregates(w: Warehouse, day: str, first: bool) -> None:
@@ -160,32 +171,32 @@ def longer_aggregates(w: Warehouse, day: str, first: bool) -> None:
 
 
 def write_reports(w: Warehouse, day: str, first: bool) -> None:
-    """All reports of the day; a rerun does not repeat rows."""
+    """All reports of the day, in the day's partition of each."""
     t = w.table
     logins = w.day("user_login_td", day)
-    w.report("channel_traffic", reports.channel_traffic(t("session_page_view_1d"), day))
+    w.report("channel_traffic", reports.channel_traffic(t("session_page_view_1d"), day), day)
     if not first:  # needs the totals of the day before
         before = w.day("user_login_td", shift(day, -1))
-        w.report("user_churn_return", reports.user_churn_return(logins, before, day))
-    w.report("user_retention", reports.user_retention(logins, day))
-    w.report("user_new_active", reports.user_new_active(logins, day))
+        w.report("user_churn_return", reports.user_churn_return(logins, before, day), day)
+    w.report("user_retention", reports.user_retention(logins, day), day)
+    w.report("user_new_active", reports.user_new_active(logins, day), day)
     w.report("user_funnel", reports.user_funnel(
         t("visitor_page_view_1d"), t("user_cart_add_1d"), t("user_order_1d"),
-        t("user_payment_1d"), day))
-    w.report("new_order_users", reports.new_order_users(w.day("user_order_td", day), day))
-    w.report("consecutive_order_users", reports.consecutive_order_users(t("user_order_1d"), day))
+        t("user_payment_1d"), day), day)
+    w.report("new_order_users", reports.new_order_users(w.day("user_order_td", day), day), day)
+    w.report("consecutive_order_users", reports.consecutive_order_users(t("user_order_1d"), day), day)
     recent, by_product = t("user_product_order_nd"), t("user_product_order_1d")
-    w.report("brand_repeat_rate", reports.brand_repeat_rate(recent, day))
-    w.report("brand_order_stats", reports.brand_order_stats(by_product, recent, day))
-    w.report("category_order_stats", reports.category_order_stats(by_product, recent, day))
+    w.report("brand_repeat_rate", reports.brand_repeat_rate(recent, day), day)
+    w.report("brand_order_stats", reports.brand_order_stats(by_product, recent, day), day)
+    w.report("category_order_stats", reports.category_order_stats(by_product, recent, day), day)
     w.report("cart_top3_by_category", reports.cart_top3_by_category(
-        t("fact_cart_snapshot"), w.day("dim_product", day), day))
+        t("fact_cart_snapshot"), w.day("dim_product", day), day), day)
     w.report("favorite_top3_by_brand",
-             reports.favorite_top3_by_brand(t("product_favorite_1d"), day))
-    w.report("order_to_pay_seconds", reports.order_to_pay_seconds(t("fact_order_flow"), day))
+             reports.favorite_top3_by_brand(t("product_favorite_1d"), day), day)
+    w.report("order_to_pay_seconds", reports.order_to_pay_seconds(t("fact_order_flow"), day), day)
     w.report("province_order_stats", reports.province_order_stats(
-        t("province_order_1d"), t("province_order_nd"), day))
-    w.report("coupon_stats", reports.coupon_stats(t("user_coupon_used_1d"), day))
+        t("province_order_1d"), t("province_order_nd"), day), day)
+    w.report("coupon_stats", reports.coupon_stats(t("user_coupon_used_1d"), day), day)
 
 
 def first_load(w: Warehouse, day: str) -> None:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.operators.placing import ranked, stored
+
 
 def top_ranks(df: DataFrame, group: list[str], measure: str, k: int,
               rank_name: str = "rk") -> DataFrame:
@@ -56,25 +58,27 @@ def lead_within(df: DataFrame, group: list[str], order: list[str], value: str, o
 
 
 def next_values(df: DataFrame, group: list[str], time: str, tie: str, value: str,
-                names: list[str], slice_ms: int = 600_000) -> DataFrame:
-    """`lead(value, 1)`, `lead(value, 2)`, ... along `time`, `tie`, one column per name, for
-    sequences of any length.
-
-    Each sequence is cut into time slices which are separate window groups, so a sequence with a
-    large share of all rows is spread over many tasks. Where a slice ends, its last rows take
-    over the first values of the following slices. `time` is in epoch milliseconds; the group
-    columns must not be null. The result has the group, `time`, `tie`, `value` and the names:
-    with these columns only, both uses of the cut rows share one scan and shuffle.
+                names: list[str], slice_rows: int = 100_000) -> DataFrame:
+    """`lead(value, 1)`, `lead(value, 2)`, ... along `time`, `tie`, one column per name, and `place`,
+    the row's number in its group from 0, for sequences of any length and density.
+
+    Rows get their exact place by a range sort, and each sequence is cut into slices of as many
+    rows, whatever their times; slices are separate window groups, so a sequence with a large share
+    of all rows is spread over many tasks, also when it happens within one second. Where a slice
+    ends, its last rows take over the first values of the following slices. The group columns must
+    not be null. The result has the group, `time`, `tie`, `value`, `place` and the names.
     """
     n = len(names)
+    wanted = df.select(*group, time, tie, value)
+    placed = ranked(stored(wanted, "sequence"), group, [F.col(time), F.col(tie)], "place")
     # Values travel in structs: a successor may exist and hold null.
-    cut = df.select(*group, time, tie, F.floor(F.col(time) / slice_ms).alias("__slice"),
-                    F.struct(F.col(value).alias("v")).alias("__item"))
-    inside = Window.partitionBy(*group, "__slice").orderBy(time, tie)
+    cut = placed.select(*group, time, tie, "place", F.floor(F.col("place") / slice_rows).alias("__slice"),
+                        F.struct(F.col(value).alias("v")).alias("__item"))
+    inside = Window.partitionBy(*group, "__slice").orderBy("place")
     leads = [F.lead("__item", i).over(inside).alias(f"__lead{i}") for i in range(1, n + 1)]
-    rows = cut.select("*", F.lag("__item", 1).over(inside).alias("__before"), *leads)
+    rows = cut.select("*", *leads)
     successors = F.array_compact(F.array(*[F.col(f"__lead{i}") for i in range(1, n + 1)]))
-    heads = rows.where(F.col("__before").isNull()).select(
+    heads = rows.where(F.col("place") % slice_rows == 0).select(
         *group, "__slice", F.slice(F.concat(F.array("__item"), successors), 1, n).alias("__head"))
     along = Window.partitionBy(*group).orderBy("__slice")
     none = F.slice("__head", 1, 0)
@@ -87,5 +91,5 @@ def next_values(df: DataFrame, group: list[str], time: str, tie: str, value: str
     joined = rows.withColumn("__inside", successors).join(follow, match, "left")
     after = F.coalesce("__after", F.slice("__inside", 1, 0))
     found = joined.withColumn("__found", F.concat("__inside", after))
-    return found.select(*group, time, tie, F.col("__item")["v"].alias(value),
+    return found.select(*group, time, tie, F.col("__item")["v"].alias(value), "place",
                         *[F.get("__found", i)["v"].alias(name) for i, name in enumerate(names)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.functions.days import in_range
 from tidemart.operators.ranking import next_values
 from tidemart.sources.readers import TIME, parse_log
 
@@ -40,7 +41,8 @@ def _page_sequence(log: DataFrame) -> DataFrame:
     """Pages with session and time; a view without a session belongs to no path."""
     schema = f"common struct<sid: string>, page struct<page_id: string>, {TIME}"
     session = F.col("common.sid")
-    return (parse_log(log, schema=schema).where(F.col("ts").isNotNull() & session.isNotNull())
+    usable = in_range(F.col("ts")).isNotNull() & session.isNotNull()
+    return (parse_log(log, schema=schema).where(usable)
             .select("id", "ts", session.alias("session_id"), "page.page_id"))
 
 
@@ -52,17 +54,19 @@ def page_path_edges(log: DataFrame) -> DataFrame:
         F.count("*").cast("bigint").alias("step_count"))
 
 
-def page_paths(log: DataFrame) -> DataFrame:
-    """Three pages in a row within a session, as text `a>b>c`, with their frequency.
+def page_paths(log: DataFrame, length: int = 3) -> DataFrame:
+    """`length` pages in a row within a session, as text `a>b>c`, with their frequency; a session of
+    fewer pages is a path of its own.
 
-    Paths of a fixed length can be counted for sessions of any length; a whole session as one
+    Paths of a bounded length can be counted for sessions of any length; a whole session as one
     text would have to be gathered in one row.
     """
-    steps = next_values(_page_sequence(log), ["session_id"], "ts", "id", "page_id",
-                        ["second", "third"])
-    path = F.concat("page_id", F.lit(">"), "second", F.lit(">"), "third")
-    return (steps.where(F.col("third").isNotNull())
-            .groupBy(path.alias("path")).agg(F.count("*").cast("bigint").alias("path_count")))
+    names = [f"page_{i}" for i in range(2, length + 1)]
+    steps = next_values(_page_sequence(log), ["session_id"], "ts", "id", "page_id", names)
+    path = F.concat_ws(">", "page_id", *names)
+    whole = F.col(names[-1]).isNotNull() | (F.col("place") == 0) if names else F.lit(True)
+    return (steps.where(whole).groupBy(path.alias("path"))
+            .agg(F.count("*").cast("bigint").alias("path_count")))
 
 
 def device_rollup(views: DataFrame) -> DataFrame:

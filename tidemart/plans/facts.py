@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import codes
-from tidemart.functions.days import FAR_DAY, iso_day, iso_time, shop_time
+from tidemart.functions.days import FAR_DAY, in_range, iso_day, iso_time, shop_time
 from tidemart.functions.money import money, or_zero
 from tidemart.operators.lookup import decode
 from tidemart.operators.merging import fill_columns
-from tidemart.operators.ranking import first_rows
-from tidemart.sources.readers import COMMON, PAGE, TIME, parse_log, scan_days
+from tidemart.operators.ranking import first_rows, latest_rows
+from tidemart.sources.readers import COMMON, PAGE, TIME, parse_log
 
 
 def cart_add(cart: DataFrame) -> DataFrame:
@@ -99,15 +99,41 @@ def payment_line_measures(lines: DataFrame, payments: DataFrame) -> DataFrame:
 def payment_line_daily(lines: DataFrame, payments: DataFrame, orders: DataFrame,
                        activity_links: DataFrame, coupon_links: DataFrame,
                        dictionary: DataFrame, day: str) -> DataFrame:
-    """Payments of one day, matched with lines of the day itself or the day before.
+    """Lines paid by the payments delivered on one day, in the partition of that day.
 
-    `lines` has `ds`; payments are those whose callback falls on the day.
+    `payments` are all that were delivered with the day, whenever they were made: one of the last
+    minute comes the day after. `lines` and `orders` reach back as far as the caller's look-back;
+    deliveries of a line, order or link on several days count once, the latest wins.
+    `unmatched_payments` holds the payments whose lines are not among them.
     """
-    start = F.lit(day).cast("timestamp")
-    today = payments.where((F.col("callback_time") >= start)
-                           & (F.col("callback_time") < start + F.make_dt_interval(F.lit(1))))
-    return payment_line(scan_days(lines, day), today, orders, activity_links, coupon_links,
-                        dictionary)
+    rows = payment_line(latest_delivery(lines, "id"), latest_payments(payments),
+                        latest_delivery(orders, "id"),
+                        latest_delivery(activity_links, "order_detail_id"),
+                        latest_delivery(coupon_links, "order_detail_id"), dictionary)
+    return rows.withColumn("ds", F.lit(day))
+
+
+def latest_delivery(df: DataFrame, key: str) -> DataFrame:
+    """Of keys delivered on several days only the rows of the last one; all rows without `ds`."""
+    if "ds" not in df.columns:
+        return df
+    last = df.groupBy(F.col(key).alias("__key")).agg(F.max("ds").alias("__ds"))
+    return df.join(last, (F.col(key) == F.col("__key")) & (F.col("ds") == F.col("__ds")),
+                   "left_semi")
+
+
+def latest_payments(payments: DataFrame) -> DataFrame:
+    """The latest state of each order's payment."""
+    keep = ["order_id", "user_id", "payment_type", "payment_status", "callback_time"]
+    return latest_rows(payments.select(*keep), ["order_id"], ["callback_time", "payment_status"])
+
+
+def unmatched_payments(payments: DataFrame, lines: DataFrame, day: str) -> DataFrame:
+    """Payments delivered on a day whose order has no line within the look-back."""
+    paid = latest_payments(payments).where(F.col("payment_status") == codes.PAID)
+    return (paid.join(lines.select("order_id").distinct(), "order_id", "left_anti")
+            .select("order_id", "user_id", F.col("payment_type").alias("payment_type_code"),
+                    iso_time(F.col("callback_time")).alias("callback_time"), F.lit(day).alias("ds")))
 
 
 FLOW_COLUMNS = ["order_id", "user_id", "province_id", "order_date_id", "order_time",
@@ -195,9 +221,27 @@ def _log_partition(day: Column, loaded: str | None) -> Column:
     return day if loaded is None else F.least(day, F.lit(loaded))
 
 
+def _timed(parsed: DataFrame) -> DataFrame:
+    """Lines with a usable event time; the others are in `log_rejects`."""
+    return parsed.withColumn("ts", in_range(F.col("ts"))).where(F.col("ts").isNotNull())
+
+
+def log_rejects(log: DataFrame, loaded: str | None = None) -> DataFrame:
+    """Lines that no log fact takes: unreadable ones and those without a usable event time.
+
+    With the lines of `page_view` they are all lines delivered.
+    """
+    parsed = parse_log(log, schema=f"{COMMON}, {TIME}")
+    lost = parsed.where(in_range(F.col("ts")).isNull())
+    reason = F.when(F.col("ts").isNotNull(), "time out of range").when(
+        F.col("common").isNotNull(), "no time").otherwise("unreadable")
+    rows = lost.select("id", reason.alias("reason"))
+    return rows if loaded is None else rows.withColumn("ds", F.lit(loaded))
+
+
 def page_view(log: DataFrame, loaded: str | None = None) -> DataFrame:
     """Page views from log lines; lines without a readable event time are left to the rejects."""
-    parsed = parse_log(log, schema=f"{COMMON}, {PAGE}, {TIME}").where(F.col("ts").isNotNull())
+    parsed = _timed(parse_log(log, schema=f"{COMMON}, {PAGE}, {TIME}"))
     at = shop_time(F.col("ts"))
     return parsed.select(
         F.col("common.ar").alias("province_id"), F.col("common.ba").alias("brand"),
@@ -217,14 +261,13 @@ def page_view(log: DataFrame, loaded: str | None = None) -> DataFrame:
 
 def login(log: DataFrame, loaded: str | None = None) -> DataFrame:
     """The first line of each session that names a user; ids that are no numbers name nobody."""
-    rows = parse_log(log, schema=f"{COMMON}, {TIME}").select(
+    rows = _timed(parse_log(log, schema=f"{COMMON}, {TIME}")).select(
         F.col("common.sid").alias("session_id"), "ts", "id",
         F.col("common.uid").try_cast("bigint").alias("user_id"), F.col("common.ch").alias("channel"),
         F.col("common.ar").alias("province_id"), F.col("common.vc").alias("version_code"),
         F.col("common.mid").alias("mid_id"), F.col("common.ba").alias("brand"),
         F.col("common.md").alias("model"), F.col("common.os").alias("operate_system"))
-    first = first_rows(rows.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()),
-                       ["session_id"], ["ts", "id"])
+    first = first_rows(rows.where(F.col("user_id").isNotNull()), ["session_id"], ["ts", "id"])
     at = shop_time(F.col("ts"))
     return first.select(
         "user_id", iso_day(at).alias("date_id"),

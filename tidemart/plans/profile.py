@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.days import day_part, iso_day, shop_time
+from tidemart.functions.days import day_part, in_range, iso_day, shop_time
 from tidemart.functions.text import product_name_parts
 from tidemart.sources.readers import TIME, parse_log
 
@@ -21,7 +21,8 @@ def user_activity(log: DataFrame) -> DataFrame:
     schema = ("common struct<uid: string>, page struct<page_id: string>,"
               f" displays array<struct<item: string>>, {TIME}")
     user = F.col("common.uid").try_cast("bigint")
-    rows = parse_log(log, schema=schema).where(F.col("ts").isNotNull() & user.isNotNull())
+    rows = parse_log(log, schema=schema).where(
+        in_range(F.col("ts")).isNotNull() & user.isNotNull())
     at = shop_time(F.col("ts"))
     return rows.select(
         user.alias("user_id"), iso_day(at).alias("ds"),

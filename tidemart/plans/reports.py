@@ -140,8 +140,11 @@ def consecutive_order_users(user_days: DataFrame, day: str, span: int = 7) -> Da
     """Users active on three days in a row within the last seven.
 
     Each user's days become the bits of one number, which partial aggregation combines; three
-    adjacent bits are three days in a row. `user_days` needs columns `user_id` and `ds`.
+    adjacent bits are three days in a row. `user_days` needs columns `user_id` and `ds`; `span` is
+    at most 63 days.
     """
+    if not 1 <= span <= 63:
+        raise ValueError("span must be 1 to 63 days, the bits of one number")
     start = horizon_start(day, span)
     # The functions module shifts by a constant only; the SQL function takes a column.
     bit = F.expr(f"shiftleft(1L, datediff(to_date(ds), date'{start}'))")

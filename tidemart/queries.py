@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import codes, keys, text
 from tidemart.functions.days import (
-    FAR_DAY, day_bucket, day_numbers, horizon_start, iso_day, shift)
+    FAR_DAY, day_bucket, day_numbers, horizon_start, in_range, iso_day, shift)
 from tidemart.functions.money import money
-from tidemart.operators import cells, horizons, lookup, merging, ranking
+from tidemart.operators import cells, exact, horizons, lookup, merging, ranking
 from tidemart.plans import (
     behaviour, daily, dims, facts, horizon, moderation, profile, reports)
 from tidemart.session import prepare, scratch_path
@@ -160,8 +160,11 @@ def fact_order_line(shop):
 
 @query
 def fact_order_line_daily(shop):
-    return facts.order_line(shop.order_detail(ORDER_DAY, ORDER_DAY), shop.order_info(),
-                            shop.order_detail_activity(), shop.order_detail_coupon())
+    """Orders and links are looked up for the orders of the day's lines only."""
+    lines = shop.order_detail(ORDER_DAY, ORDER_DAY)
+    ids = lines.select("order_id")
+    return facts.order_line(lines, shop.order_info(ids), shop.order_detail_activity(ids),
+                            shop.order_detail_coupon(ids))
 
 
 @query
@@ -178,13 +181,30 @@ def fact_payment_line(shop):
                               shop.base_dic())
 
 
+def _paid_on(payments: DataFrame, day: str) -> DataFrame:
+    start = F.lit(day).cast("timestamp")
+    at = F.col("callback_time")
+    return payments.where((at >= start) & (at < start + F.make_dt_interval(F.lit(1))))
+
+
 @query
 def fact_payment_line_daily(shop):
-    """The lines are dated like their orders, so that payments come soon after."""
+    """The day's payments with lines of the day or the day before, dated like their orders. Payments,
+    orders and links are looked up for the orders of these days."""
+    first = shift(PAYMENT_DAY, -1)
+    ids = shop.order_days(first, PAYMENT_DAY).select("order_id")
     return facts.payment_line_daily(
-        shop.order_detail_by_order_day(shift(PAYMENT_DAY, -1), PAYMENT_DAY), shop.payment_info(),
-        shop.order_info(), shop.order_detail_activity(), shop.order_detail_coupon(),
-        shop.base_dic(), PAYMENT_DAY)
+        shop.order_detail_by_order_day(first, PAYMENT_DAY),
+        _paid_on(shop.payment_info(ids), PAYMENT_DAY), shop.order_info(ids),
+        shop.order_detail_activity(ids), shop.order_detail_coupon(ids), shop.base_dic(),
+        PAYMENT_DAY)
+
+
+@query
+def payment_unmatched_daily(shop):
+    """The day's payments of orders from before the look-back."""
+    lines = shop.order_detail_by_order_day(shift(PAYMENT_DAY, -1), PAYMENT_DAY)
+    return facts.unmatched_payments(_paid_on(shop.payment_info(), PAYMENT_DAY), lines, PAYMENT_DAY)
 
 
 def _flow(shop: Shop) -> DataFrame:
@@ -231,6 +251,11 @@ def fact_page_view(shop):
     return facts.page_view(shop.z_log())
 
 
+@query
+def log_rejects(shop):
+    return facts.log_rejects(shop.z_log())
+
+
 def _logins(shop: Shop) -> DataFrame:
     return facts.login(shop.z_log())
 
@@ -244,7 +269,7 @@ def fact_login(shop):
 def first_event_per_session(shop):
     """First log line of every session, known user or not."""
     schema = f"common struct<sid: string>, page struct<page_id: string>, {readers.TIME}"
-    rows = readers.parse_log(shop.z_log(), schema=schema).where(F.col("ts").isNotNull()).select(
+    rows = readers.parse_log(shop.z_log(), schema=schema).where(in_range(F.col("ts")).isNotNull()).select(
         F.col("common.sid").alias("session_id"), "ts", "id", "page.page_id")
     return ranking.first_rows(rows, ["session_id"], ["ts", "id"])
 
@@ -627,7 +652,8 @@ def word_semi_join(shop):
 
 @query
 def charset_filter(shop):
-    label = F.when(F.col("p_size") > 25, F.col("p_name")).otherwise(F.col("p_brand"))
+    label = (F.when(F.col("p_size") > 25, F.col("p_name")).when(F.col("p_size") > 20, F.concat(
+        "p_brand", F.lit("\n"))).otherwise(F.col("p_brand")))
     return (shop.table("part").select(F.col("p_partkey").alias("sku_id"), label.alias("label"))
             .withColumn("is_permitted", text.is_permitted(F.col("label"))))
 
@@ -760,6 +786,12 @@ def cells_scan_limit(shop):
     return cells.cells_to_rows(_customer_cells(shop), limit=100)
 
 
+@query
+def cell_point_read(shop):
+    """The cells of one row, by its key."""
+    return cells.one_row(_customer_cells(shop), "BUILDING_82")
+
+
 @query
 def cell_row_count(shop):
     return cells.count_rows(_customer_cells(shop))
@@ -948,16 +980,20 @@ def hot_key_bucket(shop):
 
 @query
 def token_amount_daily(shop):
-    """Daily sums of amounts in wide hex (views), decimal (clicks) and missing text (errors)."""
-    wide = F.concat(F.lit("0x"), F.lower(F.hex(F.col("user_id") + 1)),
-                    F.lpad(F.lower(F.hex("event_id")), 16, "0"))
-    amount = (F.when(F.col("event_type") == "view", wide)
-              .when(F.col("event_type") == "click", F.col("event_id").cast("string"))
-              .when(F.col("event_type") != "error", F.concat(F.lit("0x"), F.hex("event_id"))))
+    """Daily sums of amounts in padded 32-byte words (views), texts above 38 digits and fractions (clicks),
+    damaged and wide hex (signups), missing text (errors) and plain hex; rejects are counted."""
+    number, k = F.lower(F.hex("event_id")), F.col("user_id") % 3
+    kind = F.col("event_type")
+    amount = (F.when(kind == "view", F.concat(F.lit("0x"), F.lpad(number, 64, "0")))
+              .when((kind == "click") & (k == 0), F.concat(F.col("event_id").cast("string"), F.lit(".5")))
+              .when(kind == "click", F.concat(F.col("event_id").cast("string"), F.lit("0" * 40)))
+              .when((kind == "signup") & (k == 0), F.lit("0xzz"))
+              .when(kind == "signup", F.concat(F.lit("0x"), number, F.lit("0" * 16)))
+              .when(kind != "error", F.concat(F.lit("0x"), number)))
     rows = shop.events().select(iso_day(F.col("ts")).alias("ds"),
                                 keys.token_amount(amount).alias("amount"))
-    return rows.groupBy("ds").agg(F.sum("amount").cast("string").alias("amount"),
-                                  F.count("*").cast("bigint").alias("transfer_count"))
+    return exact.sum_texts(rows, ["ds"], "amount", F.count("*").cast("bigint").alias("transfer_count"),
+                           F.count_if(F.col("amount").isNull()).cast("bigint").alias("reject_count"))
 
 
 @query
@@ -980,9 +1016,11 @@ def day_range(shop):
 
 @query
 def history_append(shop):
-    """Add the digest of each event to its history; views have none yet."""
-    history = F.when(F.col("event_type") != "view", F.concat(
-        F.lit('["'), F.col("user_id").cast("string"), F.lit('"]')))
+    """Add the digest of each event to its history; views have none yet, a signup's list is cut short
+    and gives null."""
+    user = F.col("user_id").cast("string")
+    history = (F.when(F.col("event_type") == "signup", F.concat(F.lit('["'), user, F.lit('"')))
+               .when(F.col("event_type") != "view", F.concat(F.lit('["'), user, F.lit('"]'))))
     return shop.table("events").select(
         "event_id", keys.history_append(
             history, F.md5(F.col("event_id").cast("string"))).alias("history"))

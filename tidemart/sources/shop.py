@@ -191,8 +191,15 @@ class Shop:
 
     # ---- orders -----------------------------------------------------------------------------
 
-    def order_info(self) -> DataFrame:
-        orders, customers = self.table("orders"), self.table("customer")
+    def _only(self, name: str, key: str, ids: DataFrame | None) -> DataFrame:
+        """A table, or its rows of the orders in `ids` (order_id): a semi join on few keys."""
+        df = self.table(name)
+        if ids is None:
+            return df
+        return df.join(ids.select(F.col("order_id").alias(key)), key, "left_semi")
+
+    def order_info(self, ids: DataFrame | None = None) -> DataFrame:
+        orders, customers = self._only("orders", "o_orderkey", ids), self.table("customer")
         total = money(F.col("o_totalprice"))
         off = F.when(F.col("o_orderpriority") == "1-URGENT",
                      money(total * F.lit("0.05").cast("decimal(2,2)"))).otherwise(money(F.lit(0)))
@@ -242,32 +249,35 @@ class Shop:
             off.alias("split_activity_amount"), coupon.alias("split_coupon_amount"),
             F.date_format(created, "yyyy-MM-dd").alias("ds"))
 
-    def order_detail_by_order_day(self, first: str, last: str) -> DataFrame:
-        """Lines of the orders of some days, dated like the order."""
+    def order_days(self, first: str, last: str) -> DataFrame:
+        """Orders of some days (order_id, ds); the bounds reach the scan."""
         orders = self.table("orders").where(
             (F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
             & (F.col("o_orderdate") < F.date_add(F.lit(last), 1).cast("timestamp_ntz")))
-        days = orders.select(F.col("o_orderkey").alias("order_id"),
+        return orders.select(F.col("o_orderkey").alias("order_id"),
                              F.date_format("o_orderdate", "yyyy-MM-dd").alias("ds"))
-        return self.order_detail().drop("ds").join(days, "order_id")
 
-    def order_detail_activity(self) -> DataFrame:
+    def order_detail_by_order_day(self, first: str, last: str) -> DataFrame:
+        """Lines of the orders of some days, dated like the order."""
+        return self.order_detail().drop("ds").join(self.order_days(first, last), "order_id")
+
+    def order_detail_activity(self, ids: DataFrame | None = None) -> DataFrame:
         """Line numbers 1-4 are known activities (regions), higher ones are not."""
-        return (self.table("lineitem").where(F.col("l_discount") > 0).select(
+        return (self._only("lineitem", "l_orderkey", ids).where(F.col("l_discount") > 0).select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_detail_id"),
             F.col("l_linenumber").cast("bigint").alias("activity_id"),
             F.col("l_linenumber").cast("bigint").alias("activity_rule_id")).distinct())
 
-    def order_detail_coupon(self) -> DataFrame:
-        return (self.table("lineitem").where(F.col("l_returnflag") == "R")
+    def order_detail_coupon(self, ids: DataFrame | None = None) -> DataFrame:
+        return (self._only("lineitem", "l_orderkey", ids).where(F.col("l_returnflag") == "R")
                 .groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber"))
                          .alias("order_detail_id"))
                 .agg(F.min("l_suppkey").alias("coupon_id")))
 
-    def payment_info(self) -> DataFrame:
+    def payment_info(self, ids: DataFrame | None = None) -> DataFrame:
         """Orders with status F or P are paid, one second per unit of price after the order."""
         paid = F.col("o_orderstatus").isin("F", "P")
-        return self.table("orders").select(
+        return self._only("orders", "o_orderkey", ids).select(
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "1101")
             .when(F.col("o_orderpriority") == "2-HIGH", "1102")
@@ -348,7 +358,8 @@ def with_event_key(events: DataFrame) -> DataFrame:
 def log_lines(events: DataFrame) -> DataFrame:
     """One JSON log line per event, for a table as well as for a stream.
 
-    Events with a value above 300 are garbled text. Errors carry no user id.
+    Events with a value above 300 are garbled text, those above 290 carry a time beyond all
+    calendars. Errors carry no user id.
     """
     e = with_event_key(events)
     user, k = F.col("user_id"), F.col("k")
@@ -381,6 +392,6 @@ def log_lines(events: DataFrame) -> DataFrame:
         .alias("displays"),
         F.when(kind == "click", F.array(F.struct(F.lit("cart_add").alias("action_id"))))
         .alias("actions"),
-        F.unix_millis("ts").alias("ts")))
+        F.when(F.col("value") > 290, F.lit(2**63 - 1)).otherwise(F.unix_millis("ts")).alias("ts")))
     text = F.when(F.col("value") > 300, F.concat(F.lit("garbled "), F.col("event_id").cast("string")))
     return e.select(F.col("event_id").alias("id"), F.coalesce(text, line).alias("log"))

@@ -1,13 +1,17 @@
 """Applying a change stream (before/after images) to a keyed table.
 
-The table is stored in hash buckets of the key. A batch rewrites only the buckets it touches, so
-the number of buckets should grow with the table: one bucket is what a batch rewrites at least.
-Deleted keys stay as marked rows, so that an older change arriving later cannot revive them and a
-batch that is applied twice changes nothing.
+The table is stored in hash buckets of the key. A batch writes the buckets it touches into a folder
+of its own and then publishes a manifest, which names the folder of every bucket; readers see the
+old table until the manifest is there, and a batch that was cut short leaves the table as it was.
+One bucket is what a batch rewrites at least, so the number of buckets should grow with the table;
+it is kept in the manifest and cannot be changed by accident. Deleted keys stay as marked rows, so
+that an older change arriving later cannot revive them and a batch that is applied twice changes
+nothing.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,50 +19,127 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.keys import hash_bucket
 from tidemart.operators.ranking import latest_rows
-from tidemart.sources.writers import exists
 
 DELETE = "d"
+# Manifests, and the folders they name, that are kept for readers of an older state.
+KEPT = 2
+
+
+def _parsed(stream: DataFrame, row_schema: str) -> DataFrame:
+    envelope = f"before {row_schema}, after {row_schema}, op string, ts bigint, pos bigint"
+    c = stream.select("value", F.from_json("value", envelope).alias("c"))
+    row = F.when(F.col("c.op") == DELETE, F.col("c.before")).otherwise(F.col("c.after"))
+    return c.select("value", row.alias("r"), "c.op", "c.ts", "c.pos")
+
+
+def _usable(key: str):
+    return F.col("op").isNotNull() & F.col("r").isNotNull() & F.col(f"r.{key}").isNotNull()
 
 
 def parse_changes(stream: DataFrame, row_schema: str, key: str) -> DataFrame:
     """Envelope text `{before, after, op, ts, pos}` as columns of the row plus `op`, `ts`, `pos`.
 
-    Deletes carry the row in `before`. Messages without operation or key are left out.
+    Deletes carry the row in `before`. Messages without operation, row or key are in
+    `rejected_changes`.
     """
-    envelope = f"before {row_schema}, after {row_schema}, op string, ts bigint, pos bigint"
-    c = stream.select(F.from_json("value", envelope).alias("c"))
-    row = F.when(F.col("c.op") == DELETE, F.col("c.before")).otherwise(F.col("c.after"))
-    return (c.select(row.alias("r"), "c.op", "c.ts", "c.pos")
-            .where(F.col("op").isNotNull() & F.col("r").isNotNull())
-            .select("r.*", "op", "ts", "pos").where(F.col(key).isNotNull()))
+    return _parsed(stream, row_schema).where(_usable(key)).select("r.*", "op", "ts", "pos")
+
+
+def rejected_changes(stream: DataFrame, row_schema: str, key: str) -> DataFrame:
+    """The messages (`value`) that `parse_changes` cannot use."""
+    return _parsed(stream, row_schema).where(~F.coalesce(_usable(key), F.lit(False))).select("value")
 
 
 def merge_changes(stored: DataFrame | None, changes: DataFrame, key: str) -> DataFrame:
-    """The latest version of every key, by time and position."""
+    """The latest version of every key, by time and position, then by operation and content."""
     rows = changes if stored is None else stored.select(*changes.columns).unionByName(changes)
-    return latest_rows(rows, [key], ["ts", "pos"])
+    rest = [c for c in changes.columns if c not in (key, "ts", "pos", "op")]
+    return latest_rows(rows, [key], ["ts", "pos", "op", *rest])
+
+
+class _Folder:
+    """Manifests below `<path>/_manifests`, one file per batch, written aside and renamed."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self.path = spark._jvm, path.rstrip("/")
+        self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
+
+    def numbers(self) -> list[int]:
+        folder = self._at("_manifests")
+        if not self._fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def read(self, number: int) -> dict:
+        stream = self._fs.open(self._at(f"_manifests/{number:019d}.json"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def publish(self, number: int, manifest: dict) -> None:
+        aside, name = self._at(f"_manifests/{number:019d}.tmp"), self._at(f"_manifests/{number:019d}.json")
+        out = self._fs.create(aside, True)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        if self._fs.exists(name):
+            self._fs.delete(name, False)
+        if not self._fs.rename(aside, name):
+            raise OSError(f"could not publish {name}")
+
+    def clean(self) -> None:
+        """Remove manifests beyond the last ones and folders that none of these names."""
+        numbers = self.numbers()
+        named = {f for n in numbers[-KEPT:] for f in self.read(n)["folders"].values()}
+        for n in numbers[:-KEPT]:
+            self._fs.delete(self._at(f"_manifests/{n:019d}.json"), False)
+        for status in self._fs.globStatus(self._at("batch=*/bucket=*")) or []:
+            folder = status.getPath()
+            if f"{folder.getParent().getName()}/{folder.getName()}" not in named:
+                self._fs.delete(folder, True)
+
+
+def _read(spark: SparkSession, path: str, manifest: dict, buckets=None) -> DataFrame | None:
+    folders = [f"{path}/{f}" for b, f in sorted(manifest["folders"].items())
+               if buckets is None or b in buckets]
+    return spark.read.schema(manifest["schema"]).parquet(*folders) if folders else None
 
 
 def apply_batch(path: str, key: str, buckets: int = 128) -> Callable[[DataFrame, int], None]:
+    """Batch function. A replayed batch starts from the manifest before its own number."""
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        spark, folder = batch.sparkSession, _Folder(batch.sparkSession, path)
+        earlier = [n for n in folder.numbers() if n < number]
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields)
+        base = folder.read(earlier[-1]) if earlier else {
+            "buckets": buckets, "schema": schema, "folders": {}}
+        if base["buckets"] != buckets:
+            raise ValueError(f"{path} has {base['buckets']} buckets, not {buckets}")
+        bucket = hash_bucket(F.col(key), buckets)
         # One row per key is left, however often a hot key changed.
-        changes = merge_changes(None, batch, key).withColumn(
-            "bucket", hash_bucket(F.col(key), buckets)).persist()
-        stored = None
-        if exists(spark, path):
-            # At most `buckets` values, which name the folders to read.
-            touched = [r.bucket for r in changes.select("bucket").distinct().collect()]
-            stored = (spark.read.schema(changes.schema).parquet(path)
-                      .where(F.col("bucket").isin(touched)))
-        merged = merge_changes(stored, changes, key)
-        (merged.hint("rebalance", F.col("bucket")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+        changes = merge_changes(None, batch, key).persist()
+        # At most `buckets` values, which name the folders to read.
+        touched = [r.bucket for r in changes.select(bucket.alias("bucket")).distinct().collect()]
+        merged = merge_changes(_read(spark, path, base, set(touched)), changes, key)
+        (merged.withColumn("bucket", bucket).hint("rebalance", F.col("bucket"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("bucket").parquet(f"{path}/batch={number:019d}"))
         changes.unpersist()
+        own = {b: f"batch={number:019d}/bucket={b}" for b in touched}
+        folder.publish(number, {**base, "folders": {**base["folders"], **own}})
+        folder.clean()
     return apply
 
 
 def current_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The table without deleted keys and bookkeeping columns."""
-    return (spark.read.parquet(path).where(F.col("op") != DELETE)
-            .drop("op", "ts", "pos", "bucket"))
+    """The table without deleted keys and bookkeeping columns, as of the last manifest."""
+    folder = _Folder(spark, path)
+    manifest = folder.read(folder.numbers()[-1])
+    rows = _read(spark, path, manifest)
+    if rows is None:
+        rows = spark.createDataFrame([], manifest["schema"])
+    return rows.where(F.col("op") != DELETE).drop("op", "ts", "pos")

@@ -8,23 +8,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions.days import millis_time
+
 
 def field_millis(value: Column, field: str) -> Column:
-    """A top-level epoch field in milliseconds; null when it is absent or not a number."""
-    return F.timestamp_millis(F.get_json_object(value, f"$.{field}").try_cast("bigint"))
+    """A top-level epoch field in milliseconds; null when it is absent or no time."""
+    return millis_time(F.get_json_object(value, f"$.{field}").try_cast("bigint"))
 
 
 def field_seconds(value: Column, first: str, second: str) -> Column:
     """An epoch field in seconds, or the second field where the first is missing."""
     number = F.coalesce(F.get_json_object(value, f"$.{first}").try_cast("bigint"),
                         F.get_json_object(value, f"$.{second}").try_cast("bigint"))
-    return F.timestamp_seconds(number)
+    # Larger numbers would overflow as milliseconds; none of them is a time.
+    return millis_time(F.when(F.abs(number) < 1 << 50, number * 1000))
 
 
 def first_window_start(value: Column) -> Column:
     """`window_start_time` (milliseconds) of the first element of a JSON list."""
     windows = F.from_json(value, "array<struct<window_start_time: bigint>>")
-    return F.timestamp_millis(F.get(windows, 0)["window_start_time"])
+    return millis_time(F.get(windows, 0)["window_start_time"])
 
 
 def with_watermark(stream: DataFrame, time: Column, delay_seconds: int,
