@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.session import (
-    MAX_PARTITIONS, MB, WarehouseSession, _bytes, prepare, scratch_path, scratch_root, sizing)
+    SHUFFLE_BYTES, SQL_SETTINGS, WarehouseSession, fit, prepare, scratch_path, scratch_root)
 from tidemart.sources import readers, tables, writers
 
 
@@ -157,14 +157,16 @@ def test_declared_text_table(spark):
     assert rows(spark.table("declared_report").na.fill("-"), "k", "v") == [(1, "-"), (2, "b")]
 
 
-def test_sizes_grow_with_the_input(spark):
-    small, large = sizing(10 * MB), sizing(100 * 10**12)
-    assert small == {"spark.sql.shuffle.partitions": 1,
-                     "spark.sql.files.maxPartitionBytes": 128 * MB}
-    assert large["spark.sql.shuffle.partitions"] == MAX_PARTITIONS
-    assert 900 * MB < large["spark.sql.files.maxPartitionBytes"] <= 1024 * MB
-    assert [_bytes(x) for x in ("134217728b", "128m", "128MB", "200", "1g")] == [
-        128 * MB, 128 * MB, 128 * MB, 200, 1024 * MB]
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    prepare(spark, "/root/testdata/sf0.001")
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+def test_sizes_follow_the_tables_of_a_query(spark, monkeypatch):
+    from tidemart import session
+
+    before = dict(spark.conf.getAll)
+    own = prepare(spark)
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    fit(own, "/root/testdata/sf0.001")
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(session, "table_bytes", lambda *_: 100 * 10**12)
+    fit(own, "large")
+    assert int(own.conf.get("spark.sql.shuffle.partitions")) == -(-100 * 10**12 // SHUFFLE_BYTES)
+    assert all(own.conf.get(k) == v for k, v in SQL_SETTINGS.items())
+    assert dict(spark.conf.getAll) == before

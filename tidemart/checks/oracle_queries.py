@@ -26,6 +26,28 @@ _STATS = """
 _CATEGORIES = ("category1_id, category1_name, category2_id, category2_name, category3_id,"
                " category3_name")
 
+def _watermark(time: str, delay: int) -> str:
+    """Two deliveries: days before the 20th, then the others and the first three days again. A message counts
+    unless its day was over at the watermark after the first delivery; days over at the last one
+    are given out."""
+    return f"""
+        SELECT strftime(d, '%Y-%m-%d') AS day, 'ok' AS route, count(*) AS message_count
+        FROM (SELECT date_trunc('day', t) AS d, part,
+                     max(t) FILTER (part = 1) OVER () - INTERVAL {delay} SECOND AS mark_1,
+                     max(t) OVER () - INTERVAL {delay} SECOND AS mark_2
+              FROM (SELECT {time} AS t, CASE WHEN ts < DATE '2024-01-20' THEN 1 ELSE 2 END AS part
+                    FROM events UNION ALL
+                    SELECT {time}, 2 FROM events WHERE ts < DATE '2024-01-04')
+              WHERE t IS NOT NULL)
+        WHERE (part = 1 OR d + INTERVAL 1 DAY > mark_1) AND d + INTERVAL 1 DAY <= mark_2
+        GROUP BY d
+        UNION ALL
+        SELECT NULL, 'reject', count(*)
+        FROM (SELECT {time} AS t FROM events UNION ALL
+              SELECT {time} FROM events WHERE ts < DATE '2024-01-04')
+        WHERE t IS NULL HAVING count(*) > 0"""
+
+
 TEXTS = {
     # dimensions
     "dim_product": """
@@ -485,21 +507,13 @@ TEXTS = {
                md5(CAST(o_custkey AS VARCHAR)) || '-' || o_orderkey AS field_digest,
                md5(CAST(o_custkey AS VARCHAR) || o_orderkey) AS whole_digest FROM orders""",
     # streams
-    "stream_watermark": """
-        SELECT event_id AS id, CASE WHEN value <= 290 THEN 'ok' ELSE 'reject' END AS route,
-               CASE WHEN value <= 290 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_time
-        FROM events""",
-    "stream_watermark_fallback": """
-        SELECT event_id AS id, CASE event_type WHEN 'error' THEN 'reject' ELSE 'ok' END AS route,
-               CASE WHEN event_type IN ('click', 'signup') THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-                    WHEN event_type <> 'error'
-                    THEN strftime(ts + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') END AS event_time
-        FROM events""",
-    "stream_watermark_list": """
-        SELECT event_id AS id, CASE event_type WHEN 'error' THEN 'reject' ELSE 'ok' END AS route,
-               CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END
-                   AS event_time
-        FROM events""",
+    "stream_watermark": _watermark(
+        "CASE WHEN value <= 290 THEN make_timestamp(epoch_us(ts) // 1000 * 1000) END", 5),
+    "stream_watermark_fallback": _watermark(
+        "CASE WHEN event_type IN ('click', 'signup') THEN date_trunc('second', ts)"
+        " WHEN event_type <> 'error' THEN date_trunc('second', ts) + INTERVAL 1 MINUTE END", 10),
+    "stream_watermark_list": _watermark(
+        "CASE WHEN event_type <> 'error' THEN make_timestamp(epoch_us(ts) // 1000 * 1000) END", 10),
     "epoch_day_bucket": """
         SELECT event_id, CASE WHEN event_type = 'error' THEN 'error_bucket'
                ELSE 'day=' || strftime(ts, '%Y%m%d') END AS bucket FROM events""",

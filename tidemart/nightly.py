@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.days import FAR_DAY, shift
 from tidemart.plans import daily, dims, facts, horizon, reports
-from tidemart.session import prepare
+from tidemart.session import fit, prepare
 from tidemart.sources import readers, writers
 
 
@@ -25,12 +25,13 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.root = root.rstrip("/")
-        self.spark = prepare(spark, self.root)
+        self.spark = prepare(spark)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def table(self, name: str) -> DataFrame:
+        fit(self.spark, self.path(name))
         return readers.read_table(self.spark, self.path(name))
 
     def day(self, name: str, day: str) -> DataFrame:
@@ -187,15 +188,14 @@ def write_reports(w: Warehouse, day: str, first: bool) -> None:
     w.report("consecutive_order_users", reports.consecutive_order_users(t("user_order_1d"), day), day)
     recent, by_product = t("user_product_order_nd"), t("user_product_order_1d")
     w.report("brand_repeat_rate", reports.brand_repeat_rate(recent, day), day)
-    w.report("brand_order_stats", reports.brand_order_stats(by_product, recent, day), day)
-    w.report("category_order_stats", reports.category_order_stats(by_product, recent, day), day)
+    w.report("brand_order_stats", reports.brand_order_stats(by_product, day), day)
+    w.report("category_order_stats", reports.category_order_stats(by_product, day), day)
     w.report("cart_top3_by_category", reports.cart_top3_by_category(
         t("fact_cart_snapshot"), w.day("dim_product", day), day), day)
     w.report("favorite_top3_by_brand",
              reports.favorite_top3_by_brand(t("product_favorite_1d"), day), day)
     w.report("order_to_pay_seconds", reports.order_to_pay_seconds(t("fact_order_flow"), day), day)
-    w.report("province_order_stats", reports.province_order_stats(
-        t("province_order_1d"), t("province_order_nd"), day), day)
+    w.report("province_order_stats", reports.province_order_stats(t("province_order_1d"), day), day)
     w.report("coupon_stats", reports.coupon_stats(t("user_coupon_used_1d"), day), day)
 
 

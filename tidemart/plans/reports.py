@@ -1,4 +1,5 @@
-"""Report tables. `day` is the report day; stored reports grow by `writers.append_distinct`.
+"""Report tables. `day` is the report day; stored reports have a partition per day,
+which a rerun replaces.
 
 Figures per horizon come from conditional sums in one aggregate, spread over rows at the end, so
 the detail rows are neither repeated per horizon nor read more than once. People are counted by
@@ -11,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.days import FAR_DAY, HORIZONS, horizon_start, last_days, shift
-from tidemart.functions.money import mean_floor, ratio, sum_if
-from tidemart.operators.horizons import by_horizon, fan_out
+from tidemart.functions.money import mean_floor, money_sum_if, ratio, sum_if
+from tidemart.operators.horizons import by_horizon
 from tidemart.operators.merging import sum_branches
 from tidemart.operators.ranking import top_ranks
 from tidemart.plans.daily import PROVINCE_KEYS
@@ -169,32 +170,37 @@ def brand_repeat_rate(recent: DataFrame, day: str) -> DataFrame:
                 ratio(F.col("again"), F.col("once")).alias("order_repeat_rate")))
 
 
-def _order_stats(daily: DataFrame, recent: DataFrame, keys: list[str], day: str) -> DataFrame:
-    today = (daily.where(F.col("ds") == day).groupBy(*keys, "user_id")
-             .agg(F.sum("order_count_1d").alias("n"))
-             .groupBy(*keys).agg(F.sum("n").cast("bigint").alias("order_count"),
-                                 F.count("user_id").cast("bigint").alias("order_user_count"))
-             .select(F.lit(1).cast("bigint").alias("recent_days"), *keys, "order_count",
-                     "order_user_count"))
-    buyers = (recent.where(F.col("ds") == day).groupBy(*keys, "user_id")
-              .agg(*[F.sum(f"order_count_{n}d").alias(f"n_{n}") for n in (7, 30)]))
-    totals = buyers.groupBy(*keys).agg(*[agg for n in (7, 30) for agg in (
+def _within(day: str, length: int) -> Column:
+    """Rows already bounded to the longest horizon: those of its last `length` days."""
+    return F.col("ds") >= horizon_start(day, length)
+
+
+def _order_stats(daily: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """Orders and buyers per horizon, all three from one aggregate over the last thirty days."""
+    buyers = (daily.where(last_days(F.col("ds"), day, max(HORIZONS))).groupBy(*keys, "user_id")
+              .agg(*[sum_if(_within(day, n), F.col("order_count_1d")).alias(f"n_{n}")
+                     for n in HORIZONS]))
+    totals = buyers.groupBy(*keys).agg(*[agg for n in HORIZONS for agg in (
         F.sum(f"n_{n}").cast("bigint").alias(f"orders_{n}"),
         F.count(F.when(F.col(f"n_{n}") > 0, F.col("user_id"))).cast("bigint")
         .alias(f"users_{n}"))])
-    longer = by_horizon(totals, keys, {n: {"order_count": F.col(f"orders_{n}"),
-                                           "order_user_count": F.col(f"users_{n}")}
-                                       for n in (7, 30)})
-    return today.unionByName(longer).select(_on(day), "recent_days", *keys, "order_count",
-                                            "order_user_count")
+    rows = by_horizon(totals, keys, {n: {"order_count": F.col(f"orders_{n}"),
+                                         "order_user_count": F.col(f"users_{n}")}
+                                     for n in HORIZONS})
+    return _sold(rows).select(_on(day), "recent_days", *keys, "order_count", "order_user_count")
+
+
+def _sold(rows: DataFrame) -> DataFrame:
+    """The day itself has a row only where something was ordered."""
+    return rows.where((F.col("recent_days") > 1) | (F.col("order_count") > 0))
 
 
-def brand_order_stats(daily: DataFrame, recent: DataFrame, day: str) -> DataFrame:
-    return _order_stats(daily, recent, BRAND_KEYS, day)
+def brand_order_stats(daily: DataFrame, day: str) -> DataFrame:
+    return _order_stats(daily, BRAND_KEYS, day)
 
 
-def category_order_stats(daily: DataFrame, recent: DataFrame, day: str) -> DataFrame:
-    return _order_stats(daily, recent, CATEGORY_KEYS, day)
+def category_order_stats(daily: DataFrame, day: str) -> DataFrame:
+    return _order_stats(daily, CATEGORY_KEYS, day)
 
 
 def cart_top3_by_category(cart: DataFrame, products: DataFrame, day: str) -> DataFrame:
@@ -225,23 +231,20 @@ def order_to_pay_seconds(flow: DataFrame, day: str) -> DataFrame:
                     .alias("order_to_pay_interval_avg")))
 
 
-def province_order_stats(daily: DataFrame, recent: DataFrame, day: str) -> DataFrame:
-    """Orders and amount per province for one, seven and thirty days."""
+def province_order_stats(daily: DataFrame, day: str) -> DataFrame:
+    """Orders and amount per province for one, seven and thirty days, from one aggregate."""
     labels = [F.col(c).alias("iso_code_3166_2") if c == "iso_3166_2" else F.col(c)
               for c in PROVINCE_KEYS]
-    today = daily.where(F.col("ds") == day).select(
-        _on(day), F.lit(1).cast("bigint").alias("recent_days"), "province_id", *labels,
-        F.col("order_count_1d").alias("order_count"),
-        F.col("order_total_amount_1d").alias("order_total_amount"))
-    spread = fan_out(recent.where(F.col("ds") == day), (7, 30))
-
-    def pick(name):
-        return (F.when(F.col("recent_days") == 7, F.col(f"{name}_7d"))
-                .when(F.col("recent_days") == 30, F.col(f"{name}_30d")).alias(name))
-
-    longer = spread.select(_on(day), "recent_days", "province_id", *labels, pick("order_count"),
-                           pick("order_total_amount"))
-    return today.unionByName(longer).distinct()
+    keys = ["province_id", *PROVINCE_KEYS]
+    totals = daily.where(last_days(F.col("ds"), day, max(HORIZONS))).groupBy(*keys).agg(
+        *[agg for n in HORIZONS for agg in (
+            sum_if(_within(day, n), F.col("order_count_1d")).alias(f"orders_{n}"),
+            money_sum_if(_within(day, n), F.col("order_total_amount_1d")).alias(f"amount_{n}"))])
+    rows = by_horizon(totals, keys, {n: {"order_count": F.col(f"orders_{n}"),
+                                         "order_total_amount": F.col(f"amount_{n}")}
+                                     for n in HORIZONS})
+    return _sold(rows).select(_on(day), "recent_days", "province_id", *labels, "order_count",
+                              "order_total_amount")
 
 
 def coupon_stats(uses: DataFrame, day: str) -> DataFrame:

@@ -23,6 +23,7 @@ ORDER_DAY = "1998-06-30"
 LOG_DAY = "2024-01-30"
 FIRST_MONTH = "1995-01-31"
 PAYMENT_DAY = "1998-07-03"
+WATERMARK_SPLIT, WATERMARK_LATE = "2024-01-20", "2024-01-04"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,7 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(function):
     """Register under the function's name; the function gets the shop."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(Shop(prepare(spark, folder), folder))
+        return function(Shop(prepare(spark), folder, sized=True))
     run.__doc__ = function.__doc__
     QUERIES[function.__name__] = run
     return function
@@ -481,14 +482,14 @@ def brand_repeat_rate(shop):
 
 @query
 def brand_order_stats(shop):
-    return reports.brand_order_stats(_user_product_1d(shop, ORDER_DAY, ORDER_DAY),
-                                     _user_product_nd(shop), ORDER_DAY)
+    rows = _user_product_1d(shop, horizon_start(ORDER_DAY, 30), ORDER_DAY)
+    return reports.brand_order_stats(rows, ORDER_DAY)
 
 
 @query
 def category_order_stats(shop):
-    return reports.category_order_stats(_user_product_1d(shop, ORDER_DAY, ORDER_DAY),
-                                        _user_product_nd(shop), ORDER_DAY)
+    rows = _user_product_1d(shop, horizon_start(ORDER_DAY, 30), ORDER_DAY)
+    return reports.category_order_stats(rows, ORDER_DAY)
 
 
 @query
@@ -509,10 +510,8 @@ def order_to_pay_seconds(shop):
 
 @query
 def province_order_stats(shop):
-    """Each table is read for the days it needs: the report day and the last 30 days."""
-    return reports.province_order_stats(
-        _province_1d(shop, 1), horizon.province_order(_province_1d(shop, 30), ORDER_DAY),
-        ORDER_DAY)
+    """All horizons from one scan of the last 30 days."""
+    return reports.province_order_stats(_province_1d(shop, 30), ORDER_DAY)
 
 
 @query
@@ -837,47 +836,73 @@ def _to_files(shop: Shop, name: str, stream: DataFrame, partition_by: str | None
     return shop.spark.read.schema(stream.schema).parquet(path)
 
 
-def _timed(shop: Shop, name: str, stream: DataFrame, time, delay: int) -> DataFrame:
-    good = event_time.with_watermark(stream, time, delay).select("id", "event_time")
-    bad = event_time.rejects(stream, time).select("id")
-    kept = _to_files(shop, name, good)
-    lost = _to_files(shop, f"{name}-rejects", bad)
-    text_time = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")
-    return kept.select("id", F.lit("ok").alias("route"), text_time.alias("event_time")).unionByName(
-        lost.select("id", F.lit("reject").alias("route"),
-                    F.lit(None).cast("string").alias("event_time")))
+def _timed(shop: Shop, name: str, rows: DataFrame, time, delay: int) -> DataFrame:
+    """Messages counted per event day under a watermark, and the rejects.
+
+    The messages arrive in two deliveries: the first days, then the others together with the messages
+    of some early days again, which are late by then. One query routes a delivery, a second counts
+    what is usable; both go on from their checkpoints with the second delivery.
+    """
+    spark = shop.spark
+    source, routes, counts, *marks = (scratch_path(spark, f"{name}-{x}") for x in (
+        "input", "routes", "counts", "mark", "count-mark"))
+    rows = rows.select("id", "value", "day")
+    first = rows.where(F.col("day") < WATERMARK_SPLIT)
+    second = rows.where(F.col("day") >= WATERMARK_SPLIT).unionByName(
+        rows.where(F.col("day") < WATERMARK_LATE))
+    for part in (first, second):
+        part.drop("day").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("id bigint, value string").parquet(source)
+        sinks.run_to_end(sinks.to_files(event_time.routed(stream, time), routes, marks[0],
+                                        partition_by="route", once=True))
+        usable = (spark.readStream.schema("id bigint, value string, event_time timestamp, route string")
+                  .parquet(routes).where(F.col("route") == "ok"))
+        sinks.run_to_end(sinks.to_files(event_time.daily_counts(usable, delay), counts, marks[1],
+                                        once=True))
+    days = spark.read.schema("day timestamp, message_count bigint").parquet(counts)
+    lost = spark.read.parquet(routes).where(F.col("route") == "reject")
+    return days.select(F.date_format("day", "yyyy-MM-dd").alias("day"), F.lit("ok").alias("route"),
+                       "message_count").unionByName(
+        lost.groupBy("route").agg(F.count("*").cast("bigint").alias("message_count")).select(
+            F.lit(None).cast("string").alias("day"), "route", "message_count"))
+
+
+def _with_day(events: DataFrame) -> DataFrame:
+    return events.withColumn("day", iso_day(F.col("ts")))
 
 
 @query
 def stream_watermark(shop):
-    return _timed(shop, "watermark", _log_stream(shop),
-                  event_time.field_millis(F.col("value"), "ts"), 5)
+    events = shop.table("events")
+    days = events.select(F.col("event_id").alias("id"), iso_day(F.col("ts")).alias("day"))
+    rows = log_lines(events).withColumnRenamed("log", "value").join(days, "id")
+    return _timed(shop, "watermark", rows, event_time.field_millis(F.col("value"), "ts"), 5)
 
 
 @query
 def stream_watermark_fallback(shop):
     """Views carry only the second time field, errors none."""
-    e = _stream(shop, "events")
+    e = _with_day(shop.table("events"))
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     value = F.to_json(F.struct(
         F.when(F.col("event_type").isin("click", "signup"), seconds).alias("block_timestamp"),
         F.when(F.col("event_type") != "error", seconds + 60).alias("timestamp")))
-    stream = e.select(F.col("event_id").alias("id"), value.alias("value"))
-    return _timed(shop, "fallback", stream,
+    rows = e.select(F.col("event_id").alias("id"), value.alias("value"), "day")
+    return _timed(shop, "fallback", rows,
                   event_time.field_seconds(F.col("value"), "block_timestamp", "timestamp"), 10)
 
 
 @query
 def stream_watermark_list(shop):
     """Messages are lists of windows; errors send an empty list."""
-    e = _stream(shop, "events")
+    e = _with_day(shop.table("events"))
     start = F.unix_millis(F.col("ts").cast("timestamp"))
     item = F.struct(start.alias("window_start_time"))
     later = F.struct((start + 60_000).alias("window_start_time"))
     value = F.when(F.col("event_type") == "error", F.lit("[]")).otherwise(
         F.to_json(F.array(item, later)))
-    stream = e.select(F.col("event_id").alias("id"), value.alias("value"))
-    return _timed(shop, "list", stream, event_time.first_window_start(F.col("value")), 10)
+    rows = e.select(F.col("event_id").alias("id"), value.alias("value"), "day")
+    return _timed(shop, "list", rows, event_time.first_window_start(F.col("value")), 10)
 
 
 @query

@@ -29,13 +29,10 @@ SQL_SETTINGS = {
 }
 
 MB = 1 << 20
-# Bytes of input behind one shuffle partition, and the largest number of partitions and of scan
-# tasks that is still sensible for the bookkeeping of a shuffle.
+# Bytes of the largest table read behind one shuffle partition.
 SHUFFLE_BYTES = 256 * MB
-MAX_PARTITIONS = 100_000
 
 _local_scratch: str | None = None
-_folder_bytes: dict[str, int] = {}
 
 
 def build_session(app_name: str, settings: dict[str, str] | None = None, *,
@@ -77,47 +74,33 @@ class WarehouseSession:
             self.spark.stop()
 
 
-def sizing(input_bytes: int) -> dict[str, int]:
-    """Shuffle partitions and scan split size for an amount of input.
-
-    Partitions of a fixed number would outgrow an executor's memory; adaptive execution merges
-    those that turn out small. Very large inputs get larger splits instead of more tasks.
-    """
-    partitions = min(MAX_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES))
-    split = min(1024 * MB, max(128 * MB, -(-input_bytes // MAX_PARTITIONS)))
-    return {"spark.sql.shuffle.partitions": partitions,
-            "spark.sql.files.maxPartitionBytes": split}
-
-
-def input_bytes(spark: SparkSession, folder: str) -> int:
-    """Bytes below a folder, listed once per process; 0 when it does not exist."""
-    if folder not in _folder_bytes:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        _folder_bytes[folder] = fs.getContentSummary(path).getLength() if fs.exists(path) else 0
-    return _folder_bytes[folder]
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a path as of now; 0 when it does not exist."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
 
 
-def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
-    """Apply the warehouse settings to a session somebody else created.
+def fit(spark: SparkSession, path: str) -> None:
+    """Raise the session's shuffle partitions to fit a table that is about to be read.
 
-    With a folder of input, sizes are raised to fit it; they are never lowered.
+    Partitions of a fixed number would outgrow an executor's memory; adaptive execution merges those
+    that turn out small. Called on sessions made by `prepare`, so a query that reads small tables
+    only stays small, whatever ran before it.
     """
-    for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
-    if folder is not None:
-        for key, value in sizing(input_bytes(spark, folder)).items():
-            if value > _bytes(spark.conf.get(key)):
-                spark.conf.set(key, str(value))
-    return spark
-
-
-def _bytes(text: str) -> int:
-    """Number behind a setting such as `134217728b`, `128m` or `200`."""
-    units = {"k": 1 << 10, "m": MB, "g": 1 << 30, "t": 1 << 40}
-    digits = text.lower().removesuffix("b")
-    unit = units.get(digits[-1:], 1)
-    return int(digits.rstrip("kmgt")) * unit
+    name = "spark.sql.shuffle.partitions"
+    wanted = -(-table_bytes(spark, path) // SHUFFLE_BYTES)
+    if wanted > int(spark.conf.get(name)):
+        spark.conf.set(name, str(wanted))
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """A session of its own with the caller's and the warehouse settings; the caller's stays as it is."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **SQL_SETTINGS}.items():
+        if own.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    return own
 
 
 def scratch_root(spark: SparkSession) -> str:

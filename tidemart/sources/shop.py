@@ -13,21 +13,27 @@ from pyspark.sql.types import StructType
 
 from tidemart.functions import codes
 from tidemart.functions.money import money
+from tidemart.session import fit
 from tidemart.sources.readers import literal_rows
 
 PAGES = ("home", "good_detail", "cart", "order", "payment")
 
 
 class Shop:
-    def __init__(self, spark: SparkSession, folder: str):
+    """`sized`: the session belongs to this shop, and its shuffles are fitted to the tables read."""
+
+    def __init__(self, spark: SparkSession, folder: str, sized: bool = False):
         self.spark = spark
         self.folder = folder
+        self._sized = sized
         self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
         """A given table; its footer is read once, however often a query uses the table."""
         path = f"{self.folder}/{name}.parquet"
         if name not in self._schemas:
+            if self._sized:
+                fit(self.spark, path)
             first = self.spark.read.parquet(path)
             self._schemas[name] = first.schema
             return first

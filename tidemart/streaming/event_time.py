@@ -45,3 +45,24 @@ def rejects(stream: DataFrame, time: Column) -> DataFrame:
 def without_repeats(stream: DataFrame, keys: list[str]) -> DataFrame:
     """Drop messages repeated within the watermark; state is given up when it has passed."""
     return stream.dropDuplicatesWithinWatermark(keys)
+
+
+def routed(stream: DataFrame, time: Column) -> DataFrame:
+    """All messages with `event_time` and `route`: `ok`, or `reject` without a usable time.
+
+    Written by one query into a folder per route, so that the source is read once.
+    """
+    return stream.withColumn("event_time", time).withColumn(
+        "route", F.when(F.col("event_time").isNull(), "reject").otherwise("ok"))
+
+
+def daily_counts(stream: DataFrame, delay_seconds: int) -> DataFrame:
+    """(day, message_count) from `event_time` under a watermark.
+
+    A day is given out when the watermark has passed its end; messages that come for it later are
+    dropped, earlier ones are counted however much out of order they are.
+    """
+    timed = stream.withWatermark("event_time", f"{delay_seconds} seconds")
+    counts = timed.groupBy(F.window("event_time", "1 day").alias("w")).agg(
+        F.count("*").cast("bigint").alias("message_count"))
+    return counts.select(F.col("w.start").alias("day"), "message_count")
