@@ -89,12 +89,13 @@ def _large(queries: pd.DataFrame, rows: pd.DataFrame, q: np.ndarray, x: np.ndarr
         scores = [(-max(-LARGEST, min(LARGEST, sum(a * b for a, b in zip(vec, y, strict=True)))), v, r)
                   for y, v, r in zip(own, rows["vec_id"], rows["row_id"], strict=True) if r != row_id]
         found += [(row_id, queries["vec_id"].iloc[i], r, v, -s) for s, v, r in sorted(scores)[:k]]
-    return pd.DataFrame(found, columns=["query_row", "query_id", "row_id", "vec_id", "score"])
+    return pd.DataFrame(found, columns=["query_row", "query_id", "row_id", "vec_id", "score"]).astype("int64")
 
 
 def _searcher(k: int, scale: float):
     def run(_: tuple, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [Top(np.empty(0, "int64"), k, np.empty(0)).frame(np.empty(0, "int64"))]
+        nothing = Top(np.empty(0, "int64"), k, np.empty(0)).frame(np.empty(0, "int64"))
+        parts = [nothing.astype({"score": "int64"})]
         row_sets = by_dimension(rows["vec"])
         for size, asking in by_dimension(queries["vec"]).items():
             if size not in row_sets:
@@ -107,9 +108,8 @@ def _searcher(k: int, scale: float):
             top = Top(some["row_id"].to_numpy(), k, some["floor"].to_numpy(float))
             BallTree(x).search(q, x, own["vec_id"].to_numpy(), own["row_id"].to_numpy(), top,
                                np.arange(len(q)))
-            parts.append(top.frame(some["vec_id"].to_numpy()))
-        out = pd.concat(parts)
-        return out.astype({"score": object}).assign(score=[int(s) for s in out["score"]])
+            parts.append(top.frame(some["vec_id"].to_numpy()).astype({"score": "int64"}))
+        return pd.concat(parts)
 
     return run
 
