@@ -26,6 +26,41 @@ _STATS = """
 _CATEGORIES = ("category1_id, category1_name, category2_id, category2_name, category3_id,"
                " category3_name")
 
+_AGES = """
+        SELECT user_id, label AS age_label, total AS score
+        FROM (SELECT user_id, CASE WHEN k < 20 THEN '18-24' WHEN k < 40 THEN '25-29'
+                                   WHEN k < 60 THEN '30-34' WHEN k < 80 THEN '35-39'
+                                   ELSE '40+' END AS label,
+                     CAST(sum(CAST(value AS DECIMAL(16,2)) * CASE event_type
+                          WHEN 'click' THEN 0.30 WHEN 'purchase' THEN 0.40
+                          WHEN 'view' THEN 0.20 ELSE 0.10 END) AS DECIMAL(30,4)) AS total
+              FROM x_event WHERE event_type <> 'error' GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY total DESC, label DESC) = 1"""
+_GENDERS = """
+        SELECT user_id, female, male, family,
+               CASE WHEN (female - male) * 10 > female + male + family THEN 'female'
+                    WHEN (male - female) * 10 > female + male + family THEN 'male'
+                    WHEN family * 10 >= (female + male + family) * 3 THEN 'family' END
+                   AS gender_label
+        FROM (SELECT user_id,
+                     CAST(coalesce(sum(v) FILTER (k < 34), 0) AS DECIMAL(26,2)) AS female,
+                     CAST(coalesce(sum(v) FILTER (k >= 34 AND k < 67), 0) AS DECIMAL(26,2)) AS male,
+                     CAST(coalesce(sum(v) FILTER (k >= 67), 0) AS DECIMAL(26,2)) AS family
+              FROM (SELECT *, CAST(value AS DECIMAL(16,2)) AS v FROM x_event) GROUP BY user_id)"""
+_SIGNS = """
+        SELECT c_custkey AS user_id,
+               CASE WHEN md < 120 THEN 'Capricorn' WHEN md < 219 THEN 'Aquarius'
+                    WHEN md < 321 THEN 'Pisces' WHEN md < 420 THEN 'Aries'
+                    WHEN md < 521 THEN 'Taurus' WHEN md < 622 THEN 'Gemini'
+                    WHEN md < 723 THEN 'Cancer' WHEN md < 823 THEN 'Leo'
+                    WHEN md < 923 THEN 'Virgo' WHEN md < 1024 THEN 'Libra'
+                    WHEN md < 1123 THEN 'Scorpio' WHEN md < 1222 THEN 'Sagittarius'
+                    ELSE 'Capricorn' END AS constellation
+        FROM (SELECT c_custkey, month(b) * 100 + day(b) AS md
+              FROM (SELECT c_custkey, DATE '1980-01-01' + CAST(floor(c_acctbal) AS INTEGER) AS b
+                    FROM customer))"""
+
+
 def _watermark(time: str, delay: int) -> str:
     """Two deliveries: days before the 20th, then the others and the first three days again. A message counts
     unless its day was over at the watermark after the first delivery; days over at the last one
@@ -385,39 +420,18 @@ TEXTS = {
                                CASE WHEN bool_or(shop_hour BETWEEN 12 AND 17) THEN 'afternoon' END,
                                CASE WHEN bool_or(shop_hour >= 18) THEN 'evening' END) AS day_parts
               FROM x_log WHERE uid IS NOT NULL GROUP BY uid)""",
-    "profile_age_label": """
-        SELECT user_id, label AS age_label, total AS score
-        FROM (SELECT user_id, CASE WHEN k < 20 THEN '18-24' WHEN k < 40 THEN '25-29'
-                                   WHEN k < 60 THEN '30-34' WHEN k < 80 THEN '35-39'
-                                   ELSE '40+' END AS label,
-                     CAST(sum(CAST(value AS DECIMAL(16,2)) * CASE event_type
-                          WHEN 'click' THEN 0.30 WHEN 'purchase' THEN 0.40
-                          WHEN 'view' THEN 0.20 ELSE 0.10 END) AS DECIMAL(30,4)) AS total
-              FROM x_event WHERE event_type <> 'error' GROUP BY 1, 2)
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY total DESC, label DESC) = 1""",
-    "profile_gender_label": """
-        SELECT user_id, female, male, family,
-               CASE WHEN (female - male) * 10 > female + male + family THEN 'female'
-                    WHEN (male - female) * 10 > female + male + family THEN 'male'
-                    WHEN family * 10 >= (female + male + family) * 3 THEN 'family' END
-                   AS gender_label
-        FROM (SELECT user_id,
-                     CAST(coalesce(sum(v) FILTER (k < 34), 0) AS DECIMAL(26,2)) AS female,
-                     CAST(coalesce(sum(v) FILTER (k >= 34 AND k < 67), 0) AS DECIMAL(26,2)) AS male,
-                     CAST(coalesce(sum(v) FILTER (k >= 67), 0) AS DECIMAL(26,2)) AS family
-              FROM (SELECT *, CAST(value AS DECIMAL(16,2)) AS v FROM x_event) GROUP BY user_id)""",
-    "profile_zodiac": """
-        SELECT c_custkey AS user_id,
-               CASE WHEN md < 120 THEN 'Capricorn' WHEN md < 219 THEN 'Aquarius'
-                    WHEN md < 321 THEN 'Pisces' WHEN md < 420 THEN 'Aries'
-                    WHEN md < 521 THEN 'Taurus' WHEN md < 622 THEN 'Gemini'
-                    WHEN md < 723 THEN 'Cancer' WHEN md < 823 THEN 'Leo'
-                    WHEN md < 923 THEN 'Virgo' WHEN md < 1024 THEN 'Libra'
-                    WHEN md < 1123 THEN 'Scorpio' WHEN md < 1222 THEN 'Sagittarius'
-                    ELSE 'Capricorn' END AS constellation
-        FROM (SELECT c_custkey, month(b) * 100 + day(b) AS md
-              FROM (SELECT c_custkey, DATE '1980-01-01' + CAST(floor(c_acctbal) AS INTEGER) AS b
-                    FROM customer))""",
+    "profile_age_label": _AGES,
+    "profile_gender_label": _GENDERS,
+    "profile_zodiac": _SIGNS,
+    "profile_labels": f"""
+        SELECT d_user.id AS user_id, age_label, gender_label,
+               CASE WHEN d_user.id % 3 <> 0 THEN CAST(d_user.id % 50 + 150 AS INTEGER) END AS height_cm,
+               CASE WHEN d_user.id % 3 <> 0
+                    THEN CAST((d_user.id % 400 + 450) * 0.1 AS DECIMAL(5,1)) END AS weight_kg,
+               constellation, coalesce(operate_time, create_time) AS update_time
+        FROM d_user LEFT JOIN ({_AGES}) a ON a.user_id = d_user.id
+             LEFT JOIN ({_GENDERS}) g ON g.user_id = d_user.id
+             LEFT JOIN ({_SIGNS}) s ON s.user_id = d_user.id""",
     "product_name_split": """
         SELECT p_partkey AS sku_id,
                p_brand || CASE WHEN p_size > 10 THEN '丨' ELSE ' ' END || p_name || ' 套装 ' || p_type

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.days import FAR_DAY, shift
-from tidemart.plans import daily, dims, facts, horizon, reports
+from tidemart.plans import behaviour, daily, dims, facts, horizon, profile, reports
 from tidemart.session import fit, prepare
 from tidemart.sources import readers, writers
 
@@ -150,6 +150,20 @@ def one_day_aggregates(w: Warehouse, day: str, first: bool) -> None:
     save("visitor_page_view_1d", daily.visitor_page_view(fact("fact_page_view")))
 
 
+def behaviour_indicators(w: Warehouse, day: str) -> None:
+    """Visits, regions, paths and devices of the log lines delivered with the day, categories of its
+    orders, and the profiles of the users seen."""
+    log, views = w.source("z_log", day), w.day("fact_page_view", day)
+    w.save_day("page_visits", behaviour.page_visits(views), day)
+    w.save_day("login_region_heat", behaviour.login_region_heat(
+        w.day("fact_login", day), w.day("dim_province", day)), day)
+    w.save_day("page_path_edges", behaviour.page_path_edges(log), day)
+    w.save_day("page_paths", behaviour.page_paths(log), day)
+    w.save_day("device_rollup", behaviour.device_rollup(views), day)
+    w.save_day("category_rollup", behaviour.category_rollup(w.day("user_product_order_1d", day)), day)
+    w.save_day("user_profile", profile.user_profile(profile.user_activity(log)), day)
+
+
 def longer_aggregates(w: Warehouse, day: str, first: bool) -> None:
     by_user = w.table("user_order_1d")
     w.save_day("user_product_order_nd",
@@ -206,6 +220,7 @@ def first_load(w: Warehouse, day: str) -> None:
     first_facts(w, day)
     event_facts(w, day, first=True)
     one_day_aggregates(w, day, first=True)
+    behaviour_indicators(w, day)
     longer_aggregates(w, day, first=True)
     write_reports(w, day, first=True)
 
@@ -218,5 +233,6 @@ def daily_load(w: Warehouse, day: str) -> None:
     daily_facts(w, day)
     event_facts(w, day, first=False)
     one_day_aggregates(w, day, first=False)
+    behaviour_indicators(w, day)
     longer_aggregates(w, day, first=False)
     write_reports(w, day, first=False)

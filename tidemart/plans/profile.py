@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.days import day_part, in_range, iso_day, shop_time
+from tidemart.functions.days import day_part, in_range, iso_day, iso_time, shop_time
 from tidemart.functions.text import product_name_parts
 from tidemart.sources.readers import TIME, parse_log
 
@@ -103,6 +103,23 @@ def zodiac(users: DataFrame) -> DataFrame:
                         label.otherwise(ZODIAC_STARTS[-1][1]).alias("constellation"))
 
 
+def label_table(users: DataFrame, ages: DataFrame, genders: DataFrame, signs: DataFrame,
+                measures: DataFrame) -> DataFrame:
+    """One row per user with all labels: age, gender, height, weight, sign and time of the update.
+
+    `measures(user_id, height_cm, weight_kg)` are what users told; a user without a label has null.
+    """
+    rows = users.select(F.col("id").alias("user_id"),
+                        F.coalesce("operate_time", "create_time").alias("update_time"))
+    for labels, columns in ((ages, ["age_label"]), (genders, ["gender_label"]),
+                            (measures, ["height_cm", "weight_kg"]), (signs, ["constellation"])):
+        rows = rows.join(labels.select("user_id", *columns), "user_id", "left")
+    return rows.select("user_id", "age_label", "gender_label",
+                       F.col("height_cm").cast("int").alias("height_cm"),
+                       F.col("weight_kg").cast("decimal(5,1)").alias("weight_kg"), "constellation",
+                       iso_time(F.col("update_time")).alias("update_time"))
+
+
 def split_product_names(products: DataFrame, name: str) -> DataFrame:
     return products.select("*", product_name_parts(F.col(name)).alias("__p")).select(
         *products.columns, "__p.*")

@@ -565,6 +565,10 @@ def user_profile_json(shop):
 @query
 def profile_age_label(shop):
     """Event types stand for dimensions, ranges of the key for age bands; errors have no weight."""
+    return _age_labels(shop)
+
+
+def _age_labels(shop: Shop) -> DataFrame:
     k = F.col("k")
     band = (F.when(k < 20, "18-24").when(k < 40, "25-29").when(k < 60, "30-34")
             .when(k < 80, "35-39").otherwise("40+"))
@@ -580,12 +584,27 @@ def profile_age_label(shop):
 
 @query
 def profile_gender_label(shop):
+    return _gender_labels(shop)
+
+
+def _gender_labels(shop: Shop) -> DataFrame:
     k = F.col("k")
     side = F.when(k < 34, "female").when(k < 67, "male").otherwise("family")
     return profile.gender_label(shop.events().select(
         "user_id", side.alias("side"), money(F.col("value")).alias("score")))
 
 
+@query
+def profile_labels(shop):
+    """All labels per user; height and weight follow from the customer's number."""
+    key = F.col("c_custkey")
+    measures = shop.table("customer").where(key % 3 != 0).select(
+        key.alias("user_id"), (key % 50 + 150).alias("height_cm"),
+        ((key % 400 + 450) / F.lit(10)).cast("decimal(5,1)").alias("weight_kg"))
+    return profile.label_table(shop.user_info(), _age_labels(shop), _gender_labels(shop),
+                               profile.zodiac(shop.user_info()), measures)
+
+
 @query
 def profile_zodiac(shop):
     return profile.zodiac(shop.user_info())
