@@ -205,7 +205,8 @@ def nearest(embeddings: DataFrame, k: int = 20, step: int = QUERY_STEP, block_ro
     that are all searched. A query takes the lists within a ratio of its nearest one; the ratio is
     measured, see `set_ratio`. The nearest two lists are searched first, and their kth scores limit what
     the others give back. Scores are sums in double over the original vectors. Only vectors of the most
-    frequent length (the least, if several) take part; without any the result is empty.
+    frequent length (the least, if several) take part; without any the result is empty. Ties go to the smaller
+    vec_id, repeated rows are rows of their own, other columns do not matter.
     """
     spark = embeddings.sparkSession
     rows = stored(usable(embeddings, True), "vectors")

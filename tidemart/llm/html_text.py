@@ -149,7 +149,7 @@ def main_text(html: str | None) -> str:
     content. The content region is the innermost element that holds `SHARE` of their text, and all its
     lines belong to the article, short ones as well. When only the whole page holds that much, those of its
     containers belong to it that have a content line, and lines outside of any, but no lines of mainly links. Broken markup is read as browsers do: unclosed
-    elements end with their parent.
+    elements end with their parent. A page is read whole, however long.
     """
     if not html:
         return ""
@@ -188,7 +188,8 @@ def main_text(html: str | None) -> str:
 
 
 def extract(html: Column) -> Column:
-    """Column function of `main_text`, page by page in Arrow batches."""
+    """Column function of `main_text`, page by page in Arrow batches; null pages give empty text, other
+    columns and repeated rows do not matter."""
 
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in pages:

@@ -54,7 +54,8 @@ def systematic_copies(rows: DataFrame, keys: list[str], seed: int = 29, cap: flo
     its part crosses. Of `OFFSETS` seeded random offsets a source takes the one whose taken size is
     nearest to its target, which matters where a few long rows make up a small source. Sums are place times expectation, so no running sum is needed; ordering by
     size keeps the taken size within about one large row of the target. Rows alike in source, size and
-    keys are interchangeable. A source without words is not taken. `copies` never exceeds `cap`.
+    keys are interchangeable. A source without words is not taken. `copies` never exceeds `cap`. A null
+    source is a source, no row gives no row; columns of rows must not begin with two underscores.
     """
     sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     heads = [F.substr(F.md5(F.concat_ws("|", F.lit(f"{seed}|{j}"), "source")), F.lit(1), F.lit(5))
@@ -90,7 +91,8 @@ def mix(docs: DataFrame, seed: int = 29) -> DataFrame:
 
     Copies are decided on (source, size, key) rows and joined back by key, a hash of id and text.
     Rows that agree in all of these share their copies: each gets the whole part, the first of
-    them one more. Null texts have size 0 and are taken like others; an empty table stays empty.
+    them one more. Null texts have size 0 and are taken like others, null ids and sources are values of their
+    own, columns of any name are kept; an empty table stays empty.
     """
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", "text").alias("key"))
     small = stored(docs.select(F.xxhash64("doc_id", "source", "text").alias("key"), "source",

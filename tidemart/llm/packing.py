@@ -23,7 +23,8 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
     """Pieces of every document's ids plus `end_id`; a null text is empty, so it has one piece of one id.
 
     Documents of at most `capacity` ids stay whole. Longer ones are cut into pieces of exactly `capacity`,
-    the first one takes what is left over.
+    the first one takes what is left over. Whole texts are encoded, however long. A null doc_id stays null,
+    repeated rows give their pieces again, an empty table gives none; other columns are left out.
     """
     path = vocabulary or vocabulary_path()
     end = int(end_id).to_bytes(4, "little")

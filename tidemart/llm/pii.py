@@ -179,7 +179,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, counts of base spans, `base` and `spans` as arrays of (kind, start, end).
 
     A null text is empty and has none. Spans of different kinds may overlap; added ones touch no base
-    span. Rows with equal id and text get the same result.
+    span. Rows with equal id and text get the same result, one row each; a null doc_id stays null, an empty
+    table gives no row, other columns are left out. Formats are read in one pass over a text of any length.
     """
     rows = _facts(docs)
     added = F.coalesce("added", F.array().cast("array<struct<kind:string,start:int,end:int>>"))
@@ -191,7 +192,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """Documents with every span replaced by its kind in brackets; overlapping spans become one.
 
-    Columns stay as they are but for `text` and, if there, `n_chars`. A null text stays null.
+    Columns of any name stay as they are but for `text` and, if there, `n_chars`. A null text stays
+    null, repeated rows stay, an empty table stays empty.
     """
     added = _added(_facts(docs))
     text = F.coalesce("text", F.lit(""))

@@ -26,7 +26,11 @@ def encoded_length(vocabulary: str):
 
 
 def length_histogram(docs: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """(n_tokens, n_docs): how many documents have each encoded length. Null texts have length 0."""
+    """(n_tokens, n_docs): how many documents have each encoded length.
+
+    Null and empty texts have length 0, repeated rows count each, whole texts are encoded; other columns
+    do not matter.
+    """
     path = vocabulary or vocabulary_path()
     return (docs.select(encoded_length(path)(F.col(text)).alias("n_tokens"))
             .groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")))
