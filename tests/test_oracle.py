@@ -10,6 +10,8 @@ from tidemart.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TEXTS = oracle_texts()
+# The smallest fixture has no order lines or payments on the days of these.
+EMPTY = {"fact_order_line_daily", "fact_payment_line_daily"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     problem = compare(spark, con, QUERIES[name], TEXTS[name], FOLDER)
-    assert problem in (None, "both results are empty")
+    assert problem is None or name in EMPTY and problem == "both results are empty"
 
 
 def test_entry(spark):

@@ -177,3 +177,8 @@ def test_running_totals_keep_the_last_state(spark):
     sinks.run_to_end(sinks.per_batch(counted, sinks.keep_latest_result(out), mark,
                                      mode="complete", once=True))
     assert [r.n for r in sinks.latest_result(spark, out).collect()] == [3]
+    write = sinks.keep_latest_result(out)
+    for number in (2, 3, 4):
+        write(spark.range(number).agg(F.count("*").alias("n")), number)
+    assert [r.n for r in sinks.latest_result(spark, out).collect()] == [4]
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2

@@ -49,9 +49,19 @@ def per_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkp
 
 
 def keep_latest_result(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch function for complete mode: one folder per batch, rewritten when repeated."""
+    """Batch function for complete mode: one folder per batch, rewritten when repeated.
+
+    The folder before the last one stays for readers that began with it, older ones are removed.
+    """
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number:019d}")
+        spark = batch.sparkSession
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith("batch=") and int(name.removeprefix("batch=")) < number - 1:
+                fs.delete(status.getPath(), True)
     return write
 
 
