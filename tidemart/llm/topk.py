@@ -115,16 +115,19 @@ def _searcher(k: int, scale: float):
 
 
 def top_k(embeddings: DataFrame, k: int = 20, step: int = QUERY_STEP, scale: float = 64.0,
-          shard_rows: int = 1024, block_rows: int = 1024) -> DataFrame:
+          shard_rows: int = 1024, block_rows: int = 1024, growth: int = 4) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product of floor(scale * x) vectors.
 
     Queries are the rows whose id `step` divides, each against all rows but itself; vectors of
     another length are not compared. Rows are sorted by norm and cut in shards of equal size; queries are taken
-    in blocks. The first wave searches the shard of the largest norms; its kth scores go with the
-    queries into the second, which meets only shards whose largest norm can still reach a kth
-    score of the block. Inside a shard a ball tree is searched leaf by leaf, largest bound first.
+    in blocks. The first wave searches the shard of the largest norms, each further one `growth` times as
+    many shards. The kth scores reached so far go with the queries into the next wave, which meets only
+    shards whose largest norm can still reach a kth score of the block and gives back only rows that
+    reach it, so what is given back grows with the number of waves, the logarithm of the rows. Inside a shard a
+    ball tree is searched leaf by leaf, largest bound first.
     Blocks and shards are of bounded size whatever the data, equal vectors included. Scores are exact
-    whole numbers; beyond the range of long they are cut at its ends. No usable row: no result.
+    whole numbers; beyond the range of long they are cut at its ends. Ties go to the smaller vec_id, repeated
+    rows are rows of their own, other columns do not matter. No usable row: no result.
     """
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + F.pow(F.floor(x * scale).cast("double"),
                                                                         F.lit(2.0))))
@@ -146,21 +149,31 @@ def top_k(embeddings: DataFrame, k: int = 20, step: int = QUERY_STEP, scale: flo
             _searcher(k, scale), FOUND.replace("score double", "score long"))
         return stored(best(found, k).drop("rank"), "found")
 
-    all_blocks = queries.select("block").distinct()
-    first = wave(queries.withColumn("floor", F.lit(None).cast("double")),
-                 all_blocks.select("block", F.lit(0).cast("long").alias("shard")))
-    if last:
-        known = floors(first, k).withColumnRenamed("query_row", "row_id").select(
-            "row_id", F.col("floor").cast("double"))
-        asked = stored(queries.join(known, "row_id", "left"), "queries")
+    known, start, size = None, 0, 1
+    while last is not None and start <= last:
+        stop = min(last, start + size - 1)
+        if known is None:
+            asked = queries.withColumn("floor", F.lit(None).cast("double"))
+        else:
+            reached = floors(known, k).select(F.col("query_row").alias("row_id"),
+                                              F.col("floor").cast("double"))
+            asked = stored(queries.join(reached, "row_id", "left"), "queries")
         # The least norm a row needs to reach the kth score of some query of the block.
         reach = asked.groupBy("block").agg(F.min(F.when(F.col("floor").isNull(), 0.0).otherwise(
             F.col("floor") / F.greatest(F.col("norm"), F.lit(1e-300)))).alias("reach"))
-        pairs = (reach.withColumn("shard", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(last))))
-                 .join(shards, "shard").filter(F.col("max_norm") * (1 + 1e-9) >= F.col("reach"))
-                 .select("block", "shard"))
-        first = first.unionByName(wave(asked, stored(pairs, "pairs")))
-    return best(first, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+        pairs = stored(
+            reach.withColumn("shard", F.explode(F.sequence(F.lit(start).cast("long"), F.lit(stop))))
+            .join(shards, "shard").filter(F.col("max_norm") * (1 + 1e-9) >= F.col("reach"))
+            .select("block", "shard"), "pairs")
+        if known is not None and pairs.limit(1).count() == 0:
+            break  # later shards have smaller norms
+        found = wave(asked, pairs)
+        known = found if known is None else stored(
+            best(known.unionByName(found), k).drop("rank"), "found")
+        start, size = stop + 1, size * growth
+    if known is None:
+        known = embeddings.sparkSession.createDataFrame([], FOUND.replace("score double", "score long"))
+    return best(known, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
