@@ -32,21 +32,28 @@ def held_out(doc_id: Column) -> Column:
 def training_rows(docs: DataFrame, per_language: int = TRAINING_ROWS) -> DataFrame:
     """(lang, text) of at most `per_language` labelled documents of each language, the same on every run.
 
-    A histogram of hash buckets gives the buckets that fit below the bound; only the last of them is
-    ranked. Held-out documents, null texts and null languages are left out.
+    A histogram of hash buckets, which reads no text, gives the last bucket of each language that still fits;
+    these bounds, one per language, go into the filter, so only the sample is shuffled, and the last
+    bucket is cut by rank. Held-out documents, null texts and null languages are left out.
     """
-    usable = (docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
-                          & F.col("text").isNotNull())
-              .select("lang", "doc_id", "text",
-                      F.pmod(F.xxhash64("doc_id"), F.lit(_BUCKETS)).alias("bucket")))
+    usable = (docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+              .withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(_BUCKETS))))
     upward = Window.partitionBy("lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    chosen = (usable.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    bounds = (usable.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("before", F.coalesce(F.sum("n").over(upward), F.lit(0)))
-              .filter(F.col("before") < per_language).select("lang", "bucket", "before"))
+              .filter(F.col("before") < per_language)
+              .groupBy("lang").agg(F.max(F.struct("bucket", "before")).alias("last")).collect())
+    last = {r["lang"]: r["last"] for r in bounds}
+    chosen, room = F.lit(False), F.lit(0)
+    for lang, (bucket, before) in sorted(last.items()):
+        own = F.col("lang") == lang
+        chosen = chosen | (own & (F.col("bucket") <= bucket))
+        room = F.when(own & (F.col("bucket") == bucket), per_language - before).otherwise(room)
+    room = F.when(room > 0, room).otherwise(per_language)
     order = Window.partitionBy("lang", "bucket").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    return (usable.join(chosen, ["lang", "bucket"])
+    return (usable.filter(chosen & F.col("text").isNotNull()).select("lang", "doc_id", "text", "bucket")
             .withColumn("place", F.row_number().over(order))
-            .filter(F.col("place") + F.col("before") <= per_language).select("lang", "text"))
+            .filter(F.col("place") <= room).select("lang", "text"))
 
 
 def word_counts(rows: DataFrame, words: int = MODEL_WORDS) -> list[tuple[str, str, int]]:
@@ -160,7 +167,11 @@ def fit(docs: DataFrame, per_language: int = TRAINING_ROWS, words: int = MODEL_W
 
 
 def identify(docs: DataFrame, model: WordBackoff, text: str = "text") -> Column:
-    """Struct (lang_pred, score) of a text column, scored in the tasks with the sent model."""
+    """Struct (lang_pred, score) of a text column, scored in the tasks with the sent model.
+
+    Only the text counts, all of it. Null texts and texts without a letter are `und` with score 0, as is
+    everything when no labelled document was there to learn from; a tie goes to the first language by name.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
