@@ -26,7 +26,8 @@ def components(edges: DataFrame, node: str, hub: str) -> DataFrame:
     edges = stored(edges.select(F.col(node).alias("n"), F.col(hub).alias("h")).distinct(), "edges")
     labels = stored(edges.groupBy("n").agg(F.col("n").alias("l")), "labels")
     while True:
-        hubs = edges.join(labels, "n").groupBy("h").agg(F.min("l").alias("m"))
+        # Stored, so that the join with it can split a hub's many nodes.
+        hubs = stored(edges.join(labels, "n").groupBy("h").agg(F.min("l").alias("m")), "hubs")
         near = edges.join(hubs, "h").groupBy("n").agg(F.min("m").alias("m"))
         jump = labels.select(F.col("n").alias("m"), F.col("l").alias("far"))
         step = (labels.join(near, "n").join(jump, "m")

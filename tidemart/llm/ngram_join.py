@@ -17,11 +17,13 @@ from xxhash import xxh64_intdigest
 from tidemart.llm.common import components, documents, stored
 
 WORDS, SIMILARITY = 5, 0.8
-RUNS, DEPTH = 12, 3
-# Tokens a set chooses per node of its path tree, on average. A pair at the threshold shares at least one choice
-# on average, so a run finds it with about 0.63 at the first level and 0.4 at the third;
-# twelve runs leave 0.6 ** 12 = 0.2 % unfound at worst.
-CHOICES = 1.25
+# Tokens a set chooses per node of its path tree, on average, and levels of the tree.
+CHOICES, DEPTH = 1.25, 3
+# A pair at the threshold shares at least one choice on average, so a run finds it with about 0.63
+# at the first level and 0.4 at the third. Runs are repeated until pairs that need three levels
+# reach the target recall: twelve.
+TARGET_RECALL, RUN_RECALL = 0.9975, 0.4
+RUNS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - RUN_RECALL))
 BUCKET_ROWS = 512  # buckets up to here are compared at once, larger ones in blocks
 SET_BLOCK = 1024  # sets of one group that are compared at once
 SKETCH_BINS = 64
@@ -308,7 +310,8 @@ def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = stored(rows.join(sets.select(F.col("node").alias("row_id")), "row_id")
                  .withColumnRenamed("row_id", "node").drop("doc_id", "k1", "k2"), "nodes")
     near = components(candidates(own.filter("size > 0")), "node", "hub")
-    counts = near.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that the join with it can split a large component.
+    counts = stored(near.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "groups")
     units = _units(near.join(counts, "component"), "component", SET_BLOCK, 1024)
     asked = units.join(own.select("node", "row_key"), "node")
     texts = docs.select(row_key(docs).alias("row_key"), docs["text"].alias("text")).join(
@@ -329,7 +332,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     Two sets of five-word n-grams are linked from a Jaccard similarity of 0.8. Documents with the same
     set are copies: copy_id is their least doc_id, n_copies their number; n_links counts the other sets
     linked with theirs. Classes are connected over links; class_id is the least doc_id of the class (null if it
-    has none). A null text or one without words is in a class of its own. Repeated rows are copies.
+    has none). A null text or one without words is in a class of its own. Repeated rows are copies, an empty
+    table gives no row, whole texts count however long; other columns are left out.
     """
     rows, nodes = joined(docs)
     names = nodes.groupBy("component").agg(F.min("copy_id").alias("class_id"))
@@ -339,7 +343,10 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the least doc_id of every class, with all its columns; of repeated rows one."""
+    """The document with the least doc_id of every class, with all its columns; of repeated rows one.
+
+    Null ids come last; documents without words are classes of their own. An empty table stays empty.
+    """
     rows, nodes = joined(docs)
     chosen = (rows.select("k1", "k2", "row_id", "doc_id", "row_key").join(
         nodes.select("k1", "k2", "component"), ["k1", "k2"])
