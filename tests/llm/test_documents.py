@@ -179,6 +179,28 @@ def test_odd_pages():
     assert main_text("<p>" * 3000 + "deep" + "</div>" * 10) == "deep"
 
 
+LONG = "A long paragraph of the article, which says what there is to say, and then a little more of it."
+
+
+@pytest.mark.parametrize("open_tag", ["<article>", "<main><article>", '<div class="post">'])
+@pytest.mark.parametrize("inside", [
+    f"<h1>Title</h1><p class=lead>Short lead.</p><div class=body>{'<p>' + LONG + '</p>'}{'<p>' + LONG * 3 + '</p>'}</div>",
+    f"<section><h2>One</h2>{('<p>' + LONG + '</p>') * 17}</section><section><h2>Two</h2>{('<p>' + LONG + '</p>') * 3}</section>",
+    f"<p>Before it.</p><ul>{('<li>' + LONG + '</li>') * 20}</ul><p>After it.</p>",
+    f"<p>Before it.</p><table>{('<tr><td>' + LONG + '</td></tr>') * 20}</table><p>After it.</p>",
+    f"<p>Before it.</p><section>{('<p>' + LONG + '</p>') * 20}</section><p>After it.</p>"])
+def test_all_of_an_article(open_tag, inside):
+    page = f"<body><nav><a href=x>Home</a></nav>{open_tag}{inside}</body>"
+    want = [t for t in re.split(r"<[^>]*>", inside) if t]
+    assert main_text(page).split("\n\n") == want
+
+
+def test_all_of_a_page_without_a_container():
+    items = "<ul><li>one</li><li>two</li></ul><table><tr><td>3</td><td>4</td></tr></table><div><a href=x>A link</a></div>"
+    page = f"<body><ul><li><a href=x>Home</a></li></ul><h1>T</h1><p>{LONG}</p>{items}<p>{LONG}</p><ul><li>end</li></ul></body>"
+    assert main_text(page).split("\n\n") == ["T", LONG, "one", "two", "3", "4", "A link", LONG, "end"]
+
+
 def test_smoothing_and_threshold():
     assert np.allclose(smooth(np.full(9, 3.0)), 3.0)
     assert 1 < threshold(np.array([1.0, 1.2, 9.0, 8.5])) < 8.5

@@ -29,33 +29,36 @@ AROUND_WORDS = frozenset("""ad ads advert adverts advertisement advertising bann
     navbar navigation newsletter notice notices notification popup promo promoted related share sharing
     sidebar social sponsor sponsored subscribe toolbar widget""".split())
 ARTICLE = frozenset(("article", "main"))
+REGION = frozenset(("div", "body", "html", ""))  # what may stand for a missing article; lists, tables, sections are parts
 # An open element of the second set ends when one of the first starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table article main section div body html nav aside footer header".split())
-SHARE = 0.8  # of the selected text that one element must hold to be the article's
+SHARE = 0.8  # of the selected text that the dense region holds
 SIGMA = 1.5  # of the smoothing, in lines
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines at block elements: text, tags, link text, open elements, around or not."""
+    """Cuts a page into lines at block elements: text, tags, link text, open elements, around or not, any
+    words outside links or not."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool, bool]] = []  # tag, number, unseen, around
         self.names: list[str] = [""]
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, bool]] = []
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
+        self.words = False
 
     def line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
             self.lines.append((text, self.tags, self.linked, (0, *(e[1] for e in self.stack)),
-                               any(e[3] for e in self.stack)))
+                               any(e[3] for e in self.stack), self.words))
             self.tags = 0
-        self.text, self.linked = [], 0
+        self.text, self.linked, self.words = [], 0, False
 
     def _around(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in AROUND or tag == "header" and not any(e[0] in ARTICLE for e in self.stack):
@@ -117,6 +120,8 @@ class _Lines(HTMLParser):
         self.text.append(data)
         if self.links:
             self.linked += len(data)
+        elif not self.words:
+            self.words = any(map(str.isalnum, data))
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -146,10 +151,12 @@ def main_text(html: str | None) -> str:
 
     Every line has the ratio of its text outside links to its tags. Ratios are smoothed over the page and split in
     two clusters; lines of the upper one, unless they stand in an element known to be around articles, are
-    content. The content region is the innermost element that holds `SHARE` of their text, and all its
-    lines belong to the article, short ones as well. When only the whole page holds that much, those of its
-    containers belong to it that have a content line, and lines outside of any, but no lines of mainly links. Broken markup is read as browsers do: unclosed
-    elements end with their parent. A page is read whole, however long.
+    content. The dense region is the innermost element that holds `SHARE` of their text. Its outermost `article`
+    or `main` is the article; without one, the smallest element that holds all content lines and first-level
+    headings. All its lines belong to the article, short ones and links as well; only without `article` or `main`,
+    containers before the first or after the last content line with words of its own are left out when all
+    their words are links.
+    Broken markup is read as browsers do: unclosed elements end with their parent. A page is read whole, however long.
     """
     if not html:
         return ""
@@ -161,7 +168,7 @@ def main_text(html: str | None) -> str:
     own = [i for i, x in enumerate(lines) if not x[4]]
     if not own:
         return ""
-    ratio = np.array([(len(t) - min(linked, len(t))) / max(tags, 1) for t, tags, linked, _, _ in lines])
+    ratio = np.array([(len(t) - min(linked, len(t))) / max(tags, 1) for t, tags, linked, *_ in lines])
     smoothed = np.log1p(smooth(ratio))[own]
     border = threshold(smoothed)
     content = [i for i, v in zip(own, smoothed, strict=True) if v >= border]
@@ -169,22 +176,26 @@ def main_text(html: str | None) -> str:
     for i in content:
         for element in lines[i][3]:
             mass[element] += len(lines[i][0])
-    region = max(e for e in mass if mass[e] >= SHARE * mass[0])  # inner elements have larger numbers
+    dense = max(e for e in mass if mass[e] >= SHARE * mass[0])  # inner elements have larger numbers
     names = parser.names
-    # A paragraph or an inline element that holds the most is not a region; its parent is.
-    path = next(lines[i][3] for i in content if region in lines[i][3])
-    holders = [e for e in path[:path.index(region) + 1] if names[e] in SCOPE] or [0]
-    region = holders[-1]
-    if names[region] not in ("", "html", "body"):
+    path = next(lines[i][3] for i in content if dense in lines[i][3])
+    region = next((e for e in path[:path.index(dense) + 1] if names[e] in ARTICLE), None)
+    if region is not None:
         return "\n\n".join(lines[i][0] for i in own if region in lines[i][3])
+    held = [lines[i][3] for i in content]
+    held += [lines[i][3] for i in own if any(names[e] == "h1" for e in lines[i][3])]
+    # The paths' common part is that of the first and the last in order.
+    common = [a for a, b in zip(min(held), max(held), strict=False) if a == b]
+    region = [e for e in common if names[e] in REGION][-1]
+    inside = [i for i in own if region in lines[i][3]]
 
     def part(i: int) -> int | None:
         """The container next below the region that a line stands in."""
         return next((e for e in lines[i][3] if e > region and names[e] in SCOPE), None)
 
-    parts = {part(i) for i in content} | {None}
-    picked = [i for i in own if part(i) in parts and 2 * lines[i][2] <= len(lines[i][0])]
-    return "\n\n".join(lines[i][0] for i in picked)
+    worded = {part(i) for i in inside if lines[i][5]} | {None}
+    said = [i for i in content if lines[i][5]] or content
+    return "\n\n".join(lines[i][0] for i in inside if said[0] <= i <= said[-1] or part(i) in worded)
 
 
 def extract(html: Column) -> Column:
