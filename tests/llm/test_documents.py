@@ -201,6 +201,28 @@ def test_all_of_a_page_without_a_container():
     assert main_text(page).split("\n\n") == ["T", LONG, "one", "two", "3", "4", "A link", LONG, "end"]
 
 
+@pytest.mark.parametrize("wrapper", [
+    'div class="content has-sidebar"', 'div class="with-nav"', 'div class="hentry comments-open"',
+    'div class="sidebar-right"', 'section id="related-work"', 'div id="comments"'])
+@pytest.mark.parametrize("article", ["article", "main", 'article class="post comments-open"', "div"])
+def test_names_of_wrappers(wrapper, article):
+    inside = f"<{article}><h1>Title</h1>{('<p>' + LONG + '</p>') * 4}</{article.split()[0]}>"
+    around = f"<div class=ad>Buy</div><div id=comments><p>{LONG}</p></div><div class=share-links><a href=x>Share</a></div>"
+    page = f"<body><nav>Home</nav><{wrapper}>{inside}</{wrapper.split()[0]}>{around}</body>"
+    assert main_text(page).split("\n\n") == ["Title", *[LONG] * 4]
+    page = f"<body><nav>Home</nav><main><{wrapper}>{inside}{around}</{wrapper.split()[0]}></main></body>"
+    assert main_text(page).split("\n\n") == ["Title", *[LONG] * 4]
+
+
+def test_names_inside_an_article():
+    page = (f"<article><h1>Title</h1>{('<p>' + LONG + '</p>') * 4}<section id=related-work><h2>Related work</h2>"
+            f"<p>{LONG * 2}</p></section><div class=comment-list><p>{LONG}</p></div></article>"
+            f"<div class=related><article>{LONG}</article></div><section class=comments>"
+            f"<article class=comment>{LONG * 40}</article></section>")
+    assert main_text(page).split("\n\n") == ["Title", *[LONG] * 4, "Related work", LONG * 2]
+    assert main_text(f"<div class=sidebar><p>{LONG}</p></div>") == LONG
+
+
 def test_smoothing_and_threshold():
     assert np.allclose(smooth(np.full(9, 3.0)), 3.0)
     assert 1 < threshold(np.array([1.0, 1.2, 9.0, 8.5])) < 8.5

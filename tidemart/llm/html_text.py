@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -28,8 +28,11 @@ AROUND_WORDS = frozenset("""ad ads advert adverts advertisement advertising bann
     comment comments complementary consent contentinfo cookie cookies disqus footer masthead menu modal nav
     navbar navigation newsletter notice notices notification popup promo promoted related share sharing
     sidebar social sponsor sponsored subscribe toolbar widget""".split())
+# Parts that leave a name with a word of the above what it is: `comment-list` is one, `has-sidebar` is not.
+NEUTRAL_WORDS = frozenset("""area bar block body bottom box container entry global inner item left links list
+    main page panel post primary right secondary section signup site slot thread top wrap wrapper""".split())
 ARTICLE = frozenset(("article", "main"))
-REGION = frozenset(("div", "body", "html", ""))  # what may stand for a missing article; lists, tables, sections are parts
+REGION = frozenset(("div", "body", "html", ""))  # may stand for a missing article; lists, tables, sections are parts
 # An open element of the second set ends when one of the first starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -37,15 +40,19 @@ SCOPE = frozenset("ul ol dl table article main section div body html nav aside f
 SHARE = 0.8  # of the selected text that the dense region holds
 SIGMA = 1.5  # of the smoothing, in lines
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
+SURE, NAMED, HINTED = 3, 2, 1  # marks of what stands around: by tag or hidden, by a name, by a part of a name
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines at block elements: text, tags, link text, open elements, around or not, any
-    words outside links or not."""
+    """Cuts a page into lines at block elements: text, tags, link text, open elements, surely around or not, any
+    words outside links or not. `marks` has the elements that a name marks as around,
+    `named` articles of such a name."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool, bool]] = []  # tag, number, unseen, around
+        self.stack: list[tuple[str, int, bool, int]] = []  # tag, number, unseen, mark
+        self.marks: dict[int, int] = {}
+        self.named: set[int] = set()
         self.names: list[str] = [""]
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool, bool]] = []
         self.text: list[str] = []
@@ -56,22 +63,26 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             self.lines.append((text, self.tags, self.linked, (0, *(e[1] for e in self.stack)),
-                               any(e[3] for e in self.stack), self.words))
+                               any(e[3] == SURE for e in self.stack), self.words))
             self.tags = 0
         self.text, self.linked, self.words = [], 0, False
 
-    def _around(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if tag in AROUND or tag == "header" and not any(e[0] in ARTICLE for e in self.stack):
-            return True
-        if tag in ARTICLE or tag in ("html", "body"):
-            return False
+            return SURE
+        if tag in ("html", "body"):
+            return 0
+        mark = 0
         for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name in ("class", "id", "role") and value and any(
-                    part in AROUND_WORDS for part in _NAME_PARTS.split(value.lower())):
-                return True
-        return False
+            if tag not in ARTICLE and (name == "hidden" or name == "aria-hidden" and value == "true"):
+                return SURE
+            if name in ("class", "id", "role") and value:
+                for word in value.lower().split():
+                    parts = [p for p in _NAME_PARTS.split(word) if p]
+                    if not AROUND_WORDS.isdisjoint(parts):
+                        whole = all(p in AROUND_WORDS or p in NEUTRAL_WORDS or p.isdigit() for p in parts)
+                        mark = max(mark, NAMED if whole else HINTED)
+        return mark
 
     def _close(self, at: int) -> None:
         if any(e[0] in BLOCK for e in self.stack[at:]):
@@ -100,7 +111,13 @@ class _Lines(HTMLParser):
             return
         self.names.append(tag)
         self.links += tag == "a"
-        self.stack.append((tag, len(self.names) - 1, tag in UNSEEN, self._around(tag, attrs)))
+        number, mark = len(self.names) - 1, self._mark(tag, attrs)
+        if tag in ARTICLE:  # may be a comment or a teaser, but is not marked itself
+            if mark == NAMED:
+                self.named.add(number)
+        elif mark in (NAMED, HINTED):
+            self.marks[number] = mark
+        self.stack.append((tag, number, tag in UNSEEN, mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -146,17 +163,65 @@ def threshold(values: np.ndarray) -> float:
         low, high = now
 
 
+def _marked(parser: _Lines, seen: list[int], smoothed: np.ndarray) -> dict[int, list[int]]:
+    """The elements that mark each of the lines `seen` as around by their names, for lines that have any.
+
+    A `main` takes off the marks above it, and so does an outermost article when there is none without marks,
+    unless it has such a name itself. A part of a name marks a block only when its own ratio of text to tags is
+    below the border of the lines without marks. Of the others, the one with most dense text first, those lose
+    their mark that hold `SHARE` of the dense text of theirs and of what is not marked; with an unmarked article
+    beside them, only those that hold an article.
+    """
+    lines, names, named = parser.lines, parser.names, parser.named
+    if not parser.marks:
+        return {}
+    marks = {i: [e for e in lines[i][3] if e in parser.marks] for i in seen}
+    articles = {i: [e for e in lines[i][3] if names[e] in ARTICLE] for i in seen}
+    clear = any(names[e] == "article" and e not in named for i in seen if not marks[i] for e in articles[i])
+    holders: set[int] = set()
+    for i in seen:
+        if marks[i] and articles[i]:
+            first = {names[e]: e for e in reversed(articles[i]) if e not in named}
+            bound = max(first.get("main", 0), 0 if clear else first.get("article", 0))
+            marks[i] = [e for e in marks[i] if e > bound]
+            holders.update(e for e in marks[i] if e < max(first.values(), default=0))
+    border = threshold(smoothed[[i for i in seen if not marks[i]] or seen])
+    dense = {i for i in seen if smoothed[i] >= border}
+    inside: dict[int, list[int]] = defaultdict(list)
+    for i, elements in marks.items():
+        for e in elements:
+            inside[e].append(i)
+    for e in [e for e in inside if parser.marks[e] == HINTED]:
+        plain = sum(max(len(lines[i][0]) - lines[i][2], 0) for i in inside[e])
+        if math.log1p(plain / max(sum(lines[i][1] for i in inside[e]), 1)) >= border:
+            for i in inside.pop(e):
+                marks[i].remove(e)
+    mass = {e: sum(len(lines[i][0]) for i in inside[e] if i in dense) for e in inside}
+    free = sum(len(lines[i][0]) for i in dense if not marks[i])
+    of_article = Counter(articles[i][0] for i in seen if articles[i] and not marks[i])
+    unmarked = sum(of_article.values())
+    for e in sorted(inside, key=lambda e: (-mass[e], e)):
+        own = articles[inside[e][0]]
+        alone = e in holders or unmarked == (of_article[own[0]] if own and own[0] < e else 0)
+        if mass[e] and alone and mass[e] >= SHARE * (mass[e] + free):
+            for i in inside[e]:
+                marks[i].remove(e)
+                if i in dense and not marks[i]:
+                    free += len(lines[i][0])
+    return {i: elements for i, elements in marks.items() if elements}
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by an empty line; empty when there is no text.
 
     Every line has the ratio of its text outside links to its tags. Ratios are smoothed over the page and split in
-    two clusters; lines of the upper one, unless they stand in an element known to be around articles, are
-    content. The dense region is the innermost element that holds `SHARE` of their text. Its outermost `article`
-    or `main` is the article; without one, the smallest element that holds all content lines and first-level
-    headings. All its lines belong to the article, short ones and links as well; only without `article` or `main`,
-    containers before the first or after the last content line with words of its own are left out when all
-    their words are links.
-    Broken markup is read as browsers do: unclosed elements end with their parent. A page is read whole, however long.
+    two clusters; lines of the upper one, unless they stand in an element known to be around articles (by its
+    tag, or by its name where `_marked` agrees), are content. The dense region is the innermost element that holds
+    `SHARE` of their text. Its outermost `article` or `main` is the article; without one, the smallest element that
+    holds all content lines and first-level headings. All its lines belong to the article, short ones and links as
+    well; only without `article` or `main`, containers before the first or after the last content line with words
+    of its own are left out when all their words are links. Broken markup is read as browsers do: unclosed elements
+    end with their parent. A page is read whole, however long.
     """
     if not html:
         return ""
@@ -165,13 +230,15 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.line()
     lines = parser.lines
-    own = [i for i, x in enumerate(lines) if not x[4]]
-    if not own:
+    seen = [i for i, x in enumerate(lines) if not x[4]]
+    if not seen:
         return ""
     ratio = np.array([(len(t) - min(linked, len(t))) / max(tags, 1) for t, tags, linked, *_ in lines])
-    smoothed = np.log1p(smooth(ratio))[own]
-    border = threshold(smoothed)
-    content = [i for i, v in zip(own, smoothed, strict=True) if v >= border]
+    smoothed = np.log1p(smooth(ratio))
+    marked = _marked(parser, seen, smoothed)
+    own = [i for i in seen if i not in marked]
+    border = threshold(smoothed[own])
+    content = [i for i in own if smoothed[i] >= border]
     mass: dict[int, int] = defaultdict(int)
     for i in content:
         for element in lines[i][3]:
