@@ -304,6 +304,42 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(not found[i] for i in range(7, 11))
 
 
+def added_texts(spark, texts):
+    """Per text the (kind, text) of the spans that no format has."""
+    rows = {r["doc_id"]: r for r in find_pii(docs_frame(spark, texts)).collect()}
+    return [[(s["kind"], t[s["start"]:s["end"]]) for s in rows[i]["spans"] if s not in rows[i]["base"]]
+            for i, t in enumerate(texts)]
+
+
+def test_contexts_discover_identifiers_with_spaces(spark):
+    phones = [f"Please call me at +1 555 000 {i:04d} today" for i in range(1000, 1020)]
+    cards = [f"Pay by card {c} please" for c in ("4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881",
+                                                 "6011 0000 0000 0004", "4222 2222 2222 2220", "4000 0566 5566 5556")]
+    texts = ["Please call me at 555 123 4567 today", "Please call me at (555) 123-4567 today",
+             "Please call me at 555.123.4567, or not", "Pay by card 4111 1111 1111 1112 please",
+             "Please call me at +1 (826) 555-4081 190.137.223.204", "Nothing of 12 34 here"]
+    assert added_texts(spark, phones + cards + texts)[len(phones + cards):] == [
+        [("phone", "555 123 4567")], [("phone", "(555) 123-4567")], [("phone", "555.123.4567")],
+        [("card", "4111 1111 1111 1112")], [("phone", "+1 (826) 555-4081")], []]
+
+
+def test_contexts_after_and_at_the_ends_of_texts(spark):
+    texts = [f"+1 555 000 {i:04d} is my number" for i in range(1000, 1012)]
+    texts += [f"Phone: +1 555 001 {i:04d}" for i in range(1000, 1012)]
+    texts += ["555 123 4567 is my number", "Phone: 555 765 4321", "Well, 555 123 9999 is my number", "In 2024"]
+    assert added_texts(spark, texts)[24:] == [[("phone", t)] for t in ("555 123 4567", "555 765 4321", "555 123 9999")] + [[]]
+
+
+def test_found_identifiers_are_seeds_of_further_patterns(spark):
+    texts = [f"one {i} Please call me at +1 555 000 {i} on day {i}" for i in range(1000, 1040)]
+    texts += [f"two {i} Please call me at 555 777 {i} on day {i}" for i in range(1000, 1004)]
+    texts += [f"three {w} my new fax 555 777 {i} is the line" for w, i in zip("abcd", range(1000, 1004), strict=True)]
+    texts += ["four my new fax 555 999 1234 is the line", "five the old fax 555 999 1234 had no line"]
+    got = added_texts(spark, texts)
+    assert got[40:44] == [[("phone", f"555 777 {i}")] for i in range(1000, 1004)]
+    assert got[44:] == [[("phone", f"555 777 {i}")] for i in range(1000, 1004)] + [[("phone", "555 999 1234")], []]
+
+
 def test_redaction(spark):
     texts = [None, "", "clean text", "🙂 mail me@x.org, ip 10.0.0.1 or +1 (017) 555-5036.", "4111 1111 1111 1111"]
     docs = docs_frame(spark, texts).withColumn("__spans", F.lit("kept"))

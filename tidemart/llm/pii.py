@@ -5,6 +5,8 @@ Everything is DataFrame functions. Spans are structs (kind, start, end) in code
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,14 @@ NEEDS = {
     "card": r"(?:[0-9][\x20-]?){15}[0-9]",
     "phone": r"\+[0-9]",
 }
-# A token with a digit or @: what a context may discover.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-CONTEXT_WORDS, CONTEXT_CHARS, LEAST_TOKEN = 2, 80, 6
+# What a context may discover, from each token with a digit or @ on: digit groups joined over blanks, brackets, dots
+# and dashes, up to 19 digits and never a part of a group, or else the token without punctuation behind it.
+_END = r"""(?=[.,;:!?"']*+(?:\s|$))"""
+GROUPS = r"[+(\[]*+[0-9](?:[\x20()\[\].-]{0,3}+[0-9]){0,18}(?![0-9])[)\]]?+" + _END
+TOKEN = r"[^\s0-9@]*+[0-9@]\S*+"
+CANDIDATE = rf"""(?<!\S)(?=({GROUPS}|[^\s0-9@]*+[0-9@](?:\S*[^\s.,;:!?"'])?)){TOKEN}"""
+CONTEXT_CHARS = 80
+MASK, BORDER = "\ufdd0", "\ufdd1"  # not characters; for those of a base span and for the ends of a text
 ROUNDS, LEAST_SEEDS, CONFIDENCE = 3, 3, 0.8
 
 
@@ -80,35 +87,81 @@ def _with_kind(spans: Column, kind: str, *names: str) -> Column:
         *[(F.lit(kind) if n == "kind" else s[n]).alias(n) for n in names]))
 
 
-def _context(text: Column, start: Column) -> Column:
-    """The two words before a place, lower case, digits as 0; empty when there are not two nearby."""
+def _replaced(text: Column, spans: Column, by: Callable[[Column], Column]) -> Column:
+    """The text with every span of a list sorted by start replaced; overlapping spans become one."""
+
+    def cut(state: Column, s: Column) -> Column:
+        piece = F.concat(F.substr(text, state["at"] + 1, s["start"] - state["at"]), by(s))
+        return F.when(s["start"] >= state["at"], F.struct(
+            s["end"].alias("at"), F.concat(state["parts"], F.array(piece)).alias("parts"))).otherwise(
+            F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts")))
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, cut, lambda s: F.concat(
+        F.array_join(s["parts"], ""), F.substr(text, s["at"] + 1, F.char_length(text)))))
+
+
+def _contexts(masked: Column, start: Column, end: Column) -> tuple[Column, Column]:
+    """The two words before and after a place, lower case, digits as 0, base spans as one character; the ends
+    of the text count as words, and beside one stands the word of the other side. Empty when there are not two."""
     begin = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-    words = F.regexp_extract(F.substr(text, begin + 1, start - begin), r"(?:^|\s)(\S+\s+\S+)\s*$", 1)
-    return F.regexp_replace(F.regexp_replace(F.lower(words), "[0-9]", "0"), r"\s+", " ")
+    before = F.concat(F.when(begin == 0, F.lit(BORDER + " ")).otherwise(""), F.substr(masked, begin + 1, start - begin))
+    after = F.substr(masked, end + 1, F.lit(CONTEXT_CHARS))
+    after = F.concat(after, F.when(F.char_length(after) < CONTEXT_CHARS, F.lit(" " + BORDER)).otherwise(""))
+
+    last, first = (F.regexp_extract(w, p, 1) for w, p in ((before, r"(\S+)\s*$"), (after, r"^\s*(\S+)")))
+
+    def words(window: Column, pattern: str, side: str) -> Column:
+        two = F.regexp_extract(window, pattern, 1)
+        found = F.when(two != BORDER, two).otherwise(F.concat(last, F.lit(" _ "), first))
+        found = F.regexp_replace(F.lower(found), "[0-9]", "0")
+        found = F.regexp_replace(F.regexp_replace(found, rf"{MASK}+", MASK), r"\s+", " ")
+        return F.when(two == "", "").otherwise(F.concat(F.lit(side), found))
+
+    return (words(before, rf"(?:^|\s)(\S+\s+\S+|{BORDER})\s*$", "<"),
+            words(after, rf"^\s*(\S+\s+\S+|{BORDER})(?:\s|$)", ">"))
 
 
 def _facts(docs: DataFrame) -> DataFrame:
-    """Per document: base spans by kind, and (context, instance, kind, start, end) of seeds and of other
-    tokens with a digit or @ that no base span touches (kind null). Stored; the text is left behind."""
+    """Per document: base spans, and (context, instance, kind, start, end) of seeds and of candidates that no
+    base span touches (kind null), once for the words before and once for those after. Stored; the text is left
+    behind."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), text.alias("text"),
                        *[base_spans(text, k).alias(k) for k in KINDS])
     everything = F.concat(*[_with_kind(F.col(k), k, "kind", "match", "start", "end") for k in KINDS])
     rows = rows.withColumn("base", everything).drop(*KINDS)
-    tokens = F.filter(
-        located(F.col("text"), TOKEN, "[0-9@]"),
-        lambda t: (F.char_length(t["match"]) >= LEAST_TOKEN) & ~F.exists(
-            "base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    rows = rows.withColumn("tokens", tokens)
+    in_order = F.array_sort(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    rows = rows.withColumn("masked", _replaced(F.col("text"), in_order, lambda s: F.repeat(
+        F.lit(MASK), s["end"] - s["start"]))).drop("text")
+    # The longest candidate from each token on; it may reach over the next tokens, which have their own.
+    tokens = F.arrays_zip(located(F.col("masked"), CANDIDATE, "[0-9@]").alias("place"), F.regexp_extract_all(
+        "masked", F.lit(CANDIDATE), F.lit(1)).alias("match"))
+    tokens = F.filter(F.transform(tokens, lambda t: F.struct(
+        t["match"].alias("match"), t["place"]["start"].alias("start"),
+        (t["place"]["start"] + F.char_length(t["match"])).alias("end"))),
+        lambda t: t["match"].rlike(r"[\p{L}\p{N}]") & ~F.contains(t["match"], F.lit(MASK)))
+    rows = rows.withColumn("tokens", F.when(F.col("masked").rlike("[0-9@]"), tokens).otherwise(
+        F.array().cast("array<struct<match:string,start:int,end:int>>")))
+    # What follows a candidate is told of the longest one that ends there.
+    rows = rows.withColumn("tokens", F.transform("tokens", lambda t, i: F.struct(
+        t["match"].alias("match"), t["start"].alias("start"), t["end"].alias("end"),
+        ((i == 0) | (t["end"] > F.get(F.col("tokens"), i - 1)["end"])).alias("longest"))))
     fact = "array<struct<context:string,instance:string,kind:string,start:int,end:int>>"
 
-    def facts(spans: str, kind) -> Column:
-        return F.transform(F.col(spans), lambda s: F.struct(
-            _context(F.col("text"), s["start"]).alias("context"), s["match"].alias("instance"),
-            kind(s).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).cast(fact)
+    def facts(spans: Column) -> Column:
+        def both(s: Column) -> Column:
+            kind = s["kind"]
+            left, right = _contexts(F.col("masked"), s["start"], s["end"])
+            return F.array(*[F.struct(
+                c.alias("context"), s["match"].alias("instance"), kind.alias("kind"), s["start"].alias("start"),
+                s["end"].alias("end")) for c in (left, F.when(s["longest"], right).otherwise(""))])
+
+        return F.flatten(F.transform(spans, both)).cast(fact)
 
     rows = rows.select("doc_id", "key", "base", F.filter(F.concat(
-        facts("base", lambda s: s["kind"]), facts("tokens", lambda s: F.lit(None).cast("string"))),
+        facts(F.transform("base", lambda s: s.withField("longest", F.lit(True)))),
+        facts(F.transform("tokens", lambda s: s.withField("kind", F.lit(None).cast("string"))))),
         lambda f: f["context"] != "").alias("facts"))
     return stored(rows, "pii")
 
@@ -117,46 +170,75 @@ def learned_patterns(facts: DataFrame, rounds: int = ROUNDS, least_seeds: int =
                      confidence: float = CONFIDENCE) -> DataFrame:
     """(context, kind, confidence) of trusted contexts, from rows (context, instance, kind).
 
-    The graph has an edge for every context and instance seen together. A context with enough
-    different seeds of a kind is a pattern of that kind; its confidence is the mean score of its
+    The graph has an edge for every context and instance seen together; contexts are words before or
+    after. A context with enough different seeds of a kind is a pattern of that kind; its confidence is the mean score of its
     instances. Seeds of the kind score 1, of another kind 0. An unseen instance scores nine tenths of what is
     known from its patterns together (1 - product of their doubts). Scores and confidences
-    feed each other for some rounds; counts are combined before the shuffle, so a frequent context is no
-    hot group, and the joins meet one row per pattern or instance on one side.
+    feed each other for some rounds. Then unseen instances that score `confidence` and have at least half of their
+    contexts among the trusted ones count as seeds, which may give further patterns, until no pattern is added.
+    Counts are combined before the shuffle, so a frequent context is no hot group, and the joins meet one row per
+    pattern or instance on one side.
     """
-    edges = facts.groupBy("context", "instance").agg(F.max("kind").alias("kind"))
-    counts = edges.groupBy("context").agg(*[
-        F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
-    most = F.greatest(*[F.col(k) for k in KINDS])
-    best = F.coalesce(*[F.when(F.col(k) == most, F.lit(k)) for k in KINDS])
-    patterns = counts.filter(most >= least_seeds).select("context", best.alias("pattern_kind"))
-    graph = stored(edges.join(patterns, "context"), "pii-graph")
+    edges = stored(facts.groupBy("context", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
     own = F.when(F.col("kind") == F.col("pattern_kind"), 1.0).when(F.col("kind").isNotNull(), 0.0)
-
-    def scored(instances: DataFrame | None) -> DataFrame:
-        rows = graph if instances is None else graph.join(instances, ["instance", "pattern_kind"], "left")
-        guess = F.lit(0.0) if instances is None else F.coalesce("score", F.lit(0.0))
-        return rows.groupBy("context", "pattern_kind").agg(
-            F.avg(F.coalesce(own, guess)).alias("confidence"))
-
-    level = scored(None)
-    for _ in range(rounds):
-        doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
-        instances = (graph.filter("kind is null").join(level, ["context", "pattern_kind"])
-                     .groupBy("instance", "pattern_kind")
-                     .agg((0.9 * (1 - F.exp(doubt))).alias("score")))
-        level = scored(instances)
-    return stored(level.filter(F.col("confidence") >= confidence).withColumnRenamed(
-        "pattern_kind", "kind"), "pii-patterns")
+    trusted = known = None
+    while True:
+        seeds, seed = edges, F.col("kind")
+        if known is not None:
+            seeds, seed = edges.join(known, "instance", "left"), F.coalesce("kind", "known_kind")
+        counts = seeds.groupBy("context").agg(*[F.count_if(seed == k).alias(k) for k in KINDS])
+        most = F.greatest(*[F.col(k) for k in KINDS])
+        best = F.coalesce(*[F.when(F.col(k) == most, F.lit(k)) for k in KINDS])
+        patterns = counts.filter(most >= least_seeds).select("context", best.alias("pattern_kind"))
+        graph = stored(edges.join(patterns, "context"), "pii-graph")
+
+        def scored(instances: DataFrame | None, graph: DataFrame = graph) -> DataFrame:
+            rows = graph if instances is None else graph.join(instances, ["instance", "pattern_kind"], "left")
+            guess = F.lit(0.0) if instances is None else F.coalesce("score", F.lit(0.0))
+            return rows.groupBy("context", "pattern_kind").agg(
+                F.avg(F.coalesce(own, guess)).alias("confidence"))
+
+        level, instances = scored(None), None
+        for _ in range(rounds):
+            doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
+            instances = (graph.filter("kind is null").join(level, ["context", "pattern_kind"])
+                         .groupBy("instance", "pattern_kind")
+                         .agg((0.9 * (1 - F.exp(doubt))).alias("score")))
+            instances = stored(instances, "pii-instances")
+            level = scored(instances)
+        added = level.filter(F.col("confidence") >= confidence).withColumnRenamed("pattern_kind", "kind")
+        if trusted is not None:
+            added = added.join(trusted, "context", "left_anti")
+        added = stored(added, "pii-patterns")
+        trusted = added if trusted is None else trusted.unionByName(added)
+        if instances is None or added.limit(1).count() == 0:
+            return trusted
+        # One kind for an instance: that of its best score, the first by name if there are several.
+        best = instances.filter(F.col("score") >= confidence).groupBy("instance").agg(
+            F.min_by("pattern_kind", F.struct(-F.col("score"), "pattern_kind")).alias("known_kind"))
+        mostly = (edges.filter("kind is null").join(trusted.select("context", F.lit(1).alias("in")), "context", "left")
+                  .groupBy("instance").agg((2 * F.count("in") >= F.count("*")).alias("mostly")))
+        known = stored(best.join(mostly.filter("mostly"), "instance").drop("mostly"), "pii-known")
 
 
 def _added(rows: DataFrame) -> DataFrame:
-    """(key, added): spans of unseen tokens that stand in a trusted context."""
+    """(key, added): spans of candidates that stand in a trusted context; overlapping ones are one span."""
     facts = rows.select("key", F.explode("facts").alias("f")).select("key", "f.*")
     trusted = learned_patterns(facts.select("context", "instance", "kind"))
-    return (facts.filter("kind is null").drop("kind").join(trusted, "context")
-            .groupBy(F.col("key").alias("added_key"))
-            .agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
+    found = (facts.filter("kind is null").drop("kind").join(trusted, "context")
+             .groupBy(F.col("key").alias("added_key"))
+             .agg(F.array_sort(F.collect_set(F.struct("start", "end", "kind"))).alias("found")))
+
+    def merge(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["kind"].alias("kind"), last["start"].alias("start"),
+                          F.greatest(last["end"], s["end"]).alias("end"))
+        alone = F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+        return F.when(s["start"] < last["end"], F.concat(
+            F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(alone)))
+
+    start = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    return found.select("added_key", F.aggregate("found", start, merge).alias("added"))
 
 
 def _ordered(spans: Column) -> Column:
@@ -206,17 +288,8 @@ def redact(docs: DataFrame) -> DataFrame:
     joined = rows.join(added, F.col("key") == F.col("added_key"), "left").select(
         "row", "text", F.array_sort(F.concat("base", more)).alias("spans"))
 
-    def cut(state: Column, s: Column) -> Column:
-        piece = F.concat(F.substr(F.col("text"), state["at"] + 1, s["start"] - state["at"]),
-                         F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.when(s["start"] >= state["at"], F.struct(
-            s["end"].alias("at"), F.concat(state["parts"], F.array(piece)).alias("parts"))).otherwise(
-            F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts")))
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    clean = F.aggregate(F.col("spans"), begin, cut, lambda s: F.concat(
-        F.array_join(s["parts"], ""), F.substr(F.col("text"), s["at"] + 1, F.char_length("text"))))
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(clean)
+    clean = _replaced(F.col("text"), F.col("spans"), lambda s: F.concat(
+        F.lit("["), F.upper(s["kind"]), F.lit("]")))
     out = joined.select("row", clean.alias("clean"))
 
     def column(name: str) -> Column:
