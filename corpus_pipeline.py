@@ -17,7 +17,7 @@ from tidemart.llm.pii import redact
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or text, which have no language, go."""
+    """Documents without a letter or text, and those in letters the language model does not know, go."""
     return reject_unknown(docs)
 
 

@@ -16,7 +16,8 @@ from tidemart.checks.compare import compare, connect
 from tidemart.llm import ngram_join
 from tidemart.llm.common import components, ranked
 from tidemart.llm.html_text import main_text, smooth, threshold
-from tidemart.llm.language import UNDETERMINED, Scorer, WordBackoff, fit, held_out, training_rows
+from tidemart.llm.language import (
+    UNDETERMINED, Scorer, WordBackoff, fit, held_out, reject_unknown, training_rows)
 from tidemart.llm.mixing import mix, source_targets, systematic_copies
 from tidemart.llm.ngram_join import chosen_paths, one_of_each, similarity_classes
 from tidemart.llm.pii import find_pii, redact
@@ -430,6 +431,13 @@ def test_held_out_accuracy(spark):
     assert total > 200 and hits / total > 0.98
 
 
+def test_texts_in_an_unlearned_script_go(spark):
+    texts = ["a plain text of words", "обычный текст", "日本語 123", "mostly русский", "zzz qqq a", "12 34", None]
+    docs = docs_frame(spark, ["a plain text of many words and more"] * 20 + texts)
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") < 20, F.col("lang")))
+    assert {r["doc_id"] - 20 for r in reject_unknown(docs).collect() if r["doc_id"] >= 20} == {0, 3, 4}
+
+
 def test_training_bound_and_predictions(spark):
     rows = [(i, "the cat sat on the mat", "en", "s", 1) for i in range(500)]
     rows += [(1000 + i, "die katze sitzt auf der matte", "de", "s", 1) for i in range(500)]

@@ -145,10 +145,14 @@ class Scorer:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, its share of the posterior); `und` and 0 without letters or without a model."""
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """As `predict`, and whether the model knows any word or n-gram of the text: then it knows a letter."""
         langs = self.model.langs
         counts = Counter(_WORD.findall(text.lower())) if text and langs else None
         if not counts:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, False
         if len(self._rows) + len(counts) > _KEPT_WORDS:
             self._forget()
         rows = self._rows
@@ -159,7 +163,8 @@ class Scorer:
         weights = np.fromiter(counts.values(), float, len(counts))
         sums = weights @ self._table[places]
         best = int(sums.argmax())  # ties go to the first language by name
-        return langs[best], float(1.0 / np.exp(np.maximum(sums - sums[best], -700.0)).sum())
+        known = any(letter in self.model.grams for word in counts for letter in word)
+        return langs[best], float(1.0 / np.exp(np.maximum(sums - sums[best], -700.0)).sum()), known
 
 
 def fit(docs: DataFrame, per_language: int = TRAINING_ROWS, words: int = MODEL_WORDS) -> WordBackoff:
@@ -167,7 +172,7 @@ def fit(docs: DataFrame, per_language: int = TRAINING_ROWS, words: int = MODEL_W
 
 
 def identify(docs: DataFrame, model: WordBackoff, text: str = "text") -> Column:
-    """Struct (lang_pred, score) of a text column, scored in the tasks with the sent model.
+    """Struct (lang_pred, score, known) of a text column, scored in the tasks with the sent model.
 
     Only the text counts, all of it. Null texts and texts without a letter are `und` with score 0, as is
     everything when no labelled document was there to learn from; a tie goes to the first language by name.
@@ -177,17 +182,18 @@ def identify(docs: DataFrame, model: WordBackoff, text: str = "text") -> Column:
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(sent.value)
         for batch in texts:
-            yield pd.DataFrame([scorer.predict(t) for t in batch], columns=["lang_pred", "score"])
+            yield pd.DataFrame([scorer.judge(t) for t in batch], columns=["lang_pred", "score", "known"])
 
     run.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(run, "lang_pred string, score double")(F.col(text))
+    return F.pandas_udf(run, "lang_pred string, score double, known boolean")(F.col(text))
 
 
 def reject_unknown(docs: DataFrame) -> DataFrame:
-    """Documents with a language; those without a letter and null texts go. Columns stay as they are."""
+    """Documents with a language; null texts, those without a letter and those of which the model knows no word and
+    no n-gram, so that all languages are as likely, go. Columns stay as they are."""
     name = fresh(docs, "__language")
     return (docs.withColumn(name, identify(docs, fit(docs)))
-            .filter(F.col(name)["lang_pred"] != UNDETERMINED).drop(name))
+            .filter(F.col(name)["known"]).drop(name))
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
