@@ -142,6 +142,13 @@ def test_join_of_nothing_and_null_ids(spark):
     assert one_of_each(docs).count() == 2
 
 
+def test_runs_reach_the_recall_at_the_last_level():
+    found = 1.0
+    for _ in range(ngram_join.DEPTH):  # 1.25 choices, 0.8 of them shared
+        found = 1 - math.exp(-found)
+    assert 1 - (1 - found) ** ngram_join.RUNS >= ngram_join.TARGET_RECALL
+
+
 def test_paths_of_similar_sets_meet():
     rng = np.random.default_rng(0)
     met = 0

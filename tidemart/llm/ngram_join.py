@@ -19,10 +19,20 @@ from tidemart.llm.common import components, documents, stored
 WORDS, SIMILARITY = 5, 0.8
 # Tokens a set chooses per node of its path tree, on average, and levels of the tree.
 CHOICES, DEPTH = 1.25, 3
-# A pair at the threshold shares at least one choice on average, so a run finds it with about 0.63
-# at the first level and 0.4 at the third. Runs are repeated until pairs that need three levels
-# reach the target recall: twelve.
-TARGET_RECALL, RUN_RECALL = 0.9975, 0.4
+TARGET_RECALL = 0.9975
+
+
+def run_recall(depth: int = DEPTH, shared: float = CHOICES * SIMILARITY) -> float:
+    """Chance that a run finds a pair at the threshold by paths of `depth` levels, at least. The pair shares `shared`
+    choices per node on average if one set holds the other, more if not: 0.63 at the first level, 0.37 at the third."""
+    found = 1.0
+    for _ in range(depth):
+        found = 1 - math.exp(-shared * found)
+    return found
+
+
+# Runs are repeated until pairs that need all levels reach the target recall: thirteen.
+RUN_RECALL = run_recall()
 RUNS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - RUN_RECALL))
 BUCKET_ROWS = 512  # buckets up to here are compared at once, larger ones in blocks
 SET_BLOCK = 1024  # sets of one group that are compared at once
