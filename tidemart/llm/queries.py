@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.ann import op7_nearest
+from tidemart.llm.decontamination import OP12_SQL, op12_decontamination
+from tidemart.llm.filter_audit import OP13_SQL, op13_filter_audit
 from tidemart.llm.html_text import op4_html_text
 from tidemart.llm.language import op9_language_id
 from tidemart.llm.mixing import OP6_SQL, op6_mixing
@@ -28,10 +30,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op12_decontamination": op12_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 # The others need token ids, hashes or fitted models; they are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": OP1_SQL,
     "op3_ngram_join": OP3_SQL,
     "op6_mixing": OP6_SQL,
+    "op12_decontamination": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
