@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.ann import op7_nearest
+from tidemart.llm.conversation_repair import OP11_SQL, op11_conversation_repair
 from tidemart.llm.decontamination import OP12_SQL, op12_decontamination
 from tidemart.llm.filter_audit import OP13_SQL, op13_filter_audit
 from tidemart.llm.html_text import op4_html_text
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_decontamination": op12_decontamination,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -38,6 +40,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_top_k": OP1_SQL,
     "op3_ngram_join": OP3_SQL,
     "op6_mixing": OP6_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_decontamination": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
