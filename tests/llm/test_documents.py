@@ -123,6 +123,37 @@ def test_join_equals_brute_force(spark, limit, monkeypatch):
     assert sorted(tuple(r) for r in got) == brute_classes(texts)
 
 
+def test_hot_group_of_near_copies_costs_a_constant_per_set(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(ngram_join, "SET_BLOCK", 32)
+    blocks = []
+    open_units = ngram_join._open_units
+
+    def counted(members):
+        units = open_units(members)
+        blocks.append((members.count(), units.count()))
+        return units
+
+    monkeypatch.setattr(ngram_join, "_open_units", counted)
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(900)]
+    base = rng.choices(words, k=300)
+    texts = [" ".join([*base[:200], f"unique{i}", *base[201:]]) for i in range(300)]
+    assert sorted(tuple(r) for r in similarity_classes(docs_frame(spark, texts)).collect()) == [
+        (i, 0, i, 1, 299) for i in range(300)]
+    assert blocks and all(units == 0 for _, units in blocks)  # every set met the representatives alone
+    # Twenty sets at the border meet all others in blocks, the core still does not meet itself.
+    blocks.clear()
+    for i in range(20):
+        w = list(base)
+        for at in rng.sample(range(0, 300, 10), 9):
+            w[at] = f"other{i}"
+        texts.append(" ".join(w))
+    got = similarity_classes(docs_frame(spark, texts)).collect()
+    assert sorted(tuple(r) for r in got) == brute_classes(texts)
+    assert blocks[-1][1] < 3 * blocks[-1][0]
+
+
 def test_one_document_of_each_class(spark):
     texts = near_texts(1)
     docs = docs_frame(spark, texts).withColumn("__row_key", F.lit(1)).withColumn("path", F.lit("x"))

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
 from tidemart.llm.common import components, documents, stored
@@ -34,8 +33,10 @@ def run_recall(depth: int = DEPTH, shared: float = CHOICES * SIMILARITY) -> floa
 # Runs are repeated until pairs that need all levels reach the target recall: thirteen.
 RUN_RECALL = run_recall()
 RUNS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - RUN_RECALL))
-BUCKET_ROWS = 512  # buckets up to here are compared at once, larger ones in blocks
-SET_BLOCK = 1024  # sets of one group that are compared at once
+BUCKET_ROWS = 512  # buckets up to here are compared at once
+SET_BLOCK, TOKEN_BLOCK = 1024, 1 << 21  # sets of one group, and n-grams of them, that are compared at once
+REPRESENTATIVES = 8  # sets that all members of a larger group are measured against
+CORE = 1 - (1 - SIMILARITY) / 2  # two sets this close to a third one are linked, as 1 - Jaccard is a metric
 SKETCH_BINS = 64
 SKETCH_LEAST = 0.55  # five standard deviations below the threshold
 _WORD = re.compile(r"\w+")
@@ -90,7 +91,7 @@ def chosen_paths(tokens: np.ndarray, runs: int = RUNS, depth: int = DEPTH,
     levels = []
     border = np.uint64(min(_MASK, int(choices / max(len(tokens), 1) * 2.0 ** 64)))
     for _ in range(depth):
-        own = [_mix(tokens[None, :] * (part[:, None] | np.uint64(1)) + part[:, None])
+        own = [tokens[None, :] * (part[:, None] | np.uint64(1)) + part[:, None]  # high bits: all of a token
                for part in np.array_split(paths, max(1, len(paths) * len(tokens) >> 20)) if len(part)]
         picked = [(rows <= border).nonzero() for rows in own]
         start = np.cumsum([0, *(len(rows) for rows in own)])
@@ -115,10 +116,10 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 
 _PATHS = pa.list_(pa.struct([("parent", pa.int64()), ("path", pa.int64())]))
-_MARKS = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int64()),
+_MARKS = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.binary()),
                     ("k1", pa.int64()), ("k2", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary()),
                     *((f"level{i + 1}", _PATHS) for i in range(DEPTH))])
-_MARK_COLUMNS = ("row_id long, doc_id long, row_key long, k1 long, k2 long, size int, sketch binary, "
+_MARK_COLUMNS = ("row_id long, doc_id long, row_key binary, k1 long, k2 long, size int, sketch binary, "
                  + ", ".join(f"level{i + 1} array<struct<parent:long,path:long>>" for i in range(DEPTH)))
 
 
@@ -149,8 +150,9 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def row_key(docs: DataFrame) -> Column:
-    """Rows of equal id and text have one key."""
-    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+    """Rows of equal id and text have one key, of 128 bits."""
+    text = F.when(docs["text"].isNull(), "-").otherwise(F.concat(F.lit("+"), docs["text"]))
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(docs["doc_id"].cast("long").cast("string"), F.lit("")), text)))
 
 
 def marks(docs: DataFrame) -> DataFrame:
@@ -179,23 +181,68 @@ def _local_components(count: int, pairs: list[tuple[np.ndarray, np.ndarray]]) ->
         label = new
 
 
-def _units(rows: DataFrame, group: str, block: int, batch_rows: int) -> DataFrame:
-    """Adds `unit` and `side` to rows (group, n, node): what one task compares.
+def _units(rows: DataFrame, few: int) -> DataFrame:
+    """(group, node, unit, side) from rows (group, blocks, node): what one task compares.
 
-    Groups of up to `block` rows share units of about `batch_rows`. A larger group is cut in blocks by a
+    Groups of one block share `few` units. A larger group is cut in blocks by a
     hash of the node and has a unit for each two blocks: side 1 meets side 2, side 0 itself.
     """
-    total = rows.count()
-    few = F.pmod(F.xxhash64(group), F.lit(max(1, math.ceil(total / batch_rows))))
-    blocks = F.ceil(F.col("n") / block)
     mine = F.pmod(F.xxhash64(F.lit(13), "node"), F.col("blocks"))
     one, two = F.least("mine", "other"), F.greatest("mine", "other")
-    return (rows.withColumn("blocks", blocks).withColumn("mine", mine)
+    shared = F.pmod(F.xxhash64("group"), F.lit(max(1, few)))
+    return (rows.withColumn("mine", mine)
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .withColumn("unit", F.when(F.col("blocks") == 1, few).otherwise(F.xxhash64(group, one, two)))
-            .withColumn("side", F.when(F.col("mine") == F.col("other"), 0)
-                        .when(F.col("mine") < F.col("other"), 1).otherwise(2))
-            .drop("blocks", "mine", "other", "n"))
+            .select("group", "node",
+                    F.when(F.col("blocks") == 1, shared).otherwise(F.xxhash64("group", one, two)).alias("unit"),
+                    F.when(F.col("mine") == F.col("other"), 0)
+                    .when(F.col("mine") < F.col("other"), 1).otherwise(2).alias("side")))
+
+
+def _core(rows: DataFrame, payload: Callable[[DataFrame], DataFrame],
+          alike: Callable[[pd.DataFrame], pd.DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(members, groups) from rows (group, blocks, node) of large groups.
+
+    Each member is measured once, against a few representatives of its group, those with the least hashes.
+    The one that most members are alike to is the hub, these members are the core. members: group, node, core, hub, blocks,
+    n, n_core; groups: a row each. `payload` adds what `alike` reads to rows with a node; `alike` gets a block of members
+    (`rep` -1) and the representatives and returns group, node and a bit per representative.
+    """
+    reps = stored(rows.groupBy("group", "blocks").agg(F.array_distinct(F.array(*[
+        F.min_by("node", F.xxhash64(F.lit(s), "node")) for s in range(REPRESENTATIVES)])).alias("reps")), "reps")
+    own = F.pmod(F.xxhash64(F.lit(13), "node"), F.col("blocks"))
+    members = rows.select("group", "node", own.alias("block"), F.lit(-1).alias("rep"))
+    shown = reps.select("group", "reps", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias(
+        "block")).select("group", "block", F.posexplode("reps").alias("rep", "node"))
+    measured = stored(payload(members.unionByName(shown)).groupBy("group", "block").applyInPandas(
+        lambda frame: alike(frame), "group long, node long, bits int"), "measured")
+    counts = measured.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.array(*[
+        F.sum(F.shiftright("bits", s).bitwiseAND(F.lit(1))) for s in range(REPRESENTATIVES)]).alias("hits"))
+    best = (F.array_position("hits", F.array_max("hits")) - 1).cast("int")
+    groups = stored(counts.withColumn("best", best).join(reps, "group").select(
+        "group", "blocks", "n", "best", F.array_max("hits").alias("n_core"), F.get("reps", F.col("best")).alias("hub")),
+        "cores")
+    core = F.expr("shiftright(bits, best)").bitwiseAND(F.lit(1)) == 1
+    return measured.join(groups, "group").select(
+        "group", "node", core.alias("core"), "hub", "blocks", "n", "n_core"), groups
+
+
+def _open_units(members: DataFrame) -> DataFrame:
+    """Units as of `_units` for the pairs of a group that are not both in its core."""
+    share = F.col("n_core") / F.col("n")
+    members = members.filter("n_core < n").withColumns({
+        "inner": F.greatest(F.ceil(share * F.col("blocks")), F.lit(1).cast("long")),
+        "outer": F.greatest(F.ceil((1 - share) * F.col("blocks")), F.lit(1).cast("long"))})
+    loose = members.filter("not core")
+    cross = []
+    for rows, mine, other, side in ((loose, "outer", "inner", 1), (members.filter("core"), "inner", "outer", 2)):
+        at = F.pmod(F.xxhash64(F.lit(17), "node"), F.col(mine))
+        to = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        rows = rows.select("group", "node", at.alias("at"), to.alias("to"))
+        pair = ("at", "to") if side == 1 else ("to", "at")
+        cross.append(rows.select("group", "node", F.xxhash64(F.lit("x"), "group", *pair).alias("unit"),
+                                 F.lit(side).alias("side")))
+    among = _units(loose.select("group", F.col("outer").alias("blocks"), "node"), 64)
+    return among.unionByName(cross[0]).unionByName(cross[1])
 
 
 def _groups(frame: pd.DataFrame, name: str) -> Iterator[np.ndarray]:
@@ -216,12 +263,27 @@ def _linked(nodes: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> tu
     return nodes[touched], nodes[order][label[rank[touched]]]
 
 
+def _near(table: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether sketches are close enough, a matrix. Those of small sets say little, their pairs are left to the exact
+    comparison."""
+    small = np.minimum(sizes[left][:, None], sizes[right][None, :])
+    close = small >= SIMILARITY * np.maximum(sizes[left][:, None], sizes[right][None, :]) - 1e-9
+    mine, yours = table[left][:, None, :], table[right][None, :, :]
+    same = ((mine == yours) & (mine != 0)).sum(axis=2)
+    empty = ((mine == 0) & (yours == 0)).sum(axis=2)
+    return close & ((same >= SKETCH_LEAST * (SKETCH_BINS - empty)) | (small < SKETCH_BINS))
+
+
+def _sketches(frame: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(frame["sketch"]), np.uint16).reshape(len(frame), SKETCH_BINS)
+
+
 def _alike(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Pairs of a bucket whose sketches are close enough, as (node, hub) of their components."""
     sizes, nodes, sides = (frame[c].to_numpy() for c in ("size", "node", "side"))
-    table = np.frombuffer(b"".join(frame["sketch"]), np.uint16).reshape(len(frame), SKETCH_BINS)
+    table = _sketches(frame)
     found = [(np.empty(0, "int64"), np.empty(0, "int64"))]
-    for part in _groups(frame, "path"):
+    for part in _groups(frame, "group"):
         if sides[part].any():
             left, right = part[sides[part] == 1], part[sides[part] == 2]
         else:
@@ -229,14 +291,8 @@ def _alike(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         pairs = []
         for start in range(0, len(left), 64):
             some = left[start:start + 64]
-            small = np.minimum(sizes[some][:, None], sizes[right][None, :])
-            close = small >= SIMILARITY * np.maximum(sizes[some][:, None], sizes[right][None, :]) - 1e-9
-            mine, yours = table[some][:, None, :], table[right][None, :, :]
-            same = ((mine == yours) & (mine != 0)).sum(axis=2)
-            empty = ((mine == 0) & (yours == 0)).sum(axis=2)
-            # Sketches of small sets say little; these pairs are left to the exact comparison.
-            near = (same >= SKETCH_LEAST * (SKETCH_BINS - empty)) | (small < SKETCH_BINS)
-            i, j = (close & near & (nodes[some][:, None] != nodes[right][None, :])).nonzero()
+            near = _near(table, sizes, some, right) & (nodes[some][:, None] != nodes[right][None, :])
+            i, j = near.nonzero()
             if len(i):
                 pairs.append((some[i], right[j]))
         if pairs:
@@ -247,30 +303,78 @@ def _alike(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
                          "hub": np.concatenate([f[1] for f in found])})
 
 
+def _bits(frame: pd.DataFrame, alike: np.ndarray) -> pd.DataFrame:
+    """One bit per representative from a matrix members x representatives (rows of the frame, in order)."""
+    member, reps = (frame["rep"] < 0).to_numpy(), frame["rep"].to_numpy()[(frame["rep"] >= 0).to_numpy()]
+    bits = (alike.astype(np.int64) << reps[None, :].astype(np.int64)).sum(axis=1)
+    return frame.loc[member, ["group", "node"]].assign(bits=bits.astype(np.int32))
+
+
+def _alike_reps(frame: pd.DataFrame) -> pd.DataFrame:
+    member = (frame["rep"] < 0).to_numpy()
+    return _bits(frame, _near(_sketches(frame), frame["size"].to_numpy(), member.nonzero()[0], (~member).nonzero()[0]))
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
     """(node, hub): nodes that a bucket of some path finds alike by sketch.
 
-    A path's bucket of up to `BUCKET_ROWS` sets is compared; the sets of a larger one go on to their paths of the
-    next level. Buckets still larger at the last level are compared in blocks, so none is left out.
+    A path's bucket of up to `BUCKET_ROWS` sets is compared. In a larger one each set meets a few representatives
+    first: the sets alike to the most common one are its core and together in any case. If that are all, the bucket is
+    done; else its sets go on to their paths of the next level. At the last level the sets outside the core are compared
+    with all others in blocks, so none is left out; only there the cost is more than a constant per set.
     """
-    parts, big = [], None
+    sketches = nodes.select("node", "size", "sketch")
+    links, small, beyond = [], [], None
     for level in range(1, DEPTH + 1):
         rows = nodes.select("node", F.explode(f"level{level}").alias("p")).select("node", "p.parent", "p.path")
-        if big is not None:
-            rows = rows.join(big.select(F.col("path").alias("parent")), "parent")
-        rows = rows.select("node", "path")
-        counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        if level < DEPTH:
-            counts = stored(counts, "buckets")
-            big = counts.filter(F.col("n") > BUCKET_ROWS)
-            counts = counts.filter(F.col("n") <= BUCKET_ROWS)
-        parts.append(rows.join(counts, "path").select("path", "n", "node"))
-    rows = parts[0]
-    for part in parts[1:]:
+        if beyond is not None:
+            rows = stored(rows.join(beyond.select(F.col("group").alias("parent")), "parent", "left_semi"), "paths")
+        rows = rows.select("node", F.col("path").alias("group"))
+        counts = stored(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+        small.append(rows.join(counts.filter(F.col("n") <= BUCKET_ROWS), "group").select(
+            "group", F.lit(1).cast("long").alias("blocks"), "node"))
+        large = counts.filter(F.col("n") > BUCKET_ROWS).select(
+            "group", F.ceil(F.col("n") / BUCKET_ROWS).alias("blocks"))
+        if large.isEmpty():
+            break
+        members, groups = _core(rows.join(large, "group"), lambda r: r.join(sketches, "node"), _alike_reps)
+        links.append(members.filter("core").select("node", "hub"))
+        beyond = groups.filter("n_core < n")
+        if level == DEPTH:
+            links.append(_open_units(members).join(sketches, "node").groupBy("unit").applyInPandas(
+                _alike, "node long, hub long"))
+    rows = small[0]
+    for part in small[1:]:
         rows = rows.unionByName(part)
     rows = stored(rows, "paths")
-    rows = _units(rows, "path", BUCKET_ROWS, 4096).join(nodes.select("node", "size", "sketch"), "node")
-    return rows.groupBy("unit").applyInPandas(_alike, "node long, hub long").distinct()
+    out = _units(rows, rows.count() // 4096).join(sketches, "node").groupBy("unit").applyInPandas(
+        _alike, "node long, hub long")
+    for part in links:
+        out = out.unionByName(part)
+    return out.distinct()
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets `left` with sets `right`, a matrix."""
+    sizes = np.array([len(s) for s in sets])
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.bincount(column, minlength=len(tokens)) > 1  # others are in one set only
+    place = np.where(shared, np.cumsum(shared) - 1, -1)[column]
+    owner = np.repeat(np.arange(len(sets)), sizes)[place >= 0]
+    place = place[place >= 0]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(shared.sum()), 4096):
+        now = (place >= start) & (place < start + 4096)
+        table = np.zeros((len(sets), 4096), np.float32)
+        table[owner[now], place[now] - start] = 1
+        common += table[left] @ table[right].T
+    return common
+
+
+def _similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    sizes = np.array([len(s) for s in sets], float)
+    common = _common(sets, left, right)
+    return common >= least * (sizes[left][:, None] + sizes[right][None, :] - common) - 1e-9
 
 
 def _verify(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -278,22 +382,10 @@ def _verify(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     shingles = Shingler()
     nodes, sides = frame["node"].to_numpy(), frame["side"].to_numpy()
     out = [(np.empty(0, "int64"),) * 3]
-    for part in _groups(frame, "component"):
+    for part in _groups(frame, "group"):
         sets = [shingles(t) for t in frame["text"].iloc[part]]
-        sizes = np.array([len(s) for s in sets], float)
-        tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
-        shared = np.bincount(column, minlength=len(tokens)) > 1  # others are in one set only
-        place = np.where(shared, np.cumsum(shared) - 1, -1)[column]
-        owner = np.repeat(np.arange(len(part)), sizes.astype(int))[place >= 0]
-        place = place[place >= 0]
-        common = np.zeros((len(part), len(part)), np.float32)
-        for start in range(0, int(shared.sum()), 4096):
-            now = (place >= start) & (place < start + 4096)
-            table = np.zeros((len(part), 4096), np.float32)
-            table[owner[now], place[now] - start] = 1
-            common += table @ table.T
-        union = sizes[:, None] + sizes[None, :] - common
-        link = common >= SIMILARITY * union - 1e-9
+        every = np.arange(len(part))
+        link = _similar(sets, every, every, SIMILARITY)
         np.fill_diagonal(link, False)
         if sides[part].any():
             link &= sides[part][:, None] != sides[part][None, :]
@@ -307,6 +399,46 @@ def _verify(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
                          for k, c in enumerate(("node", "hub", "n_links"))})
 
 
+def _close_reps(frame: pd.DataFrame) -> pd.DataFrame:
+    """Members within half the allowed distance of a representative."""
+    shingles = Shingler()
+    member = (frame["rep"] < 0).to_numpy()
+    sets = [shingles(t) for t in frame["text"]]
+    return _bits(frame, _similar(sets, member.nonzero()[0], (~member).nonzero()[0], CORE))
+
+
+def _links(docs: DataFrame, own: DataFrame, near: DataFrame) -> DataFrame:
+    """(node, hub, n_links) of candidate groups (node, component), by exact comparison.
+
+    Two sets within half the allowed distance of a representative are linked for certain, so in a large group
+    the core of such sets is counted without meeting; pairs with a set outside it are compared in blocks.
+    Blocks are cut by sets and by n-grams, so long texts make smaller ones.
+    """
+    rows = near.select(F.col("component").alias("group"), "node").join(own.select("node", "size"), "node")
+    blocks = F.ceil(F.greatest(F.col("n") / SET_BLOCK, F.col("tokens") / TOKEN_BLOCK))
+    # Stored, so that the join with it can split a large group.
+    counts = stored(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens"))
+                    .filter("n > 1").withColumn("blocks", blocks), "groups")
+    total = counts.filter("blocks = 1").agg(F.sum("n"), F.sum("tokens")).first()
+    few = max((total[0] or 0) // SET_BLOCK, (total[1] or 0) // TOKEN_BLOCK) + 1
+    rows = rows.select("group", "node").join(counts.select("group", "blocks"), "group")
+
+    def texts(asked: DataFrame) -> DataFrame:
+        asked = asked.join(own.select("node", "row_key"), "node")
+        found = docs.select(row_key(docs).alias("row_key"), docs["text"].alias("text")).join(
+            asked.select("row_key").distinct(), "row_key", "left_semi").dropDuplicates(["row_key"])
+        return asked.join(found, "row_key")
+
+    units, certain = _units(rows.filter("blocks = 1"), few), None
+    if not counts.filter("blocks > 1").isEmpty():
+        members, _ = _core(rows.filter("blocks > 1"), texts, _close_reps)
+        units = units.unionByName(_open_units(members))
+        certain = members.filter("core and n_core > 1").select(
+            "node", "hub", (F.col("n_core") - 1).alias("n_links"))
+    checked = texts(units).groupBy("unit").applyInPandas(_verify, "node long, hub long, n_links long")
+    return stored(checked.unionByName(certain) if certain is not None else checked, "links")
+
+
 def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(marks, nodes): nodes are different sets with copies, links and class.
 
@@ -320,14 +452,7 @@ def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = stored(rows.join(sets.select(F.col("node").alias("row_id")), "row_id")
                  .withColumnRenamed("row_id", "node").drop("doc_id", "k1", "k2"), "nodes")
     near = components(candidates(own.filter("size > 0")), "node", "hub")
-    # Stored, so that the join with it can split a large component.
-    counts = stored(near.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "groups")
-    units = _units(near.join(counts, "component"), "component", SET_BLOCK, 1024)
-    asked = units.join(own.select("node", "row_key"), "node")
-    texts = docs.select(row_key(docs).alias("row_key"), docs["text"].alias("text")).join(
-        asked.select("row_key").distinct(), "row_key").dropDuplicates(["row_key"])
-    checked = stored(asked.join(texts, "row_key").groupBy("unit").applyInPandas(
-        _verify, "node long, hub long, n_links long"), "links")
+    checked = _links(docs, own, near)
     links = checked.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     classes = components(checked, "node", "hub")
     nodes = (sets.join(links.join(classes, "node"), "node", "left")
@@ -361,11 +486,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     chosen = (rows.select("k1", "k2", "row_id", "doc_id", "row_key").join(
         nodes.select("k1", "k2", "component"), ["k1", "k2"])
         .groupBy("component").agg(F.min(F.struct(
-            F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "row_key")).alias("best")))
+            F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "row_key")).alias("best"))
+        .select(F.col("best.row_key").alias("key")).distinct())
+    times = rows.groupBy(F.col("row_key").alias("key")).agg(F.count(F.lit(1)).alias("times"))
     kept = docs.select(F.struct("*").alias("row"), row_key(docs).alias("key")).join(
-        chosen.select(F.col("best.row_key").alias("key")).distinct(), "key", "left_semi")
-    once = Window.partitionBy("key").orderBy("key")
-    return kept.withColumn("place", F.row_number().over(once)).filter("place = 1").select("row.*")
+        stored(chosen.join(times, "key"), "chosen"), "key")
+    # Of repeated rows tasks send one each.
+    once = kept.filter("times > 1").groupBy("key").agg(F.first("row").alias("row"))
+    return kept.filter("times = 1").select("row").unionByName(once.select("row")).select("row.*")
 
 
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
