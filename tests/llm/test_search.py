@@ -1,10 +1,12 @@
 """Exact and approximate vector search against brute force."""
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pytest
 
+from tidemart.llm import ann
 from tidemart.llm.ann import Centroids, nearest
 from tidemart.llm.queries import QUERIES
 from tidemart.llm.topk import BallTree, top_k
@@ -91,6 +93,27 @@ def test_nearest_is_exact_where_few_lists_are(spark):
     assert np.allclose([r[3] for r in got], [r[3] for r in want])
 
 
+def test_nearest_keeps_vectors_of_every_length(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 100)  # 300 and 250 rows have an index, 60 and 1 none
+    rng = np.random.default_rng(7)
+    rows, at = [], 0
+    for d, n in ((6, 300), (3, 250), (4, 60), (2, 1)):
+        rows += [(at + i, rng.normal(size=d).tolist()) for i in range(n)]
+        at += n
+    rows += [(10, None), (20, [0.0, 0.0]), (1000, rows[0][1])]
+    got = defaultdict(list)
+    for r in nearest(table(spark, rows), k=5, step=10, target=1.0).collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    hits = wanted = 0
+    usable = [(i, np.array(v)) for i, v in rows if v is not None and any(v)]
+    for q, v in usable:
+        if q % 10 == 0:
+            best = sorted(((-float(v @ w), i) for i, w in usable if i != q and len(w) == len(v)))[:5]
+            hits += len({i for _, i in best} & {i for i, _ in got[q]})
+            wanted += len(best)
+    assert hits >= 0.95 * wanted and not got[610]
+
+
 def test_graph_finds_all_lists_in_the_ratio():
     rng = np.random.default_rng(2)
     index = Centroids(rng.normal(size=(3000, 6)), 64, 6.0)

@@ -199,25 +199,32 @@ def nearest(embeddings: DataFrame, k: int = 20, step: int = QUERY_STEP, block_ro
             query_rows: int = 1024, target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score): about the k rows of largest inner product, nearest first.
 
-    Queries are the rows whose id `step` divides, each against all rows but itself. Centres are fitted on
+    Queries are the rows whose id `step` divides, each against all rows but itself of the same vector length; a
+    length has an index of its own, those of at most `LIST_ROWS` rows are searched exactly in one job. Centres are fitted on
     a bounded sample; every row is then kept in its nearest list and, near borders, in up to
     `REPLICAS`. Lists longer than `block_rows`, as many equal rows make them, are cut in blocks
     that are all searched. A query takes the lists within a ratio of its nearest one; the ratio is
     measured, see `set_ratio`. The nearest two lists are searched first, and their kth scores limit what
-    the others give back. Scores are sums in double over the original vectors. Only vectors of the most
-    frequent length (the least, if several) take part; without any the result is empty. Ties go to the smaller
-    vec_id, repeated rows are rows of their own, other columns do not matter.
+    the others give back. Scores are sums in double over the original vectors. Without usable vectors the result is
+    empty. Ties go to the smaller vec_id, repeated rows are rows of their own, other columns do not matter.
     """
-    spark = embeddings.sparkSession
-    rows = stored(usable(embeddings, True), "vectors")
-    sizes = rows.groupBy(F.size("vec").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("m"))
-    common = sizes.orderBy(F.col("n").desc(), "d").first()
-    if common is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("vec") == common["d"])
-    index = fit(rows, common["d"], math.sqrt(common["m"]), common["n"])
-    sent = spark.sparkContext.broadcast(index)
+    rows = stored(usable(embeddings, True).withColumn("d", F.size("vec")), "vectors")
+    sizes = stored(rows.groupBy("d").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("m")), "lengths")
+    few = rows.join(sizes.filter(F.col("n") <= LIST_ROWS).select("d"), "d").withColumn("floor", F.lit(None).cast("double"))
+    found = few.filter(F.col("vec_id") % step == 0).toDF(*few.columns).groupBy("d").cogroup(few.groupBy("d")).applyInPandas(
+        _searcher(k), FOUND)
+    for length in sizes.filter(F.col("n") > LIST_ROWS).orderBy("d").toLocalIterator():
+        found = found.unionByName(_indexed(rows.filter(F.col("d") == length["d"]).drop("d"), length["d"], length["n"],
+                                           math.sqrt(length["m"]), k, step, block_rows, query_rows, target))
+    return best(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def _indexed(rows: DataFrame, dimension: int, total: int, largest: float, k: int, step: int, block_rows: int,
+             query_rows: int, target: float) -> DataFrame:
+    """The k best found of each query among rows of one length, by posting lists."""
+    index = fit(rows, dimension, largest, total)
+    sent = rows.sparkSession.sparkContext.broadcast(index)
     postings = stored(_postings(rows, sent), "postings")
     queries = rows.filter(F.col("vec_id") % step == 0)
     ratio = set_ratio(index, rows, queries, postings, k, target)
@@ -254,7 +261,7 @@ def nearest(embeddings: DataFrame, k: int = 20, step: int = QUERY_STEP, block_ro
     rest = asked.join(known, "row_id", "left").withColumn(
         "list", F.explode(F.slice("lists", 3, MOST_LISTS)))
     found = first.unionByName(wave(rest)).dropDuplicates(["query_row", "row_id"])
-    return best(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return best(found, k).drop("rank")
 
 
 def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
