@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -19,11 +20,18 @@ from tidemart.llm.common import documents, fresh
 TRAINING_ROWS, MODEL_WORDS = 2_000, 20_000
 LONGEST_GRAM = 4
 UNDETERMINED = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"[^\W\d_]+")
 _BUCKETS = 4096
 _KEPT_WORDS = 300_000
 
 
+def letters(text: str) -> list[str]:
+    """Runs of letters in lower case. Python's \\w also holds numerals such as a half or a Roman eight, which are none."""
+    words = _RUN.findall(text.lower())
+    return words if all(map(str.isalpha, words)) else [
+        "".join(same) for w in words for alpha, same in groupby(w, str.isalpha) if alpha]
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves 1 when divided by 3; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -62,7 +70,7 @@ def word_counts(rows: DataFrame, words: int = MODEL_WORDS) -> list[tuple[str, st
         for batch in batches:
             found = Counter()
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                for word, n in Counter(_WORD.findall(text.lower())).items():
+                for word, n in Counter(letters(text)).items():
                     found[lang, word] += n
             yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["lang", "word", "n"])
 
@@ -150,7 +158,7 @@ class Scorer:
     def judge(self, text: str | None) -> tuple[str, float, bool]:
         """As `predict`, and whether the model knows any word or n-gram of the text: then it knows a letter."""
         langs = self.model.langs
-        counts = Counter(_WORD.findall(text.lower())) if text and langs else None
+        counts = Counter(letters(text)) if text and langs else None
         if not counts:
             return UNDETERMINED, 0.0, False
         if len(self._rows) + len(counts) > _KEPT_WORDS:
