@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemart.checks.compare import compare, connect
 from tidemart.llm import ngram_join
-from tidemart.llm.common import components, ranked
+from tidemart.llm.common import components, ranked, wide_key
 from tidemart.llm.html_text import main_text, smooth, threshold
 from tidemart.llm.language import (
-    UNDETERMINED, Scorer, WordBackoff, fit, held_out, reject_unknown, training_rows)
+    UNDETERMINED, Scorer, WordBackoff, fit, held_out, letters, reject_unknown, training_rows)
 from tidemart.llm.mixing import mix, source_targets, systematic_copies
 from tidemart.llm.ngram_join import chosen_paths, one_of_each, similarity_classes
 from tidemart.llm.pii import find_pii, redact
@@ -218,6 +219,28 @@ def test_odd_pages():
     assert main_text("<p>" * 3000 + "deep" + "</div>" * 10) == "deep"
 
 
+def test_comments_as_articles_and_pages_in_a_form():
+    comment = '<article class="comment"><p>I liked this a lot and want to say so at great length, again and again.</p></article>'
+    inside = f"<body><article><h1>A</h1><p>{LONG}</p><p>{LONG}</p>{comment}{comment}</article></body>"
+    beside = f"<body><article><h1>A</h1><p>{LONG}</p><p>{LONG}</p></article>{comment.replace('again', LONG * 9)}</body>"
+    main = f"<main><h1>A</h1><p>{LONG}</p><p>{LONG}</p>{comment}</main>"
+    for page in (inside, beside, main):
+        assert main_text(page) == f"A\n\n{LONG}\n\n{LONG}"
+    assert main_text(f'<body><article class="comment post"><p>{LONG}</p></article></body>') == LONG  # no other one
+    form = f"<form><header>Site</header><article><p>{LONG}</p><select><option>x</select></article><footer>f</footer></form>"
+    assert main_text(f"<body>{form}</body>") == LONG
+    assert main_text(f"<body><article><p>{LONG}</p><form><p>Your name</p><input></form></article></body>") == LONG
+
+
+def test_deep_pages_in_time():
+    start = time.time()
+    deep = "<div>" * 50_000
+    assert main_text(f"<article>{deep}<p>{LONG}</p>") == LONG
+    mixed = "".join(f"<div><span><p>word {i}</b></i>" for i in range(20_000))
+    assert main_text(f"<article>{mixed}").count("word") == 20_000
+    assert time.time() - start < 20
+
+
 LONG = "A long paragraph of the article, which says what there is to say, and then a little more of it."
 
 
@@ -418,6 +441,13 @@ def test_targets(spark, sizes):
         assert math.isclose(r["target"], float(want[r["source"]]), rel_tol=1e-12, abs_tol=1e-12)
 
 
+def test_numerals_are_no_letters(spark):
+    assert letters("½ ² Ⅷ ① x²y Ä") == ["x", "y", "ä"]
+    model = fit(docs_frame(spark, ["ein Wort und noch eins"] * 5).withColumn("lang", F.lit("de")))
+    scorer = Scorer(model)
+    assert scorer.judge("½ ²")[0] == scorer.judge("Ⅷ 3 _")[0] == UNDETERMINED != scorer.judge("wort²")[0]
+
+
 def test_copies_near_the_target(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice(["hot"] * 6 + ["b", "c", None]), int(rng.paretovariate(1.2) * 20)) for i in range(3000)]
@@ -443,7 +473,7 @@ def test_mix_repeats_documents(spark):
     assert got.columns == docs.columns
     counts = Counter(tuple(r) for r in got.collect())
     plain = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit("[^ ]+")), F.lit(0))
-                        .cast("long").alias("size"), F.xxhash64("doc_id", "source", "text").alias("key"))
+                        .cast("long").alias("size"), wide_key("doc_id", "source", "text").alias("key"))
     copies = systematic_copies(plain, ["key"]).groupBy("doc_id").agg(F.sum("copies").alias("n")).collect()
     by_doc = Counter()
     for row, n in counts.items():

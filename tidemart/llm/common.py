@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.placing import fresh, ranked, stored
 
-__all__ = ["components", "documents", "fresh", "ranked", "stored"]
+__all__ = ["components", "documents", "fresh", "ranked", "stored", "wide_key"]
 
 
 def documents(spark: SparkSession, folder: str, *columns: str, table: str = "documents") -> DataFrame:
@@ -15,6 +15,11 @@ def documents(spark: SparkSession, folder: str, *columns: str, table: str = "doc
     return df.select(*columns) if columns else df
 
 
+def wide_key(*columns: str) -> Column:
+    """Text of two hashes of the columns' values, 128 bits together."""
+    return F.concat_ws("-", F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit(7), *columns)))
+
+
 def components(edges: DataFrame, node: str, hub: str) -> DataFrame:
     """Connected components of a two-sided graph: (node, `component`), component the least node.
 

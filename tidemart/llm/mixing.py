@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemart.llm.common import documents, fresh, ranked, stored
+from tidemart.llm.common import documents, fresh, ranked, stored, wide_key
 
-OFFSETS = 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -51,39 +50,26 @@ def systematic_copies(rows: DataFrame, keys: list[str], seed: int = 29, cap: flo
     Each row of a source is expected target / source_size times. Within a source the rows are placed
     from large to small, ties by a seeded hash of `keys`; their expected copies are summed up
     along this order, one random offset per source is added, and a row is taken once for every integer
-    its part crosses. Of `OFFSETS` seeded random offsets a source takes the one whose taken size is
-    nearest to its target, which matters where a few long rows make up a small source. Sums are place times expectation, so no running sum is needed; ordering by
-    size keeps the taken size within about one large row of the target. Rows alike in source, size and
+    its part crosses. Sums are place times expectation, so no running sum is needed; ordering by
+    size keeps the taken size within about one large row of the target, which a source of a few rows shows. Rows alike in source, size and
     keys are interchangeable. A source without words is not taken. `copies` never exceeds `cap`. A null
     source is a source, no row gives no row; columns of rows must not begin with two underscores.
     """
     sizes = rows.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    heads = [F.substr(F.md5(F.concat_ws("|", F.lit(f"{seed}|{j}"), "source")), F.lit(1), F.lit(5))
-             for j in range(OFFSETS)]
-    offsets = F.array(*[F.conv(h, 16, 10).cast("long") / float(1 << 20) for h in heads])
+    head = F.substr(F.md5(F.concat_ws("|", F.lit(str(seed)), "source")), F.lit(1), F.lit(5))
+    offset = F.conv(head, 16, 10).cast("long") / float(1 << 20)
     tie = fresh(rows, "__tie")
     base = rows.withColumn(tie, F.md5(F.concat_ws("|", F.lit(str(seed)), *[
         F.col(k).cast("string") for k in keys])))
     places = ranked(base, ["source"], [F.col("size").desc(), F.col(tie)], "__place")
     expected = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
 
-    def crossed(offset: Column) -> Column:
-        upto = F.floor(F.col("__place") * expected + offset)
-        after = F.floor((F.col("__place") + 1) * expected + offset)
-        return F.least(after - upto, F.lit(int(cap)).cast("long"))
-
-    targets = source_targets(sizes, cap).withColumn("__offsets", offsets).withColumnRenamed(
-        "source", "__source")
-    placed = places.join(targets, F.col("source").eqNullSafe(F.col("__source")))
-    trials = placed.groupBy("__source", "target").agg(F.first("__offsets").alias("__offsets"), *[
-        F.sum(F.col("size") * crossed(F.col("__offsets")[j])).alias(f"__t{j}") for j in range(OFFSETS)])
-    nearest = F.array_min(F.array(*[F.struct(
-        F.abs(F.col(f"__t{j}") - F.col("target")).alias("off"), F.lit(j).alias("j"),
-        F.col("__offsets")[j].alias("u")) for j in range(OFFSETS)]))["u"]
-    chosen = trials.select(F.col("__source").alias("__of"), nearest.alias("__offset"))
-    return (placed.drop("__offsets").join(chosen, F.col("__source").eqNullSafe(F.col("__of")))
-            .withColumn("copies", crossed(F.col("__offset")))
-            .drop("__source", "__of", "__place", "__offset", tie))
+    targets = source_targets(sizes, cap).withColumn("__offset", offset).withColumnRenamed("source", "__source")
+    upto = F.floor(F.col("__place") * expected + F.col("__offset"))
+    after = F.floor((F.col("__place") + 1) * expected + F.col("__offset"))
+    return (places.join(targets, F.col("source").eqNullSafe(F.col("__source")))
+            .withColumn("copies", F.least(after - upto, F.lit(int(cap)).cast("long")))
+            .drop("__source", "__place", "__offset", tie))
 
 
 def mix(docs: DataFrame, seed: int = 29) -> DataFrame:
@@ -94,8 +80,8 @@ def mix(docs: DataFrame, seed: int = 29) -> DataFrame:
     them one more. Null texts have size 0 and are taken like others, null ids and sources are values of their
     own, columns of any name are kept; an empty table stays empty.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", "text").alias("key"))
-    small = stored(docs.select(F.xxhash64("doc_id", "source", "text").alias("key"), "source",
+    rows = docs.select(F.struct("*").alias("row"), wide_key("doc_id", "source", "text").alias("key"))
+    small = stored(docs.select(wide_key("doc_id", "source", "text").alias("key"), "source",
                                word_count().alias("size")), "mix")
     taken = (systematic_copies(small, ["key"], seed).groupBy("key")
              .agg(F.sum("copies").alias("taken"), F.count(F.lit(1)).alias("alike")).filter("taken > 0"))
@@ -136,14 +122,7 @@ r AS (SELECT d.*, t.source_size, t.target, coalesce(t.target / nullif(t.source_s
         row_number() OVER (PARTITION BY d.source ORDER BY size DESC,
                            md5(concat_ws('|', '29', CAST(d.doc_id AS VARCHAR)))) - 1 AS i
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-o AS (SELECT source, j,
-        CAST('0x' || substr(md5(concat_ws('|', '29|' || j, source)), 1, 5) AS BIGINT) / 1048576.0::DOUBLE AS u
-      FROM t CROSS JOIN (SELECT unnest(range(16)) AS j)),
-e AS (SELECT o.source, o.j, o.u,
-        abs(sum(size * least(floor((i + 1) * f + u) - floor(i * f + u), 3)) - any_value(target)) AS off
-      FROM r JOIN o ON r.source IS NOT DISTINCT FROM o.source GROUP BY o.source, o.j, o.u),
-b AS (SELECT source, arg_min(u, (off, j)) AS u FROM e GROUP BY source),
-c AS (SELECT r.*, CAST(least(floor((i + 1) * f + u) - floor(i * f + u), 3) AS BIGINT) AS copies
-      FROM r JOIN b ON r.source IS NOT DISTINCT FROM b.source)
+o AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', '29', source)), 1, 5) AS BIGINT) / 1048576.0::DOUBLE AS u FROM r),
+c AS (SELECT *, CAST(least(floor((i + 1) * f + u) - floor(i * f + u), 3) AS BIGINT) AS copies FROM o)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c
 """
