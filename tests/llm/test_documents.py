@@ -448,6 +448,23 @@ def test_numerals_are_no_letters(spark):
     assert scorer.judge("½ ²")[0] == scorer.judge("Ⅷ 3 _")[0] == UNDETERMINED != scorer.judge("wort²")[0]
 
 
+def test_personal_data_of_a_text_rich_in_matches(spark):
+    parts = [f"write to user{i}@host{i % 7}.example or +1 555 010 {1000 + i % 9000} and 10.0.{i % 256}.{i % 99}, " for i in range(13_400)]
+    text = "".join(parts)  # a megabyte
+    start = time.time()
+    docs = docs_frame(spark, [text, "é" * 9000 + parts[0] + "ü" * 5000 + parts[1]])
+    rows = {r["doc_id"]: r["base"] for r in find_pii(docs).collect()}
+    assert [sum(s["kind"] == k for s in rows[0]) for k in ("email", "ip", "phone")] == [13_400] * 3
+    for at, source in ((0, text), (1, docs.collect()[1]["text"])):
+        for s in rows[at]:
+            assert (source[s["start"]] in "u+1") and source[s["start"] - 1] == " "[:s["start"]] or s["start"] == 0
+    clean = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
+    assert clean[0].count("[EMAIL]") == clean[0].count("[IP]") == 13_400 and "@" not in clean[0]
+    assert clean[1] == "é" * 9000 + "write to [EMAIL] or [PHONE] and [IP], " + "ü" * 5000 + \
+        "write to [EMAIL] or [PHONE] and [IP], "
+    assert time.time() - start < 120
+
+
 def test_copies_near_the_target(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice(["hot"] * 6 + ["b", "c", None]), int(rng.paretovariate(1.2) * 20)) for i in range(3000)]

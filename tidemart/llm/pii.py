@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import documents, stored
+from tidemart.llm.common import documents, stored, wide_key
 
 KINDS = ("email", "ip", "card", "phone")
 # The formats with possessive repeats and a start bound: a match can only begin where a run of its
@@ -35,6 +35,7 @@ GROUPS = r"[+(\[]*+[0-9](?:[\x20()\[\].-]{0,3}+[0-9]){0,18}(?![0-9])[)\]]?+" + _
 TOKEN = r"[^\s0-9@]*+[0-9@]\S*+"
 CANDIDATE = rf"""(?<!\S)(?=({GROUPS}|[^\s0-9@]*+[0-9@](?:\S*[^\s.,;:!?"'])?)){TOKEN}"""
 CONTEXT_CHARS = 80
+FOLD_BLOCK, CHUNK = 128, 4096  # values and characters that are read again for each place in a long text
 MASK, BORDER = "\ufdd0", "\ufdd1"  # not characters; for those of a base span and for the ends of a text
 ROUNDS, LEAST_SEEDS, CONFIDENCE = 3, 3, 0.8
 
@@ -51,6 +52,34 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is made once, also where body uses it in a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of numbers from 0 on the fold of those before it, 0 for the first.
+
+    Blocks of `FOLD_BLOCK` are folded first and then the values within a block, so a long array is not
+    copied for each of its values.
+    """
+    def fold_all(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), fold)
+
+    def block(at: Column) -> Column:
+        return F.floor(at / FOLD_BLOCK).cast("int")
+
+    def before(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), block(F.size(v) - 1)), lambda b: fold_all(
+            F.slice(v, b * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK))))
+        begins = F.aggregate(blocks, F.array(F.lit(0)), lambda done, x: F.concat(
+            done, F.array(fold(F.element_at(done, F.lit(-1)), x))))
+        return _let(begins, lambda begin: F.transform(v, lambda _, i: F.aggregate(
+            F.slice(v, block(i) * FOLD_BLOCK + 1, i % FOLD_BLOCK), F.get(begin, block(i)), fold)))
+
+    return _let(values, lambda v: F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(before(v)))
+
+
 def located(text: Column, pattern: str, needs: str) -> Column:
     """All matches of a pattern as structs (match, start, end); an empty list when `needs` is nowhere.
 
@@ -58,19 +87,17 @@ def located(text: Column, pattern: str, needs: str) -> Column:
     of the former; the last pair has no match.
     """
     spans = "array<struct<match:string,start:int,end:int>>"
+    parts = F.struct(F.split(text, pattern, -1).alias("between"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["end"] + F.char_length(pair["0"])
-        end = begin + F.char_length(pair["1"])
-        found = F.struct(pair["1"].alias("match"), begin.alias("start"), end.alias("end"))
-        return F.when(pair["1"].isNull(), state).otherwise(F.struct(
-            end.alias("end"), F.concat(state["spans"], F.array(found)).alias("spans")))
+    def place(p: Column) -> Column:
+        lengths = F.transform(p["between"], lambda x, i: F.char_length(x) + F.coalesce(
+            F.char_length(F.get(p["found"], i)), F.lit(0)))
+        return _let(_running(lengths, lambda a, x: a + x), lambda ends: F.transform(p["found"], lambda m, i: _let(
+            F.get(ends, i) + F.char_length(F.get(p["between"], i)), lambda begin: F.struct(
+                m.alias("match"), begin.alias("start"), (begin + F.char_length(m)).alias("end")))))
 
-    pairs = F.arrays_zip(F.split(text, pattern, -1),
-                         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    start = F.struct(F.lit(0).alias("end"), F.array().cast(spans).alias("spans"))
-    return F.when(text.rlike(needs), F.aggregate(pairs, start, add, lambda s: s["spans"])).otherwise(
-        F.array().cast(spans))
+    return F.when(text.rlike(needs), _let(parts, place)).otherwise(F.array()).cast(spans)
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -87,26 +114,53 @@ def _with_kind(spans: Column, kind: str, *names: str) -> Column:
         *[(F.lit(kind) if n == "kind" else s[n]).alias(n) for n in names]))
 
 
+def _chunks(text: Column) -> Column:
+    """A text in pieces of `CHUNK` characters, since a place in a long text is found by reading from its start."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.char_length(text) / CHUNK).cast("int")), lambda i: F.substr(
+        text, i * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _cut(chunks: Column, start: Column, length: Column) -> Column:
+    """What stands in a text at a place from 0 on."""
+    first = F.floor(start / CHUNK).cast("int")
+    many = F.floor((start % CHUNK + length) / CHUNK).cast("int") + 1
+    return F.substr(F.array_join(F.slice(chunks, first + 1, many), ""), start % CHUNK + 1, length)
+
+
+def _merged(spans: Column) -> Column:
+    """Spans sorted by start as (start, end, kind); overlapping ones become one of the kind of the first."""
+    def heads(v: Column) -> Column:
+        reach = _running(F.transform(v, lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+        marked = _let(reach, lambda r: F.transform(v, lambda s, i: F.struct(s.alias("s"), F.get(r, i).alias("at"))))
+        first = F.filter(marked, lambda x: x["s"]["start"] >= x["at"])
+        return _let(first, lambda h: F.transform(h, lambda x, i: F.struct(
+            x["s"]["start"].alias("start"),
+            F.coalesce(F.get(h, i + 1)["at"], F.array_max(F.transform(v, lambda s: s["end"]))).alias("end"),
+            x["s"]["kind"].alias("kind"))))
+
+    return _let(spans, heads)
+
+
 def _replaced(text: Column, spans: Column, by: Callable[[Column], Column]) -> Column:
     """The text with every span of a list sorted by start replaced; overlapping spans become one."""
+    def build(x: Column) -> Column:
+        chunks, merged = x["chunks"], x["merged"]
+        pieces = F.transform(merged, lambda s, i: _let(
+            F.coalesce(F.get(merged, i - 1)["end"], F.lit(0)),
+            lambda at: F.concat(_cut(chunks, at, s["start"] - at), by(s))))
+        last = F.element_at(merged, F.lit(-1))["end"]
+        return F.concat(F.array_join(pieces, ""), _cut(chunks, last, x["length"] - last))
 
-    def cut(state: Column, s: Column) -> Column:
-        piece = F.concat(F.substr(text, state["at"] + 1, s["start"] - state["at"]), by(s))
-        return F.when(s["start"] >= state["at"], F.struct(
-            s["end"].alias("at"), F.concat(state["parts"], F.array(piece)).alias("parts"))).otherwise(
-            F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts")))
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, cut, lambda s: F.concat(
-        F.array_join(s["parts"], ""), F.substr(text, s["at"] + 1, F.char_length(text)))))
+    whole = F.struct(_chunks(text).alias("chunks"), _merged(spans).alias("merged"), F.char_length(text).alias("length"))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(whole, build))
 
 
 def _contexts(masked: Column, start: Column, end: Column) -> tuple[Column, Column]:
-    """The two words before and after a place, lower case, digits as 0, base spans as one character; the ends
+    """From the chunks of a text, the two words before and after a place, lower case, digits as 0, base spans as one character; the ends
     of the text count as words, and beside one stands the word of the other side. Empty when there are not two."""
     begin = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-    before = F.concat(F.when(begin == 0, F.lit(BORDER + " ")).otherwise(""), F.substr(masked, begin + 1, start - begin))
-    after = F.substr(masked, end + 1, F.lit(CONTEXT_CHARS))
+    before = F.concat(F.when(begin == 0, F.lit(BORDER + " ")).otherwise(""), _cut(masked, begin, start - begin))
+    after = _cut(masked, end, F.lit(CONTEXT_CHARS))
     after = F.concat(after, F.when(F.char_length(after) < CONTEXT_CHARS, F.lit(" " + BORDER)).otherwise(""))
 
     last, first = (F.regexp_extract(w, p, 1) for w, p in ((before, r"(\S+)\s*$"), (after, r"^\s*(\S+)")))
@@ -127,11 +181,12 @@ def _facts(docs: DataFrame) -> DataFrame:
     base span touches (kind null), once for the words before and once for those after. Stored; the text is left
     behind."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), text.alias("text"),
+    rows = docs.select("doc_id", wide_key("doc_id", "text").alias("key"), text.alias("text"),
                        *[base_spans(text, k).alias(k) for k in KINDS])
     everything = F.concat(*[_with_kind(F.col(k), k, "kind", "match", "start", "end") for k in KINDS])
     rows = rows.withColumn("base", everything).drop(*KINDS)
-    in_order = F.array_sort(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    in_order = F.array_sort(F.transform("base", lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     rows = rows.withColumn("masked", _replaced(F.col("text"), in_order, lambda s: F.repeat(
         F.lit(MASK), s["end"] - s["start"]))).drop("text")
     # The longest candidate from each token on; it may reach over the next tokens, which have their own.
@@ -147,12 +202,13 @@ def _facts(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("tokens", F.transform("tokens", lambda t, i: F.struct(
         t["match"].alias("match"), t["start"].alias("start"), t["end"].alias("end"),
         ((i == 0) | (t["end"] > F.get(F.col("tokens"), i - 1)["end"])).alias("longest"))))
+    rows = rows.withColumn("chunks", _chunks(F.col("masked")))
     fact = "array<struct<context:string,instance:string,kind:string,start:int,end:int>>"
 
     def facts(spans: Column) -> Column:
         def both(s: Column) -> Column:
             kind = s["kind"]
-            left, right = _contexts(F.col("masked"), s["start"], s["end"])
+            left, right = _contexts(F.col("chunks"), s["start"], s["end"])
             return F.array(*[F.struct(
                 c.alias("context"), s["match"].alias("instance"), kind.alias("kind"), s["start"].alias("start"),
                 s["end"].alias("end")) for c in (left, F.when(s["longest"], right).otherwise(""))])
@@ -229,16 +285,8 @@ def _added(rows: DataFrame) -> DataFrame:
              .groupBy(F.col("key").alias("added_key"))
              .agg(F.array_sort(F.collect_set(F.struct("start", "end", "kind"))).alias("found")))
 
-    def merge(done: Column, s: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        longer = F.struct(last["kind"].alias("kind"), last["start"].alias("start"),
-                          F.greatest(last["end"], s["end"]).alias("end"))
-        alone = F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-        return F.when(s["start"] < last["end"], F.concat(
-            F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(alone)))
-
-    start = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return found.select("added_key", F.aggregate("found", start, merge).alias("added"))
+    return found.select("added_key", F.transform(_merged(F.col("found")), lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("added"))
 
 
 def _ordered(spans: Column) -> Column:
@@ -284,7 +332,7 @@ def redact(docs: DataFrame) -> DataFrame:
                        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                           s["kind"].alias("kind")))
     rows = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"), base.alias("base"),
-                       F.xxhash64("doc_id", "text").alias("key"))
+                       wide_key("doc_id", "text").alias("key"))
     joined = rows.join(added, F.col("key") == F.col("added_key"), "left").select(
         "row", "text", F.array_sort(F.concat("base", more)).alias("spans"))
 
