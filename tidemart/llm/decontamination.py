@@ -13,24 +13,31 @@ from pyspark.sql.window import Window
 
 from tidemart.llm.common import documents, stored
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What stands between words, in a text as it is written (A-Z belong to words and become lower case later). Texts are
+# split at it: finding the words themselves takes Spark six times as long.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, SHINGLE = 10, 3  # words of a window of an item, and of the shingles that windows are sets of
 
 
-def words_of(text: str = "text") -> Column:
-    return F.regexp_extract_all(F.translate(F.col(text), ascii_uppercase, ascii_lowercase), F.lit(WORD), F.lit(0))
+def lowered(text: Column) -> Column:
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
 
 
-def _shingles(words: str, size: int) -> Column:
-    """Shingles (words joined by a blank, which no word holds) of a column of at least `size` words."""
-    return F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.concat_ws(
-        " ", *[F.get(F.col(words), i + j) for j in range(size)]))
+def words_of(text: Column) -> Column:
+    """Words as they are written; null for a null text."""
+    return F.array_remove(F.split(text, BETWEEN), "")
+
+
+def _shingle(words: str, at: Column, size: int) -> Column:
+    """Words joined by a blank, which no word holds; null beyond the end."""
+    parts = [F.get(F.col(words), at + j) for j in range(size)]
+    return F.concat(*[x for p in parts for x in (F.lit(" "), p)][1:])
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(words, items): the different windows of all items and the item_ids, as text, that have them."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                             words_of().alias("all")).filter(F.size("all") > 0)
+                             words_of(lowered(F.col("text"))).alias("all")).filter(F.size("all") > 0)
     cut = F.transform(F.sequence(F.lit(1), F.greatest(F.size("all") - window + 1, F.lit(1))),
                       lambda i: F.slice("all", i, F.lit(window)))
     return items.select("item", F.explode(cut).alias("words")).groupBy("words").agg(
@@ -38,13 +45,23 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _matches(docs: DataFrame, vocabulary: DataFrame, sizes: list[int]) -> DataFrame:
-    """(key, n_words, pos, size, shingle) wherever a different text has a shingle of the benchmark."""
-    texts = docs.select(F.unhex(F.md5("text")).alias("key"), words_of().alias("words"))
-    each = F.concat(*[F.when(F.size("words") >= size, F.transform(_shingles("words", size), lambda s, i: F.struct(
-        i.alias("pos"), s.alias("text")))).otherwise(F.array()) for size in sizes])
-    found = texts.select("key", F.size("words").alias("n_words"), F.explode(each).alias("s")).select(
-        "key", "n_words", "s.pos", F.col("s.text").alias("text"))
-    return found.join(vocabulary, "text").select("key", "n_words", "pos", "size", "shingle").distinct()
+    """(key, n_words, pos, size, shingle) wherever a different text has a shingle of the benchmark.
+
+    Words are cut as they are written. Shingles meet in lower case of all letters, which Spark makes quickly, and
+    those that meet are compared again with only A-Z in lower case.
+    """
+    texts = docs.select(F.unhex(F.md5("text")).alias("key"),
+                        words_of(F.col("text")).alias("words"))
+    n = F.size("words")
+    places = texts.filter(n > 0).select("key", "words", F.explode(F.sequence(
+        F.lit(0), n * len(sizes) - 1)).alias("i"))
+    size = F.get(F.array(*[F.lit(s) for s in sizes]), F.col("i") % len(sizes))
+    pos = F.floor(F.col("i") / len(sizes)).cast("int") if len(sizes) > 1 else F.col("i")
+    places = places.select("key", "words", pos.alias("pos"), size.alias("own"))
+    raw = F.coalesce(*[F.when(F.col("own") == s, _shingle("words", F.col("pos"), s)) for s in sizes])
+    found = places.select("key", n.alias("n_words"), "pos", raw.alias("raw")).withColumn("folded", F.lower("raw"))
+    return found.join(vocabulary, "folded").filter(lowered(F.col("raw")) == F.col("text")).select(
+        "key", "n_words", "pos", "size", "shingle").distinct()
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -63,17 +80,18 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     windows = stored(item_windows(benchmark, window), "windows").withColumn(
         "window", F.monotonically_increasing_id())
     windows = stored(windows.withColumn("size", F.least(F.size("words"), F.lit(shingle))), "windows")
-    cut = F.when(F.col("size") < shingle, F.array(F.concat_ws(" ", "words"))).otherwise(_shingles("words", shingle))
+    cut = F.transform(F.sequence(F.lit(0), F.size("words") - F.col("size")), lambda i: F.concat_ws(
+        " ", F.slice("words", i + 1, F.col("size"))))
     parts = stored(windows.select("window", "size", F.size("words").alias("length"), F.posexplode(cut).alias(
         "offset", "text")), "parts")
-    vocabulary = stored(parts.select("text", "size").distinct().withColumn(
-        "shingle", F.monotonically_increasing_id()), "vocabulary")
+    vocabulary = stored(parts.select("text", "size").distinct().withColumns(
+        {"folded": F.lower("text"), "shingle": F.monotonically_increasing_id()}), "vocabulary")
     sizes = sorted(r["size"] for r in vocabulary.select("size").distinct().collect())  # shingle at most
     empty = docs.sparkSession.createDataFrame([], "key binary, n_words int, pos int, size int, shingle long")
     matches = stored(_matches(docs, vocabulary, sizes), "matches") if sizes else empty
 
     rarity = matches.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    prefix = (parts.join(vocabulary, ["text", "size"]).join(rarity, "shingle", "left")
+    prefix = (parts.join(vocabulary.drop("folded"), ["text", "size"]).join(rarity, "shingle", "left")
               .groupBy("window", "length").agg(
                   F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "shingle")).alias("rarest"),
                   F.sort_array(F.collect_list(F.struct("offset", "shingle"))).alias("all"))
@@ -112,8 +130,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "key", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256")), "contamination")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("key"),
-                       F.coalesce(F.regexp_count(F.translate("text", ascii_uppercase, ascii_lowercase), F.lit(WORD)),
-                                  F.lit(0)).cast("long").alias("n_words"))
+                       F.coalesce(F.array_size(words_of(F.col("text"))), F.lit(0)).cast("long").alias("n_words"))
     return rows.join(of_text, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
