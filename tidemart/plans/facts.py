@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import codes
-from tidemart.functions.days import FAR_DAY, in_range, iso_day, iso_time, shop_time
+from tidemart.functions.days import FAR_DAY, in_range, iso_day, iso_time, shift, shop_time
 from tidemart.functions.money import money, or_zero
 from tidemart.operators.lookup import decode
 from tidemart.operators.merging import fill_columns
@@ -142,8 +142,15 @@ FLOW_COLUMNS = ["order_id", "user_id", "province_id", "order_date_id", "order_ti
                 "order_total_amount", "payment_amount"]
 
 
+FLOW_ORDER_COLUMNS = ["id", "create_time", "user_id", "province_id", "original_total_amount",
+                      "activity_reduce_amount", "coupon_reduce_amount", "total_amount"]
+#: Days within which an order that was closed may be delivered again.
+LOOK_BACK_DAYS = 30
+
+
 def _flow_orders(orders: DataFrame) -> DataFrame:
-    return orders.select(
+    """One row per order, its latest delivery."""
+    return latest_rows(orders.select(*FLOW_ORDER_COLUMNS), ["id"], FLOW_ORDER_COLUMNS[1:]).select(
         F.col("id").alias("order_id"), "user_id", "province_id",
         iso_day(F.col("create_time")).alias("order_date_id"),
         iso_time(F.col("create_time")).alias("order_time"),
@@ -154,16 +161,24 @@ def _flow_orders(orders: DataFrame) -> DataFrame:
 
 
 def _flow_payments(payments: DataFrame) -> DataFrame:
-    return (payments.where(F.col("payment_status") == codes.PAID).select(
+    """One row per paid order. Of several payments the first counts, as in the daily step, which fills empty
+    cells only; a payment delivered again changes nothing."""
+    first = (payments.where(F.col("payment_status") == codes.PAID)
+             .groupBy("order_id").agg(F.min_by("total_amount", F.struct("callback_time", "total_amount")).alias(
+                 "total_amount"), F.min("callback_time").alias("callback_time")))
+    return first.select(
         "order_id", iso_day(F.col("callback_time")).alias("payment_date_id"),
         iso_time(F.col("callback_time")).alias("payment_time"),
-        money(F.col("total_amount")).alias("payment_amount")))
+        money(F.col("total_amount")).alias("payment_amount"))
 
 
 def _flow_finishes(status_log: DataFrame) -> DataFrame:
-    return (status_log.where(F.col("order_status") == codes.FINISHED).select(
+    """One row per finished order, its first finish."""
+    first = (status_log.where(F.col("order_status") == codes.FINISHED)
+             .groupBy("order_id").agg(F.min("create_time").alias("create_time")))
+    return first.select(
         "order_id", iso_day(F.col("create_time")).alias("finish_date_id"),
-        iso_time(F.col("create_time")).alias("finish_time")))
+        iso_time(F.col("create_time")).alias("finish_time"))
 
 
 def _flow_partition(rows: DataFrame) -> DataFrame:
@@ -184,13 +199,18 @@ def order_flow_daily(flow: DataFrame, new_orders: DataFrame, payments: DataFrame
                      status_log: DataFrame, day: str) -> DataFrame:
     """One day's step: open rows and new orders take over the day's payments and finishes.
 
+    Orders, payments and finishes may be delivered more than once: an order stays one row, what is stored wins. An order
+    that is stored, open or closed within `LOOK_BACK_DAYS`, is not opened again.
+
     `flow` is the stored table. The result holds the whole open partition and the whole partition
     `day`, which takes the rows closed by this step, so both can be overwritten. What an earlier
     run of the same day has stored is read back or computed anew, never doubled.
     """
     stored = flow.where(F.col("ds").isin(FAR_DAY, day) & (F.col("order_date_id") < day))
+    recent = (F.col("ds") == FAR_DAY) | (F.col("ds") >= shift(day, -LOOK_BACK_DAYS))
+    known = flow.where(recent & (F.col("order_date_id") < day)).select("order_id")
     rows = (stored.select(*FLOW_COLUMNS)
-            .unionByName(_flow_orders(new_orders), allowMissingColumns=True))
+            .unionByName(_flow_orders(new_orders).join(known, "order_id", "left_anti"), allowMissingColumns=True))
     rows = fill_columns(rows, _flow_payments(payments), "order_id",
                         ["payment_date_id", "payment_time", "payment_amount"])
     rows = fill_columns(rows, _flow_finishes(status_log), "order_id",
