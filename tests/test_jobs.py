@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -112,6 +113,74 @@ def test_order_flow_closes_step_by_step(spark):
                    2: ("2024-01-03", D(10), None, FAR_DAY), 3: (None, None, None, FAR_DAY)}
 
 
+def test_order_flow_keeps_one_row_per_order(spark):
+    orders = [(1, "2024-01-01T10:00:00")] * 2 + [(2, "2024-01-01T11:00:00")]
+    paid = [(1, "2024-01-01T12:00:00"), (1, "2024-01-01T12:00:00"), (1, "2024-01-01T13:00:00")]
+    done = [(2, "2024-01-01T14:00:00")] * 3
+    flow = facts.order_flow(*flow_inputs(spark, orders, paid, done))
+    assert sorted((r.order_id, r.payment_time, r.finish_time) for r in flow.collect()) == [
+        (1, "2024-01-01 12:00:00", None), (2, None, "2024-01-01 14:00:00")]
+    # Everything comes again the day after, with a second payment and a late order, of a hot table of repeats.
+    again = flow_inputs(spark, orders + [(3, "2024-01-01T23:00:00")] * 50, [(1, "2024-01-02T09:00:00")] * 40 + paid,
+                        done + [(1, "2024-01-02T10:00:00"), (1, "2024-01-02T11:00:00")])
+    for _ in range(2):
+        step = facts.order_flow_daily(flow, *again, "2024-01-02")
+        assert sorted((r.order_id, r.payment_time, r.finish_time, r.ds) for r in step.collect()) == [
+            (1, "2024-01-01 12:00:00", "2024-01-02 10:00:00", "2024-01-02"), (3, None, None, FAR_DAY)]
+        flow = flow.where(F.col("ds") == "2024-01-01").unionByName(step)  # what a day's overwrite leaves
+    assert flow.count() == 3
+
+
+SLIDING = ("user_id bigint, sku_id bigint, order_count_1d bigint, order_num_1d bigint, order_original_amount_1d"
+           " decimal(26,2), activity_reduce_amount_1d decimal(26,2), coupon_reduce_amount_1d decimal(26,2),"
+           " order_total_amount_1d decimal(26,2), ds string, days int")
+
+
+def test_sliding_state_equals_the_full_build(spark):
+    rng, start, rows = random.Random(9), "2024-01-01", []
+    for d in range(45):
+        for user in {1, *rng.sample(range(2, 12), 4)}:  # user 1 is there every day
+            n = rng.randint(1, 9)
+            rows.append((user, user % 3, n, n, D(n), D(1), D(0), D(n) / 4, shift(start, d), 1))
+    names = {k: F.lit("x") for k in dims.PRODUCT_KEYS}
+    table = spark.createDataFrame(rows, SLIDING).withColumns(names)
+    keys = ["user_id", "sku_id", *dims.PRODUCT_KEYS]
+    # Corrections known with day 40: new rows, one that goes, changed amounts; days in, leaving and out of the windows.
+    late = [(20, 0, 5, 5, D(5), D(0), D(0), D(5), shift(start, d), 1) for d in (9, 10, 11, 32, 33, 34, 39)]
+    gone = next(r for r in rows if r[8] == shift(start, 35) and r[0] != 1)
+    fixes = [*late, (*gone[:2], *[-x for x in gone[2:8]], gone[8], -1),
+             (1, 1, 0, 0, D(-1), D(0), D(0), D("0.25"), shift(start, 36), 0)]
+    fixed = spark.createDataFrame(fixes, SLIDING).withColumns(names)
+    measures = [f"{c}_1d" for c in (*horizon.COUNTS, *daily.AMOUNTS)]
+    corrected = table.unionByName(fixed).groupBy(*keys, "ds").agg(
+        *[F.sum(m).alias(m) for m in measures], F.sum("days").alias("days")).where("days > 0")
+    nothing = fixed.where("false")
+    state = horizon.user_product_state(table, shift(start, 38))
+    state = horizon.slide(state, table, nothing, keys, horizon.COUNTS, shift(start, 39))
+    for d in (40, 41):
+        day = shift(start, d)
+        state = horizon.slide(state, corrected, fixed if d == 40 else nothing, keys, horizon.COUNTS, day)
+        full = horizon.user_product_state(corrected, day)
+        assert state.columns == full.columns and state.dtypes == full.dtypes
+        assert sorted(map(tuple, state.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_visitor_sketches_merge_over_days(spark):
+    views = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("page_id"),
+        F.concat(F.lit("m"), F.pmod(F.xxhash64("id"), F.lit(20_000))).alias("mid_id"),
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")), "yyyy-MM-dd").alias("ds"))
+    views = views.unionByName(views.limit(10).withColumn("mid_id", F.lit(None).cast("string")))
+    sketches = horizon.visitor_sketches(views)
+    got = {(r.page_id, r.recent_days): r.visitor_estimate
+           for r in horizon.visitor_estimates(sketches, "2024-01-30").collect()}
+    exact = {(r.page_id, r.recent_days): r.visitor_count
+             for r in horizon.visitor_counts(views, "2024-01-30").collect()}
+    assert got.keys() == exact.keys() and len(got) == 6
+    assert all(abs(got[k] - n) <= 0.03 * n for k, n in exact.items())  # over three standard errors
+    assert max(exact.values()) > 15_000
+
+
 def test_missing_product_keeps_fact_side_id(spark):
     rows = spark.createDataFrame(
         [(10, 100, 1, 2, D(5), None, None, D(5), "2024-01-01"),

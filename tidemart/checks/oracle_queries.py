@@ -253,6 +253,13 @@ TEXTS = {
     "visitor_page_view_1d": "SELECT * FROM a_visitor",
     # horizons and totals; the incremental builds must equal the full build
     "user_product_order_nd": "SELECT * FROM h_user_product",
+    "user_product_order_sliding": "SELECT * FROM h_user_product",
+    "visitor_count_nd": f"""
+        SELECT page_id, h AS recent_days, visitor_count, visitor_count AS visitor_estimate, '{LOG_DAY}' AS ds
+        FROM (SELECT page_id, h, count(DISTINCT mid_id) FILTER (CAST(ds AS DATE) > DATE '{LOG_DAY}' - CAST(h AS INTEGER))
+                  AS visitor_count
+              FROM x_log, (VALUES (CAST(1 AS BIGINT)), (7), (30)) AS horizons(h)
+              WHERE CAST(ds AS DATE) > DATE '{LOG_DAY}' - 30 AND ds <= '{LOG_DAY}' GROUP BY page_id, h)""",
     "province_order_nd": "SELECT * FROM h_province",
     "user_order_td": "SELECT * FROM t_user",
     "user_order_td_merge_join": "SELECT * FROM t_user",

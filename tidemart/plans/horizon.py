@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.days import horizon_start, last_days
+from tidemart.functions.days import horizon_start, last_days, shift
 from tidemart.functions.money import money_sum, money_sum_if, sum_if
+from tidemart.operators.horizons import by_horizon
 from tidemart.plans.daily import AMOUNTS, PROVINCE_KEYS
 from tidemart.plans.dims import PRODUCT_KEYS
 
@@ -34,6 +35,82 @@ def province_order(daily: DataFrame, day: str) -> DataFrame:
             .withColumn("ds", F.lit(day)))
 
 
+def user_product_state(daily: DataFrame, day: str) -> DataFrame:
+    """`user_product_order` with `days_30d`, the daily rows in the window: what `slide` goes on from."""
+    return (daily.where(last_days(F.col("ds"), day, 30))
+            .groupBy("user_id", "sku_id", *PRODUCT_KEYS).agg(
+                *_rolling(COUNTS, day), F.count(F.lit(1)).alias("days_30d"))
+            .withColumn("ds", F.lit(day)))
+
+
+def slide(previous: DataFrame, daily: DataFrame, corrections: DataFrame, keys: list[str], counts: list[str],
+          day: str) -> DataFrame:
+    """The 7/30-day state of `day` from that of the day before.
+
+    `daily` is the table of one-day rows; of its 30 days only three partitions are read: `day` enters both windows, the
+    days that fall out of them leave. `corrections` are signed rows of earlier days, in the columns of `daily` and
+    `days` (1 for a row that is new there, -1 for one that goes, 0 for a change of amounts), delivered since the
+    last step and not part of it; those outside a window do not count for it. A day that leaves is read as corrected. Amounts are exact
+    decimals, so a key whose rows are all gone has zeros and is dropped by `days_30d`.
+    """
+    week_out, month_out = shift(day, -7), shift(day, -30)
+    measures = {**{c: "bigint" for c in counts}, **{a: "decimal(26,2)" for a in AMOUNTS}}
+    none = {name: F.lit(0).cast(kind) for name, kind in measures.items()}
+
+    def signed(rows: DataFrame, days: Column, week: Column, month: Column) -> DataFrame:
+        return rows.select(*keys, *[(F.col(f"{m}_1d") * sign).alias(f"{m}_{n}d")
+                                    for n, sign in ((7, week), (30, month)) for m in measures], days.alias("days_30d"))
+
+    one, zero = F.lit(1), F.lit(0)
+    moved = daily.where(F.col("ds").isin(day, week_out, month_out))
+    entering = F.col("ds") == day
+    rows = signed(moved, F.when(entering, 1).when(F.col("ds") == month_out, -1).otherwise(0),
+                  F.when(entering, 1).when(F.col("ds") == week_out, -1).otherwise(0),
+                  F.when(entering, 1).when(F.col("ds") == month_out, -1).otherwise(0))
+    # A correction of a day that leaves in this step was never in the state, but the day leaves as corrected.
+    late = corrections.where(F.col("ds").between(month_out, shift(day, -1)))
+    fixes = signed(late, F.col("days"), F.when(F.col("ds") >= week_out, one).otherwise(zero), one)
+    kept = previous.select(*keys, *[f"{m}_{n}d" for n in (7, 30) for m in measures], "days_30d")
+    total = kept.unionByName(rows).unionByName(fixes).groupBy(*keys).agg(*[
+        F.coalesce(F.sum(f"{m}_{n}d"), none[m]).cast(kind).alias(f"{m}_{n}d")
+        for n in (7, 30) for m, kind in measures.items()], F.sum("days_30d").cast("bigint").alias("days_30d"))
+    return total.where("days_30d > 0").withColumn("ds", F.lit(day))
+
+
+# Registers of a sketch are 2^14: a relative standard error of 0.8 %.
+SKETCH_BITS = 14
+
+
+def visitor_sketches(views: DataFrame) -> DataFrame:
+    """Per page and day a mergeable sketch of its visitors, next to nothing else: stored once a day."""
+    return (views.groupBy("page_id", "ds").agg(
+        F.hll_sketch_agg("mid_id", F.lit(SKETCH_BITS)).alias("visitors")).select("page_id", "visitors", "ds"))
+
+
+def visitor_counts(views: DataFrame, day: str, horizons: tuple[int, ...] = (1, 7, 30)) -> DataFrame:
+    """The exact count, which reads the details: a visitor counts for all horizons that reach their last visit."""
+    last = (views.where(last_days(F.col("ds"), day, max(horizons)) & F.col("mid_id").isNotNull())
+            .groupBy("page_id", "mid_id").agg(F.max(F.to_date("ds")).alias("last")))
+    return by_horizon(
+        last.groupBy("page_id").agg(*[F.count_if(F.col("last") >= horizon_start(day, h)).alias(f"n{h}")
+                                      for h in horizons]),
+        ["page_id"], {h: {"visitor_count": F.col(f"n{h}")} for h in horizons}).withColumn("ds", F.lit(day))
+
+
+def visitor_estimates(sketches: DataFrame, day: str, horizons: tuple[int, ...] = (1, 7, 30)) -> DataFrame:
+    """Different visitors of each page over several horizons, from one small row per page and day.
+
+    Sketches merge without loss: the estimate is that of a sketch over all detail rows. Its standard error is 1.04 /
+    sqrt(2^SKETCH_BITS), 0.8 %; counts up to some thousand come out exact. A page without visits in a horizon has 0.
+    """
+    return by_horizon(
+        sketches.where(last_days(F.col("ds"), day, max(horizons))).groupBy("page_id").agg(*[
+            F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(F.when(
+                F.col("ds") >= horizon_start(day, h), F.col("visitors")))), F.lit(0)).cast("bigint").alias(f"n{h}")
+            for h in horizons]),
+        ["page_id"], {h: {"visitor_estimate": F.col(f"n{h}")} for h in horizons}).withColumn("ds", F.lit(day))
+
+
 # Total column -> one-day column it adds up.
 TOTALS = {
     "order_count_td": "order_count_1d",

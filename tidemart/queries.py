@@ -12,6 +12,7 @@ from tidemart.functions.days import (
     FAR_DAY, day_bucket, day_numbers, horizon_start, in_range, iso_day, shift)
 from tidemart.functions.money import money
 from tidemart.operators import cells, exact, horizons, lookup, merging, ranking
+from tidemart.operators.placing import stored
 from tidemart.plans import (
     behaviour, daily, dims, facts, horizon, moderation, profile, reports)
 from tidemart.session import prepare, scratch_path
@@ -356,6 +357,28 @@ def user_product_order_nd(shop):
     return _user_product_nd(shop)
 
 
+@query
+def user_product_order_sliding(shop):
+    """Two daily steps from the state of two days before; rows of an earlier day come with the second step."""
+    rows = stored(_user_product_1d(shop, shift(ORDER_DAY, -32), ORDER_DAY), "daily")
+    late = (F.col("ds") == shift(ORDER_DAY, -3)) & (F.col("user_id") % 3 == 0)
+    known, corrections = rows.where(~late), rows.where(late).withColumn("days", F.lit(1))
+    keys = ["user_id", "sku_id", *dims.PRODUCT_KEYS]
+    state = horizon.user_product_state(known, shift(ORDER_DAY, -2))
+    state = horizon.slide(state, known, corrections.limit(0), keys, horizon.COUNTS, shift(ORDER_DAY, -1))
+    state = horizon.slide(state, rows, corrections, keys, horizon.COUNTS, ORDER_DAY)
+    return state.drop("days_30d")
+
+
+@query
+def visitor_count_nd(shop):
+    """Different visitors of each page, exact and from daily sketches."""
+    views = facts.page_view(shop.z_log())
+    sketches = stored(horizon.visitor_sketches(views), "sketches")
+    return horizon.visitor_counts(views, LOG_DAY).join(
+        horizon.visitor_estimates(sketches, LOG_DAY), ["page_id", "recent_days", "ds"])
+
+
 def _province_1d(shop: Shop, length: int) -> DataFrame:
     lines = _lines(shop, horizon_start(ORDER_DAY, length), ORDER_DAY, owner="province_id")
     return daily.province_order(lines, _provinces(shop))
