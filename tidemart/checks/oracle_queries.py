@@ -253,6 +253,21 @@ TEXTS = {
     "visitor_page_view_1d": "SELECT * FROM a_visitor",
     # horizons and totals; the incremental builds must equal the full build
     "user_product_order_nd": "SELECT * FROM h_user_product",
+    "user_history_rebuilt": """
+        SELECT user_id, event_type, start_date, coalesce(strftime(lead(CAST(start_date AS DATE)) OVER (
+                   PARTITION BY user_id ORDER BY start_date) - 1, '%Y-%m-%d'), '9999-12-31') AS end_date
+        FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY start_date) AS before
+              FROM (SELECT user_id, strftime(ts, '%Y-%m-%d') AS start_date, arg_max(event_type, event_id) AS event_type
+                    FROM events GROUP BY ALL))
+        WHERE event_type IS DISTINCT FROM before""",
+    "purchase_as_of_signup": """
+        SELECT p.event_id, p.user_id, arg_max(s.value, (s.ts, s.event_id)) AS signup_value
+        FROM events p LEFT JOIN events s
+          ON s.user_id = p.user_id AND s.event_type = 'signup' AND s.ts <= p.ts
+        WHERE p.event_type = 'purchase' GROUP BY p.event_id, p.user_id""",
+    "snapshot_diff": """
+        SELECT c_custkey, CASE c_custkey % 50 WHEN 1 THEN 'I' WHEN 2 THEN 'D' ELSE 'U' END AS change
+        FROM customer WHERE c_custkey % 50 IN (1, 2, 3)""",
     "user_product_order_sliding": "SELECT * FROM h_user_product",
     "visitor_count_nd": f"""
         SELECT page_id, h AS recent_days, visitor_count, visitor_count AS visitor_estimate, '{LOG_DAY}' AS ds

@@ -11,7 +11,7 @@ from tidemart.functions import codes, keys, text
 from tidemart.functions.days import (
     FAR_DAY, day_bucket, day_numbers, horizon_start, in_range, iso_day, shift)
 from tidemart.functions.money import money
-from tidemart.operators import cells, exact, horizons, lookup, merging, ranking
+from tidemart.operators import cells, exact, history, horizons, lookup, merging, ranking
 from tidemart.operators.placing import stored
 from tidemart.plans import (
     behaviour, daily, dims, facts, horizon, moderation, profile, reports)
@@ -125,6 +125,34 @@ def dim_user_scd2(shop):
     return dims.user_history(old_rows, changed, LOG_DAY)
 
 
+@query
+def user_history_rebuilt(shop):
+    """Daily states of users from their events, every second event delivered after the others."""
+    log = shop.table("events").select("user_id", "event_type", iso_day(F.col("ts")).alias("start_date"), "event_id")
+    first, late = log.where("event_id % 2 = 1"), log.where("event_id % 2 = 0")
+    kept = history.history_of(first, "user_id", ["event_type"], "event_id")
+    return history.revise_history(kept, first, late, "user_id", ["event_type"], "event_id")
+
+
+@query
+def purchase_as_of_signup(shop):
+    """Purchases with the value of their user's last signup up to then."""
+    events = shop.table("events")
+    signups = events.where("event_type = 'signup'").select("user_id", F.col("ts").alias("since"), "event_id",
+                                                           F.col("value").alias("signup_value"))
+    return history.as_of(events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), signups,
+                         "user_id", "ts", ["since", "event_id"], ["signup_value"]).drop("ts")
+
+
+@query
+def snapshot_diff(shop):
+    """New, changed and deleted customers between two snapshots."""
+    rows = shop.table("customer")
+    part = F.col("c_custkey") % 50
+    new = rows.where(part != 2).withColumn("c_mktsegment", F.when(part == 3, "VIP").otherwise(F.col("c_mktsegment")))
+    return history.snapshot_changes(rows.where(part != 1), new, ["c_custkey"])
+
+
 @query
 def dict_decode(shop):
     """Coupon types and ranges by code: the same dictionary under two parents."""
