@@ -36,4 +36,4 @@ def test_empty_documents(spark):
 def test_registered():
     names = driver.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
