@@ -468,6 +468,31 @@ TEXTS = {
     "comment_grade_lookup": """
         SELECT comment_id, min(grade) AS grade FROM x_word JOIN x_list ON word = listed
         GROUP BY comment_id""",
+    "comment_words_inside": """
+        SELECT word, count(*) AS comment_count FROM x_stem_found GROUP BY word""",
+    "comment_grade_inside": """
+        SELECT doc_id AS comment_id, min(grade) AS grade FROM x_stem_found GROUP BY doc_id""",
+    "ban_periods": """
+        SELECT user_id, strftime(since, '%Y-%m-%d %H:%M:%S.%f') AS banned_from, strftime(until, '%Y-%m-%d %H:%M:%S.%f') AS expires,
+               worst_grade, offences FROM x_ban""",
+    "event_sessions": """
+        SELECT user_id, strftime(since, '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+               strftime(until, '%Y-%m-%d %H:%M:%S.%f') AS session_end, event_count, last_event FROM x_session""",
+    "stream_sessions": """
+        SELECT user_id, 'ok' AS route, strftime(since, '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+               strftime(until, '%Y-%m-%d %H:%M:%S.%f') AS session_end, event_count, last_event
+        FROM x_session WHERE until <= (SELECT max(ts) FROM events) - INTERVAL 60 SECOND
+        UNION ALL
+        SELECT NULL, 'late', NULL, NULL, count(*), NULL FROM events WHERE ts < '2024-01-04' HAVING count(*) > 0""",
+    "stream_minute_counts": """
+        SELECT event_type, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS window_start, count(*) AS row_count
+        FROM events
+        WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 60 SECOND
+        GROUP BY 1, date_trunc('minute', ts)""",
+    "stream_bans": """
+        SELECT user_id, strftime(since, '%Y-%m-%d %H:%M:%S.%f') AS banned_from, strftime(until, '%Y-%m-%d %H:%M:%S.%f') AS expires,
+               worst_grade, offences
+        FROM x_ban WHERE until <= (SELECT make_timestamp(max(t)) FROM x_offence) - INTERVAL 60 SECOND""",
     "comment_blacklist": """
         SELECT user_id, CAST(max(until) AS VARCHAR) AS expires, min(grade) AS worst_grade,
                count(*) AS offences, max(until) > DATE '2024-03-20' AS is_active

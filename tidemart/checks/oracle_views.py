@@ -301,6 +301,34 @@ VIEWS = {
         SELECT DISTINCT doc_id AS comment_id,
                unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word
         FROM documents""",
+    "x_stem": """
+        SELECT DISTINCT word, CASE WHEN length(word) >= 12 THEN 'P0' WHEN length(word) >= 10 THEN 'P1' ELSE 'P2' END AS grade
+        FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM benchmark)
+        WHERE length(word) >= 7""",
+    "x_stem_found": """
+        SELECT doc_id, word, grade FROM documents JOIN x_stem ON contains(lower(text), word)""",
+    # windows
+    "x_session": """
+        SELECT user_id, min(ts) AS since, max(ts) + INTERVAL 6 HOUR AS until, count(*) AS event_count,
+               max(event_id) AS last_event
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS no
+              FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                                        <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+                    FROM events WHERE user_id IS NOT NULL))
+        GROUP BY user_id, no""",
+    "x_offence": """
+        SELECT event_id, user_id, (epoch_us(ts) - 1704067200000000) * 50 + 1704067200000000 AS t,
+               CASE WHEN value < 5 THEN 'P0' WHEN value < 30 THEN 'P1' ELSE 'P2' END AS grade
+        FROM events WHERE event_type = 'error'""",
+    "x_ban": """
+        SELECT user_id, make_timestamp(min(t)) AS since, make_timestamp(max(until)) AS until, min(grade) AS worst_grade,
+               count(*) AS offences
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS no
+              FROM (SELECT *, CASE WHEN t <= max(until) OVER (PARTITION BY user_id ORDER BY t, event_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+                    FROM (SELECT *, t + CASE grade WHEN 'P0' THEN 365 ELSE 60 END * 86400000000 AS until
+                          FROM x_offence WHERE grade <> 'P2' AND user_id IS NOT NULL)))
+        GROUP BY user_id, no""",
     "x_list": """
         SELECT * FROM (VALUES ('scum', 'P0'), ('moron', 'P0'), ('trash', 'P1'), ('idiot', 'P1'),
             ('stupid', 'P1'), ('loser', 'P1'), ('worthless', 'P2'), ('pathetic', 'P2'),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.money import ratio, sum_if
+from tidemart.operators.substrings import words_inside
 
 GRADES = ("P0", "P1", "P2")
 # Days on the blacklist per grade; P2 is only flagged.
@@ -51,7 +52,7 @@ def tokens(comments: DataFrame, text: str = "review_text") -> DataFrame:
             .where(F.length("word") > 0))
 
 
-def _strongest() -> Column:
+def strongest() -> Column:
     """The strongest grade of a group, compared by number: texts would have to be sorted."""
     return F.concat(F.lit("P"), F.min(F.substring("grade", 2, 1).cast("int")).cast("string"))
 
@@ -64,7 +65,18 @@ def grade_by_lookup(comments: DataFrame, dictionary: DataFrame, key: str = "comm
     """
     known = dictionary.select(F.lower("word").alias("word"), "grade")
     return (tokens(comments, text).select(key, "word").join(known, "word")
-            .groupBy(key).agg(_strongest().alias("grade")))
+            .groupBy(key).agg(strongest().alias("grade")))
+
+
+def grade_inside(comments: DataFrame, dictionary: DataFrame, key: str = "comment_id",
+                 text: str = "review_text") -> DataFrame:
+    """Strongest grade per comment for dictionaries of any size, matching anywhere in the text.
+
+    `dictionary(word, grade)`; a word with several grades has its strongest. Comments without a match are not in the result.
+    """
+    known = dictionary.select(F.lower("word").alias("word"), "grade").groupBy("word").agg(strongest().alias("grade"))
+    return (words_inside(comments, known, key, text).join(known, "word")
+            .groupBy(key).agg(strongest().alias("grade")))
 
 
 def blacklist(graded: DataFrame, day: str) -> DataFrame:
@@ -77,7 +89,7 @@ def blacklist(graded: DataFrame, day: str) -> DataFrame:
         F.col("grade") == "P1", BLACKLIST_DAYS["P1"])
     until = F.date_add(F.to_date("ds"), length)
     return (graded.where(length.isNotNull()).groupBy("user_id").agg(
-        F.max(until).cast("string").alias("expires"), _strongest().alias("worst_grade"),
+        F.max(until).cast("string").alias("expires"), strongest().alias("worst_grade"),
         F.count("*").cast("bigint").alias("offences"))
         .withColumn("is_active", F.col("expires") > day))
 

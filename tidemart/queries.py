@@ -11,20 +11,23 @@ from tidemart.functions import codes, keys, text
 from tidemart.functions.days import (
     FAR_DAY, day_bucket, day_numbers, horizon_start, in_range, iso_day, shift)
 from tidemart.functions.money import money
-from tidemart.operators import cells, exact, history, horizons, lookup, merging, ranking
+from tidemart.operators import (
+    cells, exact, history, horizons, lookup, merging, ranking, sessions, substrings)
 from tidemart.operators.placing import stored
 from tidemart.plans import (
     behaviour, daily, dims, facts, horizon, moderation, profile, reports)
 from tidemart.session import prepare, scratch_path
 from tidemart.sources import readers, writers
 from tidemart.sources.shop import Shop, log_lines
-from tidemart.streaming import changes, event_time, logs, sinks
+from tidemart.streaming import changes, event_time, logs, sinks, windows
 
 ORDER_DAY = "1998-06-30"
 LOG_DAY = "2024-01-30"
 FIRST_MONTH = "1995-01-31"
 PAYMENT_DAY = "1998-07-03"
 WATERMARK_SPLIT, WATERMARK_LATE = "2024-01-20", "2024-01-04"
+# Seconds: lateness that windows wait for, pause that ends a session.
+DELAY, SESSION_GAP = 60, 6 * 3600
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -687,6 +690,45 @@ def comment_grade_lookup(shop):
     return moderation.grade_by_lookup(shop.documents(), _words(shop))
 
 
+def _stems(shop: Shop) -> DataFrame:
+    """The words of seven letters or more of the benchmark texts as a list of stems; ten letters and twelve are stronger."""
+    word = F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")
+    n = F.length("word")
+    return shop.table("benchmark").select(word).where(n >= 7).distinct().withColumn(
+        "grade", F.when(n >= 12, "P0").when(n >= 10, "P1").otherwise("P2"))
+
+
+@query
+def comment_words_inside(shop):
+    """Words of a list found anywhere in the comments, also inside longer words: how many comments hold each."""
+    found = substrings.words_inside(shop.documents(), _stems(shop), "comment_id", "review_text")
+    return found.groupBy("word").agg(F.count("*").cast("bigint").alias("comment_count"))
+
+
+@query
+def comment_grade_inside(shop):
+    """Strongest grade per comment by a list of any size, matching inside words."""
+    return moderation.grade_inside(shop.documents(), _stems(shop))
+
+
+@query
+def ban_periods(shop):
+    """Uninterrupted bans; errors stand for offences, their value for the grade, a day of the log for fifty."""
+    return _ban_rows(windows.ban_periods(_offences(shop.table("events"))))
+
+
+def _ban_rows(bans: DataFrame) -> DataFrame:
+    return bans.select("user_id", _moment("banned_from"), _moment("expires"), "worst_grade", "offences")
+
+
+def _offences(events: DataFrame) -> DataFrame:
+    time = F.timestamp_micros((F.unix_micros(F.col("ts").cast("timestamp")) - 1_704_067_200_000_000) * 50
+                              + 1_704_067_200_000_000)
+    return events.where(F.col("event_type") == "error").select(
+        "event_id", "user_id", time.alias("offended_at"),
+        F.when(F.col("value") < 5, "P0").when(F.col("value") < 30, "P1").otherwise("P2").alias("grade"))
+
+
 @query
 def comment_blacklist(shop):
     """Sources stand for users; the length of a text decides on the day of the comment."""
@@ -975,6 +1017,83 @@ def stream_watermark_list(shop):
     return _timed(shop, "list", rows, event_time.first_window_start(F.col("value")), 10)
 
 
+def _delivered(shop: Shop, name: str, rows: DataFrame, time: str, day, give: Callable[[DataFrame], DataFrame]):
+    """What `give` makes of the usable rows of a stream, and the rows per route that are not usable.
+
+    Rows arrive half a minute after their time, in two deliveries; the second brings early rows once more, twenty days
+    late. Routing and windows are two queries that go on from their checkpoints with the second delivery.
+    """
+    spark = shop.spark
+    source, routes, result, *marks = (scratch_path(spark, f"{name}-{x}") for x in (
+        "input", "routes", "result", "mark", "result-mark"))
+
+    def arriving(part: DataFrame, after: str) -> DataFrame:
+        return part.withColumn("arrival", F.col(time) + F.expr(f"INTERVAL {after}"))
+
+    first = arriving(rows.where(day < WATERMARK_SPLIT), "30 SECONDS")
+    second = arriving(rows.where(day >= WATERMARK_SPLIT), "30 SECONDS").unionByName(
+        arriving(rows.where(day < WATERMARK_LATE), "20 DAYS"))
+    for part in (first, second):
+        part.write.mode("append").parquet(source)
+        routed = windows.by_lateness(spark.readStream.schema(part.schema).parquet(source), time, "arrival", DELAY)
+        sinks.run_to_end(sinks.to_files(routed, routes, marks[0], partition_by="route", once=True))
+        usable = spark.readStream.schema(routed.schema).parquet(routes).where(F.col("route") == "ok")
+        windowed = give(usable)
+        sinks.run_to_end(sinks.to_files(windowed, result, marks[1], once=True))
+    lost = spark.read.schema(routed.schema).parquet(routes).where(F.col("route") != "ok")
+    return (spark.read.schema(windowed.schema).parquet(result),
+            lost.groupBy("route").agg(F.count("*").cast("bigint").alias("row_count")))
+
+
+def _moment(column: str):
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(column)
+
+
+def _timed_events(shop: Shop) -> DataFrame:
+    return shop.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _event_measures() -> list:
+    return [F.count("*").cast("bigint").alias("event_count"), F.max("event_id").alias("last_event")]
+
+
+@query
+def event_sessions(shop):
+    """Events of a user no more than six hours apart."""
+    found = sessions.gap_sessions(_timed_events(shop), "user_id", "ts", SESSION_GAP, _event_measures())
+    return found.select("user_id", _moment("session_start"), _moment("session_end"), "event_count", "last_event")
+
+
+@query
+def stream_sessions(shop):
+    """The sessions that the watermark has closed; late rows are counted on their route, without a user."""
+    events = _timed_events(shop)
+    closed, lost = _delivered(
+        shop, "sessions", events, "ts", iso_day(F.col("ts")),
+        lambda rows: windows.sessions(rows, "user_id", "ts", SESSION_GAP, _event_measures(), DELAY))
+    return closed.select("user_id", F.lit("ok").alias("route"), _moment("session_start"), _moment("session_end"),
+                         "event_count", "last_event").unionByName(
+        lost.select("route", F.col("row_count").alias("event_count")), allowMissingColumns=True)
+
+
+@query
+def stream_minute_counts(shop):
+    """Events per type and minute, of the minutes the watermark has passed."""
+    events = _timed_events(shop)
+    counts, _ = _delivered(shop, "minutes", events, "ts", iso_day(F.col("ts")),
+                           lambda rows: windows.window_counts(rows, ["event_type"], "ts", "1 minute", DELAY))
+    return counts.select("event_type", _moment("window_start"), "row_count")
+
+
+@query
+def stream_bans(shop):
+    """Bans that have expired by the watermark."""
+    rows = _offences(shop.table("events"))
+    expired, _ = _delivered(shop, "bans", rows, "offended_at", iso_day(F.col("offended_at")),
+                            lambda part: windows.ban_periods(part, DELAY))
+    return _ban_rows(expired)
+
+
 @query
 def epoch_day_bucket(shop):
     """Folder names for seconds (clicks), milliseconds and missing times (errors)."""
