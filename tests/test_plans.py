@@ -29,6 +29,18 @@ def test_no_cross_join_and_no_python(spark, name):
         assert operator not in text
 
 
+def test_bucketed_orders_meet_their_lines_without_an_exchange(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        text = plan(spark, "order_totals_bucketed")
+    finally:
+        spark.conf.set(threshold, before)
+    assert "SortMergeJoin" in text and text.count("Bucketed: true") == 2
+    assert "Exchange" not in text
+
+
 @pytest.mark.parametrize("name", ["fact_order_line_daily", "fact_payment_line_daily"])
 def test_daily_facts_look_up_few_orders(spark, name):
     """Scans of lines and orders have a day bound or stand behind a join with the day's orders."""

@@ -174,6 +174,10 @@ TEXTS = {
     "fact_order_line": f"SELECT {_LINE_COLUMNS} FROM f_line",
     "fact_order_line_daily": f"""
         SELECT {_LINE_COLUMNS} FROM f_line WHERE CAST(l_shipdate AS DATE) = DATE '{ORDER_DAY}'""",
+    "order_totals_bucketed": """
+        SELECT order_id, max(user_id) AS user_id, count(*) AS line_count, CAST(sum(sku_num) AS BIGINT) AS sku_num,
+               CAST(sum(original) AS DECIMAL(26,2)) AS original_amount
+        FROM x_line LEFT JOIN x_head ON order_id = o_orderkey GROUP BY order_id""",
     "scan_lookback": f"""
         SELECT id, order_id, sku_id, sku_num, ds FROM x_line
         WHERE l_shipdate >= DATE '{ORDER_DAY}' - 1 AND l_shipdate < DATE '{ORDER_DAY}' + 1""",

@@ -68,6 +68,18 @@ def order_line_measures(lines: DataFrame, orders: DataFrame, owner: str) -> Data
                     iso_day(F.col("create_time")).alias("ds")))
 
 
+def order_totals(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """(order_id, user_id, line_count, sku_num, original_amount) per order with lines.
+
+    Join and aggregate share the order as key: over tables stored in buckets of it (`sources.tables.store_bucketed`)
+    neither needs an exchange.
+    """
+    return order_line_measures(lines, orders, "user_id").groupBy("order_id").agg(
+        F.max("user_id").alias("user_id"), F.count("*").cast("bigint").alias("line_count"),
+        F.sum("sku_num").cast("bigint").alias("sku_num"),
+        F.sum("split_original_amount").cast("decimal(26,2)").alias("original_amount"))
+
+
 def payment_line(lines: DataFrame, payments: DataFrame, orders: DataFrame,
                  activity_links: DataFrame, coupon_links: DataFrame,
                  dictionary: DataFrame) -> DataFrame:

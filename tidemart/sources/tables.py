@@ -37,6 +37,19 @@ def insert_day(df: DataFrame, name: str) -> None:
      .insertInto(name))
 
 
+def store_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Replace an external table by the rows of `df` in buckets of the key columns, and read it.
+
+    Tables stored with the same keys and number of buckets are joined and aggregated by these keys without an
+    exchange; the rows are shuffled once, when they are written, one file per bucket. All rows of a key are in one
+    bucket, so this is for keys with few rows each (orders, lines by order), not for users or products. A bucket should
+    stay below a few hundred megabytes; the number grows with the table, and both sides are stored anew then.
+    """
+    (df.repartition(buckets, *keys).write.mode("overwrite").format(FORMAT).option("compression", COMPRESSION)
+     .option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def refresh_days(spark, name: str) -> None:
     """Make days visible that were written to the folder directly."""
     spark.sql(f"MSCK REPAIR TABLE {name}")
