@@ -1,8 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemart.session import scratch_path
+from tidemart.sources import writers
 from tidemart.streaming import changes, event_time, logs, sinks
 
 
@@ -113,16 +115,16 @@ def test_changes_out_of_order_and_repeated(spark):
     feed.add(change("u", 2, "late", 20, 4), change("u", 1, "older", 15, 9))
     path, mark = scratch_path(spark, "table"), scratch_path(spark, "mark")
     stream = changes.parse_changes(feed.stream(), "struct<user_id: bigint, name: string>", "user_id")
-    apply = changes.apply_batch(path, "user_id", 4)
+    apply = changes.apply_batch(path, "user_id", 2)
     sinks.run_to_end(sinks.per_batch(stream, apply, mark, once=True))
     expected = [(1, "b"), (3, "n")]
-    assert sorted(map(tuple, changes.current_rows(spark, path).select("user_id", "name").collect())
+    assert sorted(map(tuple, changes.current_rows(spark, path, "user_id").select("user_id", "name").collect())
                   ) == expected
     # A batch that is applied again changes nothing.
     again = changes.parse_changes(spark.read.text(feed.path),
                                   "struct<user_id: bigint, name: string>", "user_id")
     apply(again, 0)
-    assert sorted(map(tuple, changes.current_rows(spark, path).select("user_id", "name").collect())
+    assert sorted(map(tuple, changes.current_rows(spark, path, "user_id").select("user_id", "name").collect())
                   ) == expected
 
 
@@ -133,32 +135,42 @@ def test_a_batch_cut_short_leaves_the_table(spark, monkeypatch):
         df = spark.createDataFrame([(x,) for x in lines], "value string")
         return changes.parse_changes(df, schema, "user_id")
 
+    def state():
+        return sorted(map(tuple, changes.current_rows(spark, path, "user_id").collect()))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
     path = scratch_path(spark, "crash")
     apply = changes.apply_batch(path, "user_id", 4)
     apply(rows(change("c", 1, "a", 1, 1), change("c", 2, "b", 1, 2)), 0)
     second = rows(change("u", 1, "z", 2, 3), change("d", 2, "b", 2, 4))
-    with monkeypatch.context() as m:
-        def stop(*_):
-            raise RuntimeError("stopped")
-        m.setattr(changes._Folder, "publish", stop)
-        try:
-            apply(second, 1)
-        except RuntimeError:
-            pass
-    state = sorted(map(tuple, changes.current_rows(spark, path).collect()))
-    assert state == [(1, "a"), (2, "b")]
+    broken = second.withColumn("name", F.when(F.col("user_id") == 2, F.raise_error(F.lit("stopped")).cast("string"))
+                               .otherwise(F.col("name")))
+    with pytest.raises(Exception, match="stopped"):  # the write itself fails
+        apply(broken, 1)
+    assert state() == [(1, "a"), (2, "b")]
     for _ in range(2):  # the replay, and a replay of the replay
         apply(second, 1)
-        assert sorted(map(tuple, changes.current_rows(spark, path).collect())) == [(1, "z")]
-    for number in range(2, 6):
-        apply(rows(change("u", 1, f"n{number}", number + 1, number + 9)), number)
-    assert [tuple(r) for r in changes.current_rows(spark, path).collect()] == [(1, "n5")]
-    assert changes._Folder(spark, path).numbers() == [4, 5]
-    try:
-        changes.apply_batch(path, "user_id", 8)(second, 9)
-        raise AssertionError("another number of buckets must be refused")
-    except ValueError:
-        pass
+        assert state() == [(1, "z")]
+    apply(rows(change("u", 3, "c", 1, 5)), 2)
+    fourth = rows(change("u", 1, "n", 3, 6))
+    for at in ("replace_table", "_remove"):  # compaction stops before the swap, and before the batches are removed
+        with monkeypatch.context() as m:
+            m.setattr(changes, at, stop)
+            with pytest.raises(RuntimeError):
+                apply(fourth, 3)
+        assert state() == [(1, "n"), (3, "c")]
+    renamed = writers._rename
+    with monkeypatch.context() as m:  # ... and between the two renames of the swap
+        m.setattr(writers, "_rename", lambda fs, a, b: renamed(fs, a, b) if "__previous" in b.toString() else stop())
+        with pytest.raises(RuntimeError):
+            apply(fourth, 3)
+    assert state() == [(1, "n"), (3, "c")]
+    apply(fourth, 3)
+    apply(rows(change("u", 2, "late", 1, 9)), 4)  # older than the delete, which compaction keeps
+    assert state() == [(1, "n"), (3, "c")]
+    assert spark.read.parquet(f"{path}/changes").select("batch").distinct().count() == 2
 
 
 def test_changes_without_use_are_rejected(spark):

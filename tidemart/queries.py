@@ -1182,9 +1182,9 @@ def cdc_apply(shop):
         e.select(envelope.alias("value")),
         "struct<user_id: bigint, event_type: string, value: string>", "user_id")
     path, mark = (scratch_path(shop.spark, n) for n in ("users", "users-checkpoint"))
-    sinks.run_to_end(sinks.per_batch(stream, changes.apply_batch(path, "user_id", 8), mark,
+    sinks.run_to_end(sinks.per_batch(stream, changes.apply_batch(path, "user_id"), mark,
                                      once=True))
-    return changes.current_rows(shop.spark, path)
+    return changes.current_rows(shop.spark, path, "user_id")
 
 
 # ---- keys -----------------------------------------------------------------------------------

@@ -1,28 +1,24 @@
 """Applying a change stream (before/after images) to a keyed table.
 
-The table is stored in hash buckets of the key. A batch writes the buckets it touches into a folder
-of its own and then publishes a manifest, which names the folder of every bucket; readers see the
-old table until the manifest is there, and a batch that was cut short leaves the table as it was.
-One bucket is what a batch rewrites at least, so the number of buckets should grow with the table;
-it is kept in the manifest and cannot be changed by accident. Deleted keys stay as marked rows, so
-that an older change arriving later cannot revive them and a batch that is applied twice changes
-nothing.
+A batch is written as the latest version of each key it changes, into the folder of its number, which a replay overwrites.
+The table is the latest version per key over the compacted rows and the batches since then. Taking the latest does
+not depend on order or repetition: a batch that was cut short, is applied twice or is already compacted does no harm.
+Deleted keys stay as marked rows, so that an older change arriving later cannot revive them.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.keys import hash_bucket
 from tidemart.operators.ranking import latest_rows
+from tidemart.sources.writers import exists, replace_table, restore
 
 DELETE = "d"
-# Manifests, and the folders they name, that are kept for readers of an older state.
-KEPT = 2
+# Batches between two compactions.
+COMPACT_EVERY = 64
 
 
 def _parsed(stream: DataFrame, row_schema: str) -> DataFrame:
@@ -57,89 +53,48 @@ def merge_changes(stored: DataFrame | None, changes: DataFrame, key: str) -> Dat
     return latest_rows(rows, [key], ["ts", "pos", "op", *rest])
 
 
-class _Folder:
-    """Manifests below `<path>/_manifests`, one file per batch, written aside and renamed."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._jvm, self.path = spark._jvm, path.rstrip("/")
-        self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
-
-    def numbers(self) -> list[int]:
-        folder = self._at("_manifests")
-        if not self._fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def read(self, number: int) -> dict:
-        stream = self._fs.open(self._at(f"_manifests/{number:019d}.json"))
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def publish(self, number: int, manifest: dict) -> None:
-        aside, name = self._at(f"_manifests/{number:019d}.tmp"), self._at(f"_manifests/{number:019d}.json")
-        out = self._fs.create(aside, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        if self._fs.exists(name):
-            self._fs.delete(name, False)
-        if not self._fs.rename(aside, name):
-            raise OSError(f"could not publish {name}")
-
-    def clean(self) -> None:
-        """Remove manifests beyond the last ones and folders that none of these names."""
-        numbers = self.numbers()
-        named = {f for n in numbers[-KEPT:] for f in self.read(n)["folders"].values()}
-        for n in numbers[:-KEPT]:
-            self._fs.delete(self._at(f"_manifests/{n:019d}.json"), False)
-        for status in self._fs.globStatus(self._at("batch=*/bucket=*")) or []:
-            folder = status.getPath()
-            if f"{folder.getParent().getName()}/{folder.getName()}" not in named:
-                self._fs.delete(folder, True)
-
-
-def _read(spark: SparkSession, path: str, manifest: dict, buckets=None) -> DataFrame | None:
-    folders = [f"{path}/{f}" for b, f in sorted(manifest["folders"].items())
-               if buckets is None or b in buckets]
-    return spark.read.schema(manifest["schema"]).parquet(*folders) if folders else None
-
-
-def apply_batch(path: str, key: str, buckets: int = 128) -> Callable[[DataFrame, int], None]:
-    """Batch function. A replayed batch starts from the manifest before its own number."""
+def _batches(path: str) -> str:
+    return f"{path}/changes"
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """Compacted rows and those of all batches; a key may have several versions."""
+    base = f"{path}/base"
+    restore(spark, base)
+    parts = [spark.read.parquet(p) for p in (_batches(path), base) if exists(spark, p)]
+    rows = [p.drop("batch") for p in parts]
+    return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
+
+def _remove(spark: SparkSession, folders: list) -> None:
+    for folder in folders:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def compact(spark: SparkSession, path: str, key: str) -> None:
+    """Put the latest version of every key into `base` and remove the batches it holds.
+
+    To be run where batches are applied, not beside it. Stopped at any point it leaves the same table: batches that are
+    in `base` already change nothing, and a swap that was cut short is put right by the next reader.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_batches(path))
+    held = [s.getPath() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    replace_table(merge_changes(None, _versions(spark, path), key), f"{path}/base", "parquet")
+    # The last batch stays, so that the folder can always be read.
+    _remove(spark, sorted((p for p in held if p.getName().startswith("batch=")), key=lambda p: p.getName())[:-1])
+
+
+def apply_batch(path: str, key: str, compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+    """Batch function: writes one row per changed key, however often a hot key changed."""
     def apply(batch: DataFrame, number: int) -> None:
-        spark, folder = batch.sparkSession, _Folder(batch.sparkSession, path)
-        earlier = [n for n in folder.numbers() if n < number]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields)
-        base = folder.read(earlier[-1]) if earlier else {
-            "buckets": buckets, "schema": schema, "folders": {}}
-        if base["buckets"] != buckets:
-            raise ValueError(f"{path} has {base['buckets']} buckets, not {buckets}")
-        bucket = hash_bucket(F.col(key), buckets)
-        # One row per key is left, however often a hot key changed.
-        changes = merge_changes(None, batch, key).persist()
-        # At most `buckets` values, which name the folders to read.
-        touched = [r.bucket for r in changes.select(bucket.alias("bucket")).distinct().collect()]
-        merged = merge_changes(_read(spark, path, base, set(touched)), changes, key)
-        (merged.withColumn("bucket", bucket).hint("rebalance", F.col("bucket"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("bucket").parquet(f"{path}/batch={number:019d}"))
-        changes.unpersist()
-        own = {b: f"batch={number:019d}/bucket={b}" for b in touched}
-        folder.publish(number, {**base, "folders": {**base["folders"], **own}})
-        folder.clean()
+        (merge_changes(None, batch, key).write.mode("overwrite")
+         .parquet(f"{_batches(path)}/batch={number:019d}"))
+        if (number + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, key)
     return apply
 
 
-def current_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The table without deleted keys and bookkeeping columns, as of the last manifest."""
-    folder = _Folder(spark, path)
-    manifest = folder.read(folder.numbers()[-1])
-    rows = _read(spark, path, manifest)
-    if rows is None:
-        rows = spark.createDataFrame([], manifest["schema"])
-    return rows.where(F.col("op") != DELETE).drop("op", "ts", "pos")
+def current_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The table without deleted keys and bookkeeping columns, as of the last batch."""
+    latest = merge_changes(None, _versions(spark, path), key)
+    return latest.where(F.col("op") != DELETE).drop("op", "ts", "pos")
