@@ -13,7 +13,7 @@ ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
 EAGER = {n for n in QUERIES if n.startswith("stream_")} | {
     "cdc_apply", "append_distinct", "partition_overwrite", "dynamic_partition_write",
     "snapshot_load", "incremental_load", "tsv_roundtrip", "json_lines", "dim_calendar",
-    "page_path_edges", "page_paths"}
+    "page_path_edges", "page_paths", "frequent_page_paths"}
 
 
 def plan(spark, name):

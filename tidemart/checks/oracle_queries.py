@@ -421,6 +421,19 @@ TEXTS = {
                      row_number() OVER w AS step
               FROM x_log WINDOW w AS (PARTITION BY session_id ORDER BY ms, event_id))
         WHERE third IS NOT NULL OR step = 1 GROUP BY 1""",
+    "frequent_page_paths": """
+        SELECT array_to_string(path, '>') AS path, len(path) AS page_count, count(*) AS session_count
+        FROM (WITH RECURSIVE views AS (
+                SELECT session_id, page_id, row_number() OVER (PARTITION BY session_id ORDER BY ms, event_id) AS place
+                FROM x_log WHERE page_id IS NOT NULL),
+              held AS (
+                SELECT session_id, [page_id] AS path, min(place) AS at FROM views GROUP BY ALL
+                UNION ALL
+                SELECT h.session_id, list_append(h.path, v.page_id) AS path, min(v.place) AS at
+                FROM held h JOIN views v ON v.session_id = h.session_id AND v.place > h.at GROUP BY ALL)
+              SELECT * FROM held)
+        GROUP BY path
+        HAVING count(*) * 100 >= (SELECT count(DISTINCT session_id) FROM x_log WHERE page_id IS NOT NULL)""",
     "device_rollup": """
         SELECT operate_system, brand, version_code,
                grouping_id(operate_system, brand, version_code) AS level, count(*) AS view_count,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.days import in_range
 from tidemart.operators.ranking import next_values
+from tidemart.operators.sequences import frequent_sequences
 from tidemart.sources.readers import TIME, parse_log
 
 
@@ -69,6 +70,16 @@ def page_paths(log: DataFrame, length: int = 3) -> DataFrame:
             .agg(F.count("*").cast("bigint").alias("path_count")))
 
 
+def frequent_paths(log: DataFrame, one_in: int = 100, longest: int | None = None) -> DataFrame:
+    """Paths of any length that at least one in `one_in` sessions takes, as text `a>b>c`, with their sessions.
+
+    Pages come in that order, others may be visited between. A view without a page belongs to no path.
+    """
+    found = frequent_sequences(_page_sequence(log), "session_id", "ts", "id", "page_id", one_in, longest)
+    return found.select(F.array_join("path", ">").alias("path"), F.col("length").alias("page_count"),
+                        F.col("support").alias("session_count"))
+
+
 def device_rollup(views: DataFrame) -> DataFrame:
     """Views and visitors by system, then brand, then version, with the totals of each level.
 

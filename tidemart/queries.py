@@ -613,6 +613,12 @@ def page_paths(shop):
     return behaviour.page_paths(shop.z_log())
 
 
+@query
+def frequent_page_paths(shop):
+    """Paths that one in a hundred sessions takes, of any length."""
+    return behaviour.frequent_paths(shop.z_log())
+
+
 @query
 def device_rollup(shop):
     return behaviour.device_rollup(facts.page_view(shop.z_log()))
