@@ -44,37 +44,42 @@ _KEPT_WORDS = 200_000
 _MASK = (1 << 64) - 1
 
 
+class _Hashes(dict):
+    """Hashes of words, a bounded table."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _KEPT_WORDS:
+            self.clear()
+        value = self[word] = xxh64_intdigest(word)
+        return value
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted different values."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 class Shingler:
-    """Sets of hashed n-grams. Words are runs of letters, digits and _ in lower case; their hashes are kept
-    in a bounded table. A text of fewer words has one n-gram of all of them."""
+    """Sets of hashed n-grams. Words are runs of letters, digits and _ in lower case. A text of fewer words has
+    one n-gram of all of them."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self._kept = words, {}
+        self.words, self._kept = words, _Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Sorted different 64-bit values."""
-        if not text:
-            return np.empty(0, np.uint64)
-        words = _WORD.findall(text.lower())
+        words = _WORD.findall(text.lower()) if text else []
         if not words:
             return np.empty(0, np.uint64)
-        kept = self._kept
-        if len(kept) > _KEPT_WORDS:
-            kept = self._kept = {}
-        try:
-            hashes = np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            for w in words:
-                if w not in kept:
-                    kept[w] = xxh64_intdigest(w)
-            hashes = np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
+        hashes = np.fromiter(map(self._kept.__getitem__, words), np.uint64, len(words))
         length = min(self.words, len(words))
         count = len(words) - length + 1
         mixed = np.full(count, length, np.uint64)
         for i in range(length):
             mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[i:i + count]
             mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed * np.uint64(0xD6E8FEB86659FD93))
+        return distinct(mixed * np.uint64(0xD6E8FEB86659FD93))
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -88,15 +93,16 @@ def chosen_paths(tokens: np.ndarray, runs: int = RUNS, depth: int = DEPTH,
     """(parent path, path) arrays per level. A run is a root; each path chooses the tokens whose hash with
     that path is below choices / size, so sets that share a path and a chosen token share the next path."""
     paths = _mix(np.arange(1, runs + 1, dtype=np.uint64))
-    levels = []
-    border = np.uint64(min(_MASK, int(choices / max(len(tokens), 1) * 2.0 ** 64)))
+    levels, size = [], len(tokens)
+    border = np.uint64(min(_MASK, int(choices / max(size, 1) * 2.0 ** 64)))
+    step = max(1, (1 << 20) // max(size, 1))
     for _ in range(depth):
-        own = [tokens[None, :] * (part[:, None] | np.uint64(1)) + part[:, None]  # high bits: all of a token
-               for part in np.array_split(paths, max(1, len(paths) * len(tokens) >> 20)) if len(part)]
-        picked = [(rows <= border).nonzero() for rows in own]
-        start = np.cumsum([0, *(len(rows) for rows in own)])
-        at = np.concatenate([np.empty(0, int), *(p[0] + s for p, s in zip(picked, start, strict=False))])
-        token = np.concatenate([np.empty(0, int), *(p[1] for p in picked)])
+        picked = [np.empty(0, np.int64)]
+        for start in range(0, len(paths), step):
+            part = paths[start:start + step, None]
+            rows = tokens * (part | np.uint64(1)) + part  # high bits: all of a token
+            picked.append(np.flatnonzero(rows <= border) + start * size)
+        at, token = np.divmod(np.concatenate(picked), max(size, 1))
         parents = paths[at]
         paths = _mix(parents + _mix(tokens[token]))
         levels.append((parents, paths))
