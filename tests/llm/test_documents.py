@@ -482,6 +482,29 @@ def test_copies_near_the_target(spark):
         assert abs(taken[r["source"]] - r["target"]) <= largest[r["source"]]
 
 
+def test_each_source_takes_the_nearest_of_sixteen_offsets(spark):
+    rng = random.Random(11)
+    rows = [(i, source, rng.randint(1, 900)) for i, source in enumerate([*"aabbbccccddddd", *"efgh" * 7, *[None] * 6])]
+    got = systematic_copies(spark.createDataFrame(rows, "doc_id long, source string, size long"), ["doc_id"]).collect()
+    by_source = defaultdict(list)
+    for r in got:
+        by_source[r["source"]].append(r)
+
+    def md5(*parts):
+        return hashlib.md5("|".join(str(p) for p in parts if p is not None).encode()).hexdigest()
+
+    for source, found in by_source.items():
+        found.sort(key=lambda r: (-r["size"], md5(29, r["doc_id"])))
+        target, f = found[0]["target"], found[0]["target"] / found[0]["source_size"]
+        totals = []
+        for j in range(16):
+            u = int(md5("29", j, source)[:5], 16) / 2**20
+            totals.append(sum(r["size"] * min(math.floor((i + 1) * f + u) - math.floor(i * f + u), 3)
+                              for i, r in enumerate(found)))
+        taken = sum(r["size"] * r["copies"] for r in found)
+        assert math.isclose(abs(taken - target), min(abs(t - target) for t in totals), abs_tol=1e-6), source
+
+
 def test_mix_repeats_documents(spark):
     rows = [(i, f"{'w ' * (i % 9 + 1)}", "en", "abc"[i % 3], 1) for i in range(90)]
     rows += [(500, "same text", "en", "a", 1)] * 4 + [(None, None, None, None, None), (7, "", None, "e", 0)]
