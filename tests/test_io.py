@@ -1,9 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart import session
+from tidemart.plans import daily, facts
 from tidemart.session import (
     SHUFFLE_BYTES, SQL_SETTINGS, WarehouseSession, fit, prepare, scratch_path, scratch_root)
 from tidemart.sources import readers, tables, writers
+from tidemart.sources.shop import Shop
 
 
 def rows(df, *columns):
@@ -170,3 +173,15 @@ def test_sizes_follow_the_tables_of_a_query(spark, monkeypatch):
     assert int(own.conf.get("spark.sql.shuffle.partitions")) == -(-100 * 10**12 // SHUFFLE_BYTES)
     assert all(own.conf.get(k) == v for k, v in SQL_SETTINGS.items())
     assert dict(spark.conf.getAll) == before
+
+
+def test_tasks_of_a_large_table_are_not_merged_again(spark, monkeypatch):
+    """A table of 320 MB, stored: adaptive execution would merge its stages to one task per core."""
+    own = prepare(spark)
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1")  # the rows are few here
+    monkeypatch.setattr(session, "table_bytes", lambda *_: 320 * 2**20)
+    shop = Shop(own, "/root/testdata/sf0.001", sized=True)
+    rows = daily.user_order(facts.order_line_measures(shop.order_detail(), shop.order_buyer(), "user_id"))
+    assert rows.select(F.spark_partition_id()).distinct().count() >= 30
+    assert "spark.sql.adaptive.coalescePartitions.minPartitionNum" not in spark.conf.getAll

@@ -31,8 +31,12 @@ SQL_SETTINGS = {
 }
 
 MB = 1 << 20
-# Bytes of the largest table read behind one shuffle partition.
-SHUFFLE_BYTES = 256 * MB
+# Bytes of the largest table read behind one shuffle partition. A stored row of a dozen bytes takes up to a
+# kilobyte in the sorts and hash maps of a task that joins and counts, so a partition is far larger in memory.
+SHUFFLE_BYTES = 8 * MB
+
+SHUFFLES = "spark.sql.shuffle.partitions"
+LEAST_SHUFFLES = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
 _local_scratch: str | None = None
 
@@ -87,13 +91,17 @@ def fit(spark: SparkSession, path: str) -> None:
     """Raise the session's shuffle partitions to fit a table that is about to be read.
 
     Partitions of a fixed number would outgrow an executor's memory; adaptive execution merges those
-    that turn out small. Called on sessions made by `prepare`, so a query that reads small tables
-    only stays small, whatever ran before it.
+    that turn out small. It goes by the shuffled bytes, which say little about the memory of a task, so
+    it may not merge a stage to fewer partitions than fit, those of under a megabyte excepted. Called on
+    sessions made by `prepare`, so a query that reads small tables only stays small, whatever ran
+    before it.
     """
-    name = "spark.sql.shuffle.partitions"
     wanted = -(-table_bytes(spark, path) // SHUFFLE_BYTES)
-    if wanted > int(spark.conf.get(name)):
-        spark.conf.set(name, str(wanted))
+    if wanted > int(spark.conf.get(SHUFFLES)):
+        spark.conf.set(SHUFFLES, str(wanted))
+    # Without this setting as many are kept as the session has cores.
+    if wanted > int(spark.conf.get(LEAST_SHUFFLES, None) or spark.sparkContext.defaultParallelism):
+        spark.conf.set(LEAST_SHUFFLES, str(wanted))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
