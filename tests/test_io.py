@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemart import session
 from tidemart.plans import daily, facts
+from tidemart.queries import QUERIES
 from tidemart.session import (
     SHUFFLE_BYTES, SQL_SETTINGS, WarehouseSession, fit, prepare, scratch_path, scratch_root)
 from tidemart.sources import readers, tables, writers
@@ -185,3 +186,12 @@ def test_tasks_of_a_large_table_are_not_merged_again(spark, monkeypatch):
     rows = daily.user_order(facts.order_line_measures(shop.order_detail(), shop.order_buyer(), "user_id"))
     assert rows.select(F.spark_partition_id()).distinct().count() >= 30
     assert "spark.sql.adaptive.coalescePartitions.minPartitionNum" not in spark.conf.getAll
+
+
+def test_buckets_grow_with_the_table(spark, monkeypatch):
+    for size, buckets in ((0, 8), (160 * 2**20, 10), (10 * 2**30, 640), (10**15, 100_000)):
+        monkeypatch.setattr(tables, "table_bytes", lambda *_, size=size: size)
+        assert tables.buckets_for(spark, "any") == buckets
+    monkeypatch.setattr(tables, "table_bytes", lambda *_: 160 * 2**20)
+    plan = QUERIES["order_totals_bucketed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("10 out of 10") == 2

@@ -16,7 +16,7 @@ from tidemart.operators import (
 from tidemart.operators.placing import stored
 from tidemart.plans import (
     behaviour, daily, dims, facts, horizon, moderation, profile, reports)
-from tidemart.session import SHUFFLE_BYTES, prepare, scratch_path, table_bytes
+from tidemart.session import prepare, scratch_path
 from tidemart.sources import readers, tables, writers
 from tidemart.sources.shop import Shop, log_lines
 from tidemart.streaming import changes, event_time, logs, sinks, windows
@@ -205,7 +205,7 @@ def order_totals_bucketed(shop):
     """Lines and orders stored in buckets of the order, then totals per order without a shuffle."""
     def put(name: str, rows: DataFrame, key: str) -> DataFrame:
         path = scratch_path(shop.spark, name)
-        buckets = max(8, -(-table_bytes(shop.spark, f"{shop.folder}/lineitem.parquet") // SHUFFLE_BYTES))
+        buckets = tables.buckets_for(shop.spark, f"{shop.folder}/lineitem.parquet")
         return tables.store_bucketed(rows, path.rsplit("/", 1)[-1].replace("-", "_"), path, [key], buckets)
 
     return facts.order_totals(put("bucketed_lines", shop.order_detail(), "order_id"),

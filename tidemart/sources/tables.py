@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.session import MB, table_bytes
 from tidemart.sources.writers import COMPRESSION, FORMAT
 
+# Bytes of the largest table stored behind one bucket.
+BUCKET_BYTES = 16 * MB
+
 
 def declare_table(df: DataFrame, name: str, path: str, partition: str | None = "ds",
                   fmt: str = FORMAT) -> None:
@@ -37,13 +41,20 @@ def insert_day(df: DataFrame, name: str) -> None:
      .insertInto(name))
 
 
+def buckets_for(spark: SparkSession, path: str, least: int = 8) -> int:
+    """Number of buckets that fits a table; above Spark's own limit of buckets they grow instead."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(max(least, -(-table_bytes(spark, path) // BUCKET_BYTES)), max(least, most))
+
+
 def store_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
     """Replace an external table by the rows of `df` in buckets of the key columns, and read it.
 
     Tables stored with the same keys and number of buckets are joined and aggregated by these keys without an
     exchange; the rows are shuffled once, when they are written, one file per bucket. All rows of a key are in one
-    bucket, so this is for keys with few rows each (orders, lines by order), not for users or products. A bucket should
-    stay below a few hundred megabytes; the number grows with the table, and both sides are stored anew then.
+    bucket, so this is for keys with few rows each (orders, lines by order), not for users or products. A task sorts
+    whole buckets, unpacked and never merged or split, so a bucket should stay at some dozen stored megabytes
+    (`buckets_for`); the number grows with the table, and both sides are stored anew then.
     """
     (df.repartition(buckets, *keys).write.mode("overwrite").format(FORMAT).option("compression", COMPRESSION)
      .option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
