@@ -155,6 +155,50 @@ def test_hot_group_of_near_copies_costs_a_constant_per_set(spark, monkeypatch):
     assert blocks[-1][1] < 3 * blocks[-1][0]
 
 
+def short_texts(seed=0):
+    """Short texts of unlike words under two common lines, some with near copies."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(5000)]
+    lines = "some rights of this text reserved by its author", "all words of this text go under the common license"
+    texts = [f"{rng.choice(lines)} {' '.join(rng.choices(words, k=rng.randint(18, 30)))}" for _ in range(300)]
+    return texts + [f"{t} {rng.choice(words)}" for t in texts[:20]] + ["a b c d e f g h i", "a b c d e f g h i j"]
+
+
+@pytest.mark.parametrize("limit", [64, 512])
+def test_short_texts_under_a_common_line_are_no_candidates(spark, limit, monkeypatch):
+    """They were one group, whose pairs were all compared."""
+    monkeypatch.setattr(ngram_join, "BUCKET_ROWS", limit)
+    largest, links = [], ngram_join._links
+
+    def counted(docs, own, near):
+        largest.append(near.groupBy("component").count().agg(F.max("count")).first()[0])
+        return links(docs, own, near)
+
+    monkeypatch.setattr(ngram_join, "_links", counted)
+    texts = short_texts()
+    got = sorted(tuple(r) for r in similarity_classes(docs_frame(spark, texts)).collect())
+    assert got == brute_classes(texts)
+    assert sum(r[4] for r in got) == 42
+    assert sorted(r["doc_id"] for r in one_of_each(docs_frame(spark, texts)).collect()) == sorted({r[1] for r in got})
+    assert largest == [2, 2]
+
+
+def test_sketches_of_small_sets_pass_every_pair_at_the_threshold():
+    rng = np.random.default_rng(5)
+    for size in [*range(1, 80), 120]:
+        for _ in range(30):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            common = rng.integers(0, size + 1)
+            b = np.concatenate([a[:common], rng.integers(0, 1 << 63, rng.integers(0, size // 4 + 1), dtype=np.uint64)])
+            if not len(b):
+                continue
+            linked = common >= 0.8 * (len(a) + len(b) - common) - 1e-9
+            table = np.frombuffer(ngram_join.sketch(a) + ngram_join.sketch(b), np.uint16).reshape(2, -1)
+            near = ngram_join._near(table, np.array([len(a), len(b)], np.int32), np.array([0]), np.array([1]))
+            assert near.shape == (1, 1) and (near.all() or not linked)
+            assert not near.any() or min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) - 1e-9
+
+
 def test_one_document_of_each_class(spark):
     texts = near_texts(1)
     docs = docs_frame(spark, texts).withColumn("__row_key", F.lit(1)).withColumn("path", F.lit("x"))

@@ -39,6 +39,7 @@ REPRESENTATIVES = 8  # sets that all members of a larger group are measured agai
 CORE = 1 - (1 - SIMILARITY) / 2  # two sets this close to a third one are linked, as 1 - Jaccard is a metric
 SKETCH_BINS = 64
 SKETCH_LEAST = 0.55  # five standard deviations below the threshold
+UNSHARED = (1 - SIMILARITY) / (1 + SIMILARITY)  # n-grams of one set only, at most, by the sum of both sizes
 _WORD = re.compile(r"\w+")
 _KEPT_WORDS = 200_000
 _MASK = (1 << 64) - 1
@@ -270,14 +271,19 @@ def _linked(nodes: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> tu
 
 
 def _near(table: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether sketches are close enough, a matrix. Those of small sets say little, their pairs are left to the exact
-    comparison."""
+    """Whether sketches are close enough, a matrix. Bins of small sets are too few to estimate by, their pairs go by a
+    bound: a bin differs only by an n-gram of one of the two sets, and a pair at the threshold has few of these."""
     small = np.minimum(sizes[left][:, None], sizes[right][None, :])
-    close = small >= SIMILARITY * np.maximum(sizes[left][:, None], sizes[right][None, :]) - 1e-9
-    mine, yours = table[left][:, None, :], table[right][None, :, :]
-    same = ((mine == yours) & (mine != 0)).sum(axis=2)
-    empty = ((mine == 0) & (yours == 0)).sum(axis=2)
-    return close & ((same >= SKETCH_LEAST * (SKETCH_BINS - empty)) | (small < SKETCH_BINS))
+    large = np.maximum(sizes[left][:, None], sizes[right][None, :])
+    near = small >= SIMILARITY * large - 1e-9
+    i, j = near.nonzero()
+    small, large = small[i, j], large[i, j]
+    mine, yours = table[left[i]], table[right[j]]
+    differ = (mine != yours).sum(axis=1)
+    same = SKETCH_BINS - ((mine | yours) == 0).sum(axis=1) - differ
+    near[i, j] = np.where(small < SKETCH_BINS, differ <= UNSHARED * (small + large) + 1e-9,
+                          same >= SKETCH_LEAST * (same + differ))
+    return near
 
 
 def _sketches(frame: pd.DataFrame) -> np.ndarray:
